@@ -1,0 +1,29 @@
+"""Joins against a side whose size is checked before it is broadcast."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a key table (a few narrow columns) that may be shipped to every
+# executor.  Beyond it the join shuffles both sides and AQE splits hot keys.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``big ⋈ small``, broadcasting ``small`` only when it is proven small.
+
+    ``small`` is persisted first so the size check and the join compute it
+    once; a lost cached block is rebuilt from lineage.
+    """
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if bounded_rows(small, max_rows):
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
