@@ -1,0 +1,69 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tastemap.operators import als as als_ops
+from tastemap.operators.ranking import item_mean_predictions, rmse
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Ratings from a planted rank-3 model plus noise; 120 users x 80 items."""
+    rng = np.random.default_rng(3)
+    u, v = rng.uniform(0, 1.2, (120, 3)), rng.uniform(0, 1.2, (80, 3))
+    rows = []
+    for i in range(120):
+        for j in rng.choice(80, 40, replace=False):
+            rows.append((i, int(j), float(u[i] @ v[j] + rng.normal(0, 0.1)), float(rng.uniform())))
+    df = spark.createDataFrame(rows, "user_id LONG, item_id LONG, rating DOUBLE, r DOUBLE")
+    return df.filter("r < 0.8").drop("r"), df.filter("r >= 0.8").drop("r")
+
+
+@pytest.fixture(scope="module")
+def model(planted):
+    train, _ = planted
+    return als_ops.fit_als(train, rank=3, max_iter=10, reg=0.05)
+
+
+def test_beats_item_mean(planted, model):
+    train, test = planted
+    als_err = rmse(als_ops.predict(model, test)).first()["rmse"]
+    base_err = rmse(item_mean_predictions(train, test)).first()["rmse"]
+    assert als_err < base_err
+
+
+def test_unknown_pairs_dropped(spark, model):
+    rows = spark.createDataFrame([(0, 0, 1.0), (10_000, 0, 1.0), (0, 10_000, 1.0)],
+                                 "user_id LONG, item_id LONG, rating DOUBLE")
+    assert als_ops.predict(model, rows).count() == 1
+
+
+def test_top_n_shape(spark, model, planted):
+    recs = als_ops.recommend(model, 10).toPandas()
+    assert recs.groupby("user_id").size().eq(10).all()
+    assert recs.user_id.nunique() == 120
+    for _, g in recs.groupby("user_id"):
+        g = g.sort_values("rank")
+        assert list(g["rank"]) == list(range(1, 11))
+        assert (np.diff(g["score"].values) <= 1e-6).all()
+
+
+def test_subset_equals_all_users(spark, model):
+    subset = spark.createDataFrame([(3,), (17,), (55,)], "user_id LONG")
+    a = als_ops.recommend(model, 5, subset).orderBy("user_id", "rank").toPandas()
+    b = als_ops.recommend(model, 5).filter(F.col("user_id").isin(3, 17, 55)).orderBy("user_id", "rank").toPandas()
+    assert (a[["user_id", "rank", "item_id"]].values == b[["user_id", "rank", "item_id"]].values).all()
+
+
+def test_nonnegative_factors_and_width(model):
+    for kind in ("user", "item"):
+        wide = als_ops.wide_factors(model, kind).toPandas()
+        assert list(wide.columns) == ["kind", "id", "f_0", "f_1", "f_2"]
+        assert (wide[["f_0", "f_1", "f_2"]].values >= 0).all()
+    assert als_ops.wide_factors(model, "user").count() == 120
+
+
+def test_implicit_fit_runs(planted):
+    train, _ = planted
+    m = als_ops.fit_als(train, rank=4, max_iter=3, reg=0.01, implicit=True, alpha=0.1, nonnegative=False)
+    assert m.rank == 4 and als_ops.recommend(m, 5).count() == 120 * 5
