@@ -14,10 +14,11 @@ turned into offsets and added as a literal array: no join.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastemap.session import hold
+
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the record number in the low 33 bits
 
 
@@ -30,11 +31,10 @@ def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_ind
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    tagged = hold(df.repartitionByRange(n, *order_cols)
+                  .sortWithinPartitions(*order_cols)
+                  .withColumn("_pid", F.spark_partition_id())
+                  .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
 
     counts = {r["_pid"]: r["_cnt"] for r in
               tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect()}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastemap.session import hold
+
 # Rows of a key table (a few narrow columns) that may be shipped to every
 # executor.  Beyond it the join shuffles both sides and AQE splits hot keys.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -23,7 +24,7 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
     ``small`` is persisted first so the size check and the join compute it
     once; a lost cached block is rebuilt from lineage.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small = hold(small)
     if bounded_rows(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastemap.operators.ranking import shared_list_metrics_by_user
+
 
 def popularity_scores(train: DataFrame, item: str = "item_id", user: str = "user_id") -> DataFrame:
     """(item, score): non-null user count per item; partial counts per task
@@ -54,3 +56,9 @@ class PopularityRecommender:
         if self.top is None:
             raise RuntimeError("call create() first")
         return recommend_popular(users.select(self.user).distinct(), self.top, self.user, self.item)
+
+    def evaluate_by_user(self, truth: DataFrame, k: int | None = None) -> DataFrame:
+        """Per-user precision@k, AP and NDCG@k of the list for the users of ``truth``."""
+        if self.top is None:
+            raise RuntimeError("call create() first")
+        return shared_list_metrics_by_user(self.top, truth, k or self.n, self.user, self.item)

@@ -50,14 +50,8 @@ def _ideal_dcg(n_truth, k: int):
                        lambda acc, i: acc + F.lit(1.0) / F.log(i + F.lit(1.0)))
 
 
-def ranking_metrics_by_user(recs: DataFrame, truth: DataFrame, k: int, user: str = "user_id",
-                            item: str = "item_id", rank: str = "rank") -> DataFrame:
-    """(user, n_truth, n_hits, precision_at_k, average_precision, ndcg_at_k)."""
-    truth = truth_sets(truth, user, item)
-    sizes = truth_sizes(truth, user)
-    listed = recs.select(user).distinct()
-
-    hits = recs.select(user, item, rank).join(truth, [user, item])
+def _per_user(listed_sizes: DataFrame, hits: DataFrame, k: int, user: str, rank: str) -> DataFrame:
+    """Metrics from the evaluated users (user, n_truth) and their hits (user, rank)."""
     in_order = Window.partitionBy(user).orderBy(rank)
     hit_stats = (hits.withColumn("hit_no", F.row_number().over(in_order))
                  .groupBy(user)
@@ -66,8 +60,7 @@ def ranking_metrics_by_user(recs: DataFrame, truth: DataFrame, k: int, user: str
                       F.sum(F.col("hit_no") / F.col(rank)).alias("ap_sum"),
                       F.sum(F.when(F.col(rank) <= k, F.lit(1.0) / F.log(F.col(rank) + F.lit(1.0)))
                             .otherwise(F.lit(0.0))).alias("dcg")))
-
-    users = listed.join(sizes, user).join(hit_stats, user, "left").na.fill(0, ["hits_at_k", "n_hits"])
+    users = listed_sizes.join(hit_stats, user, "left").na.fill(0, ["hits_at_k", "n_hits"])
     return users.select(
         user, "n_truth", "n_hits",
         (F.col("hits_at_k") / F.lit(float(k))).alias("precision_at_k"),
@@ -76,10 +69,34 @@ def ranking_metrics_by_user(recs: DataFrame, truth: DataFrame, k: int, user: str
     )
 
 
-def ranking_metrics(recs: DataFrame, truth: DataFrame, k: int, user: str = "user_id",
-                    item: str = "item_id", rank: str = "rank", digits: int = METRIC_DIGITS) -> DataFrame:
-    """One row: n_users, precision_at_k, map, ndcg_at_k (means over users)."""
-    per_user = ranking_metrics_by_user(recs, truth, k, user, item, rank)
+def ranking_metrics_by_user(recs: DataFrame, truth: DataFrame, k: int, user: str = "user_id",
+                            item: str = "item_id", rank: str = "rank") -> DataFrame:
+    """(user, n_truth, n_hits, precision_at_k, average_precision, ndcg_at_k).
+
+    ``recs`` holds one ranked list per user.  Hits come from a join on the
+    pair (user, item): a user with a huge truth set is spread by item.
+    """
+    truth = truth_sets(truth, user, item)
+    listed = recs.select(user).distinct()
+    hits = recs.select(user, item, rank).join(truth, [user, item])
+    return _per_user(listed.join(truth_sizes(truth, user), user), hits, k, user, rank)
+
+
+def shared_list_metrics_by_user(top: DataFrame, truth: DataFrame, k: int, user: str = "user_id",
+                                item: str = "item_id", rank: str = "rank") -> DataFrame:
+    """Same metrics when every user of ``truth`` gets the one list ``top``.
+
+    The list is bounded by its length, so it is broadcast and the hits are
+    found per truth row — the users × list rows are never formed.  Equal to
+    ``ranking_metrics_by_user(recommend_popular(users of truth, top), truth, k)``.
+    """
+    truth = truth_sets(truth, user, item)
+    hits = truth.join(F.broadcast(top.select(item, rank)), item).select(user, rank)
+    return _per_user(truth_sizes(truth, user), hits, k, user, rank)
+
+
+def summarize(per_user: DataFrame, digits: int = METRIC_DIGITS) -> DataFrame:
+    """One row: n_users and the means of the per-user metrics."""
     return per_user.agg(
         F.count(F.lit(1)).alias("n_users"),
         F.round(F.avg("precision_at_k"), digits).alias("precision_at_k"),
@@ -88,6 +105,12 @@ def ranking_metrics(recs: DataFrame, truth: DataFrame, k: int, user: str = "user
     )
 
 
+def ranking_metrics(recs: DataFrame, truth: DataFrame, k: int, user: str = "user_id",
+                    item: str = "item_id", rank: str = "rank", digits: int = METRIC_DIGITS) -> DataFrame:
+    """One row: n_users, precision_at_k, map, ndcg_at_k (means over users)."""
+    return summarize(ranking_metrics_by_user(recs, truth, k, user, item, rank), digits)
+
+
 def rmse(predictions: DataFrame, label: str = "rating", prediction: str = "prediction",
          digits: int = METRIC_DIGITS) -> DataFrame:
     """One row: n_rows, rmse — a global aggregate with partial sums per task."""

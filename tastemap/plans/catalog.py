@@ -21,13 +21,13 @@ from tastemap.operators.popularity import PopularityRecommender, popularity_scor
 from tastemap.operators.prep import (active_users, copy_column, drop_null_rows, hash_sample,
                                      nonzero_ratings)
 from tastemap.operators.ranking import (item_mean_predictions, ranking_metrics,
-                                        ranking_metrics_by_user, rmse, truth_sets)
+                                        shared_list_metrics_by_user, rmse, summarize, truth_sets)
 from tastemap.operators.split import (SPLIT_SEED, interaction_split, number_held_out,
                                       order_columns, train_val_test, user_groups)
 from tastemap.plans.oracle import PIVOT_ITEMS, SAMPLE_FRACTION, TOP_N, VECTOR_WIDTH
 from tastemap.session import scratch_path
-from tastemap.sources.files import (read_csv_table, read_parquet_table, register_views, row_count,
-                                    write_csv_parts, write_parquet_table, write_single_csv)
+from tastemap.sources.files import (materialize, read_csv_table, read_parquet_table, register_views,
+                                    row_count, write_csv_parts, write_parquet_table, write_single_csv)
 from tastemap.sources.interactions import interactions
 from tastemap.sources.tables import load_table
 from tastemap.operators.joins import join_checked
@@ -42,12 +42,18 @@ def rated(spark: SparkSession, sf: str) -> DataFrame:
     return nonzero_ratings(interactions(spark, sf))
 
 
+def stored_interactions(spark: SparkSession, sf: str) -> DataFrame:
+    """The derived interaction table written once: the split reads it in
+    several passes, each a pruned scan rather than a repeated join."""
+    return materialize(interactions(spark, sf), "interactions")
+
+
 def split_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return train_val_test(interactions(spark, sf)).select(*SPLIT_COLUMNS)
+    return train_val_test(stored_interactions(spark, sf)).select(*SPLIT_COLUMNS)
 
 
 def _held_out(spark: SparkSession, sf: str) -> DataFrame:
-    r = rated(spark, sf)
+    r = nonzero_ratings(stored_interactions(spark, sf))
     groups = user_groups(active_users(r).select("user_id"))
     labeled = join_checked(r, groups, "user_id")
     held = labeled.filter(F.col("grp") != "train")
@@ -184,24 +190,17 @@ def q_truth_sets(spark, sf):
     return truth_sets(split_rows(spark, sf).filter(F.col("split") == "val"))
 
 
-def _popularity_eval(spark, sf, target: str):
-    s, pr = _popularity(spark, sf)
-    rows = s.filter(F.col("split") == target)
-    return pr.recommend(rows), rows
-
-
 def q_popularity_user_metrics(spark, sf):
-    recs, truth = _popularity_eval(spark, sf, "val")
-    per_user = ranking_metrics_by_user(recs, truth, TOP_N)
+    s, pr = _popularity(spark, sf)
+    per_user = pr.evaluate_by_user(s.filter(F.col("split") == "val"), TOP_N)
     return per_user.select("user_id", "n_truth", "n_hits",
                            *[F.round(c, 10).alias(c) for c in ("precision_at_k", "average_precision", "ndcg_at_k")])
 
 
 def q_popularity_metrics(spark, sf):
-    out = []
-    for target in ("val", "test"):
-        recs, truth = _popularity_eval(spark, sf, target)
-        out.append(ranking_metrics(recs, truth, TOP_N).select(F.lit(target).alias("split"), "*"))
+    s, pr = _popularity(spark, sf)
+    out = [summarize(pr.evaluate_by_user(s.filter(F.col("split") == t), TOP_N))
+           .select(F.lit(t).alias("split"), "*") for t in ("val", "test")]
     return out[0].unionByName(out[1])
 
 

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  Shuffle partitions and the broadcast
 # threshold are cluster sizing knobs, so callers may override them.
@@ -56,3 +57,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the checkpoint folder for a written table."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Frames persisted by operators that must read one materialized copy twice
+# (size checks, partition counts).  Jobs release them once their output is
+# written.
+_held: list[DataFrame] = []
+
+
+def hold(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """Persist ``df`` and remember it for ``release_held``.
+
+    A persisted block lost with its executor is rebuilt from lineage, so
+    this is safe where local checkpoints are not.
+    """
+    df = df.persist(level)
+    _held.append(df)
+    return df
+
+
+def release_held() -> None:
+    while _held:
+        _held.pop().unpersist()

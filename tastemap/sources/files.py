@@ -35,6 +35,20 @@ def read_parquet_table(spark: SparkSession, path: str, recursive: bool = False)
     return reader.parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet below the checkpoint folder and scan it back.
+
+    Cuts the lineage of a derived input (a join, say) that several passes
+    read, so each pass is a pruned file scan instead of a recomputation, and
+    a lost executor costs a re-read, not a re-join.
+    """
+    from tastemap.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_parquet_table(df: DataFrame, path: str, mode: str = "overwrite",
                         partition_by: list[str] | None = None) -> None:
     writer = df.write.mode(mode)
