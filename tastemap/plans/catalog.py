@@ -244,7 +244,10 @@ REFIT_K = 10
 _memo: dict = {}
 
 
-def _memoized(key, build):
+def _memoized(key, build, spark=None):
+    """Models and grids reused across queries of one application."""
+    if spark is not None:
+        key = (spark.sparkContext.applicationId, *key)
     if key not in _memo:
         _memo[key] = build()
     return _memo[key]
@@ -254,14 +257,14 @@ def _explicit_model(spark, sf):
     def build():
         train = split_rows(spark, sf).filter(F.col("split") == "train")
         return als_ops.fit_als(train, **FINAL)
-    return _memoized(("explicit", sf), build)
+    return _memoized(("explicit", sf), build, spark)
 
 
 def _implicit_model(spark, sf):
     def build():
         train = split_rows(spark, sf).filter(F.col("split") == "train")
         return als_ops.fit_als(train, implicit=True, nonnegative=False, **IMPLICIT)
-    return _memoized(("implicit", sf), build)
+    return _memoized(("implicit", sf), build, spark)
 
 
 def q_als_predictions(spark, sf):
@@ -301,7 +304,7 @@ def _explicit_grid(spark, sf):
         s = split_rows(spark, sf)
         points = tuning.grid(**EXPLICIT_GRID)
         return tuning.run_grid(s.filter("split = 'train'"), s.filter("split = 'val'"), points, TOP_N)
-    return _memoized(("explicit_grid", sf), build)
+    return _memoized(("explicit_grid", sf), build, spark)
 
 
 def _pair_splits(spark, sf):
@@ -314,7 +317,7 @@ def _implicit_grid(spark, sf):
         points = tuning.grid(implicit=True, **IMPLICIT_GRID)
         return tuning.run_grid(pairs.filter("split = 'train'"), pairs.filter("split = 'val'"), points,
                                IMPLICIT_K)
-    return _memoized(("implicit_grid", sf), build)
+    return _memoized(("implicit_grid", sf), build, spark)
 
 
 def q_als_grid(spark, sf):

@@ -25,13 +25,14 @@ INTERACTION_COLUMNS = ["user_id", "item_id", "rating", "ts", "ok", "ln"]
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders on the order key, four lineitem and three orders columns read.
 
-    Both inputs are large at scale, so this stays a shuffle (sort-merge) join
-    on the order key; AQE splits a hot order and turns the join into a
-    broadcast at run time only when a side turns out small.
+    Both inputs are fact tables that grow with the data, so the join is a
+    sort-merge join on the order key (stated as a hint rather than left to a
+    size estimate); AQE's skew handling splits a hot order.  The shuffle also
+    spreads inputs stored in few large row groups over all cores.
     """
     li = load_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_discount", "l_linenumber"])
     od = load_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    joined = li.join(od, li.l_orderkey == od.o_orderkey)
+    joined = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
     return joined.select(
         F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("item_id"),
