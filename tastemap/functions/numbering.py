@@ -20,17 +20,28 @@ from pyspark.sql import functions as F
 from tastemap.session import hold
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the record number in the low 33 bits
+ROWS_PER_PARTITION = 2_000_000  # rows one task sorts; keeps each range partition near 100 MB
+
+
+def range_partitions(spark, expected_rows: int | None) -> int:
+    """Partition count for a range sort: the session's shuffle partitions, or
+    more when the expected row count would make partitions too large."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not expected_rows:
+        return base
+    return max(base, -(-int(expected_rows) // ROWS_PER_PARTITION))
 
 
 def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_index",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, expected_rows: int | None = None) -> DataFrame:
     """Add ``name``: 0-based position of each row in the total order ``order_cols``.
 
     Rows equal in every ordering column are interchangeable; list enough
-    columns to make the order total where that matters.
+    columns to make the order total where that matters.  ``expected_rows``
+    (when known cheaply) sizes the range partitions.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(spark, expected_rows)
     tagged = hold(df.repartitionByRange(n, *order_cols)
                   .sortWithinPartitions(*order_cols)
                   .withColumn("_pid", F.spark_partition_id())

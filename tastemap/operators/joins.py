@@ -18,13 +18,15 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 max_rows: int = BROADCAST_MAX_ROWS, persist: bool = True) -> DataFrame:
     """``big ⋈ small``, broadcasting ``small`` only when it is proven small.
 
-    ``small`` is persisted first so the size check and the join compute it
-    once; a lost cached block is rebuilt from lineage.
+    ``small`` is persisted first (unless the caller already holds it) so the
+    size check and the join compute it once; a lost cached block is rebuilt
+    from lineage.
     """
-    small = hold(small)
+    if persist:
+        small = hold(small)
     if bounded_rows(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

@@ -16,6 +16,7 @@ from tastemap.functions.buckets import cumulative_bounds, hash_unit
 from tastemap.functions.numbering import with_global_index
 from tastemap.operators.joins import join_checked
 from tastemap.operators.prep import active_users, nonzero_ratings
+from tastemap.session import hold
 
 SPLIT_NAMES = ("train", "val", "test")
 USER_FRACTIONS = (0.6, 0.2, 0.2)
@@ -41,9 +42,22 @@ def order_columns(user: str, item: str, rating: str, ts: str, extra: list[str])
     return [user, ts, item, *extra, rating]
 
 
-def number_held_out(held: DataFrame, order: list[str]) -> DataFrame:
+def number_held_out(held: DataFrame, order: list[str], expected_rows: int | None = None) -> DataFrame:
     """Global 0-based row index over the held-out rows (skew-safe numbering)."""
-    return with_global_index(held, order, "row_index")
+    return with_global_index(held, order, "row_index", expected_rows=expected_rows)
+
+
+def held_out_rows(stats: DataFrame) -> int:
+    """Rows of validation and test users, summed over the (small) user table."""
+    total = stats.filter(F.col("grp") != "train").agg(F.sum("n_rows")).first()[0]
+    return int(total or 0)
+
+
+def labelled_users(rated: DataFrame, user: str, min_rows: int, fractions, seed: int) -> DataFrame:
+    """(user, n_rows, grp) for active users, persisted: the size check, the
+    held-out row count and the join all read this one small table."""
+    stats = active_users(rated, user, min_rows)
+    return hold(stats.withColumn("grp", bucket_label(hash_unit([user], seed), fractions, SPLIT_NAMES)))
 
 
 def train_val_test(df: DataFrame, user: str = "user_id", item: str = "item_id",
@@ -56,12 +70,13 @@ def train_val_test(df: DataFrame, user: str = "user_id", item: str = "item_id",
     number held-out rows, and give even-numbered ones to training.
     """
     rated = nonzero_ratings(df, rating)
-    groups = user_groups(active_users(rated, user, min_rows).select(user), user, fractions, seed)
-    labeled = join_checked(rated, groups, user)
+    stats = labelled_users(rated, user, min_rows, fractions, seed)
+    labeled = join_checked(rated, stats.select(user, "grp"), user, persist=False)
 
     train_rows = labeled.filter(F.col("grp") == "train").withColumn("split", F.lit("train"))
     held = labeled.filter(F.col("grp") != "train")
-    numbered = number_held_out(held, order_columns(user, item, rating, ts, list(extra_order)))
+    numbered = number_held_out(held, order_columns(user, item, rating, ts, list(extra_order)),
+                               held_out_rows(stats))
     held_rows = numbered.withColumn(
         "split", F.when(F.col("row_index") % 2 == 0, F.lit("train")).otherwise(F.col("grp"))
     ).drop("row_index")

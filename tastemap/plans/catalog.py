@@ -20,10 +20,10 @@ from tastemap.operators.matrix import dense_pivot, mean_ratings
 from tastemap.operators.popularity import PopularityRecommender, popularity_scores, top_items
 from tastemap.operators.prep import (active_users, copy_column, drop_null_rows, hash_sample,
                                      nonzero_ratings)
-from tastemap.operators.ranking import (item_mean_predictions, ranking_metrics,
-                                        shared_list_metrics_by_user, rmse, summarize, truth_sets)
-from tastemap.operators.split import (SPLIT_SEED, interaction_split, number_held_out,
-                                      order_columns, train_val_test, user_groups)
+from tastemap.operators.ranking import item_mean_predictions, ranking_metrics, rmse, summarize, truth_sets
+from tastemap.operators.split import (SPLIT_SEED, USER_FRACTIONS, held_out_rows, interaction_split,
+                                      labelled_users, number_held_out, order_columns, train_val_test,
+                                      user_groups)
 from tastemap.plans.oracle import PIVOT_ITEMS, SAMPLE_FRACTION, TOP_N, VECTOR_WIDTH
 from tastemap.session import scratch_path
 from tastemap.sources.files import (materialize, read_csv_table, read_parquet_table, register_views,
@@ -54,10 +54,11 @@ def split_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _held_out(spark: SparkSession, sf: str) -> DataFrame:
     r = nonzero_ratings(stored_interactions(spark, sf))
-    groups = user_groups(active_users(r).select("user_id"))
-    labeled = join_checked(r, groups, "user_id")
+    stats = labelled_users(r, "user_id", 10, USER_FRACTIONS, SPLIT_SEED)
+    labeled = join_checked(r, stats.select("user_id", "grp"), "user_id", persist=False)
     held = labeled.filter(F.col("grp") != "train")
-    return number_held_out(held, order_columns("user_id", "item_id", "rating", "ts", ["ok", "ln"]))
+    return number_held_out(held, order_columns("user_id", "item_id", "rating", "ts", ["ok", "ln"]),
+                           held_out_rows(stats))
 
 
 def _popularity(spark: SparkSession, sf: str, splits: DataFrame | None = None) -> tuple[DataFrame, PopularityRecommender]:

@@ -2,7 +2,6 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import RankingEvaluator
-from pyspark.sql import functions as F
 
 from tastemap.operators.ranking import explode_lists, ranking_metrics, ranking_metrics_by_user, rmse
 
