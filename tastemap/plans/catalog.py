@@ -222,7 +222,9 @@ def q_user_item_means(spark, sf):
 
 
 def q_user_item_pivot(spark, sf):
-    """Dense user × item pivot over the 20 most popular items (ids fetched: 20 values)."""
+    """Dense user × item pivot over the (up to) 10,000 most popular items — the
+    whole catalogue when it is smaller.  Only the item ids come to the driver,
+    bounded by the pivot width; the sparse form is `user_item_means`."""
     r = rated(spark, sf)
     items = [row["item_id"] for row in top_items(popularity_scores(r), PIVOT_ITEMS).collect()]
     return dense_pivot(r, items)

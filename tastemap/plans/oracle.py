@@ -15,7 +15,7 @@ from tastemap.sources.interactions import INTERACTIONS_SQL
 
 TOP_N = 100
 SAMPLE_FRACTION = 0.125
-PIVOT_ITEMS = 20
+PIVOT_ITEMS = 10_000  # Spark's default spark.sql.pivotMaxValues: the widest dense pivot
 VECTOR_WIDTH = 64
 D = METRIC_DIGITS
 
