@@ -9,7 +9,7 @@ ordering columns split it), sorted inside each partition and tagged with
 counts and the numbering read the very same partitions; a lost block is
 rebuilt from the same shuffle and gets the same tags.  The counts (one value
 per partition, so bounded by the partition count, not by the data) are
-turned into offsets and added as a literal array: no join.
+turned into offsets and joined back as a broadcast table of that size.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from tastemap.session import hold
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the record number in the low 33 bits
 ROWS_PER_PARTITION = 2_000_000  # rows one task sorts; keeps each range partition near 100 MB
+MAX_PARTITIONS = 100_000        # beyond this, shuffle bookkeeping costs more than larger sorts
 
 
 def range_partitions(spark, expected_rows: int | None) -> int:
@@ -29,7 +30,7 @@ def range_partitions(spark, expected_rows: int | None) -> int:
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if not expected_rows:
         return base
-    return max(base, -(-int(expected_rows) // ROWS_PER_PARTITION))
+    return min(MAX_PARTITIONS, max(base, -(-int(expected_rows) // ROWS_PER_PARTITION)))
 
 
 def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_index",
@@ -51,8 +52,9 @@ def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_ind
               tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect()}
     offsets, acc = [], 0
     for pid in range(n):
-        offsets.append(acc)
+        offsets.append((pid, acc))
         acc += counts.get(pid, 0)
-
-    offset_of = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
-    return tagged.withColumn(name, offset_of + F.col("_pos")).drop("_pid", "_pos")
+    offset_table = spark.createDataFrame(offsets, "_pid INT, _offset LONG")
+    return (tagged.join(F.broadcast(offset_table), "_pid")
+            .withColumn(name, F.col("_offset") + F.col("_pos"))
+            .drop("_pid", "_pos", "_offset"))
