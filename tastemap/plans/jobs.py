@@ -95,22 +95,24 @@ def sampled_comparison(spark: SparkSession, splits_path: str, work_dir: str, fra
                        partitions: int = 200, points: list[tuning.GridPoint] | None = None,
                        k_tune: int = 500, k_test: int = 10) -> dict[str, DataFrame]:
     """Stage E: sample each split, lay it out, concatenate, average per pair,
-    split the pairs 20/40/40, tune implicit ALS by precision@k_tune, refit
-    the best point and score precision@k_test on the test pairs."""
+    split the pairs 20/40/40, tune implicit ALS by precision@k_tune (grid
+    written as one parquet file), refit the best point and score
+    precision@k_test on the test pairs."""
     splits = read_splits(spark, splits_path)
     keys = ["user_id", "item_id", "ok", "ln"]
     sampled = {}
     for name, df in splits.items():
-        sample_path = f"{work_dir}/sampled-{name}"
-        write_single_parquet(hash_sample(df, fraction, SPLIT_SEED, keys), sample_path)
-        laid_out = repartition_layout(spark.read.parquet(sample_path), partitions)
-        write_parquet_table(laid_out, f"{work_dir}/layout-{name}")
-        sampled[name] = spark.read.parquet(f"{work_dir}/layout-{name}")
+        # The sample grows with the data, so it stays a multi-file table; the
+        # layout step sets its file count.
+        laid_out = repartition_layout(hash_sample(df, fraction, SPLIT_SEED, keys), partitions)
+        write_parquet_table(laid_out, f"{work_dir}/sampled-{name}")
+        sampled[name] = spark.read.parquet(f"{work_dir}/sampled-{name}")
     together = sampled["train"].unionByName(sampled["val"]).unionByName(sampled["test"])
     pairs = interaction_split(mean_ratings(together))
     pair_splits = {name: pairs.filter(F.col("split") == name).drop("split") for name in ("train", "val", "test")}
     points = points or tuning.grid((5, 10, 20, 40, 80, 160), (4,), (0.01, 0.1, 1.0, 2.0), implicit=True)
     grid, best = tune_als(pair_splits, points, k_tune, "precision_at_k", lowest=False)
+    write_single_parquet(grid, f"{work_dir}/grid")  # one row per grid point: a bounded report
     b = best.first()
     point = tuning.GridPoint(b["rank"], b["max_iter"], b["reg"], b["alpha"], True)
     refit = tuning.evaluate_point(pair_splits["train"], pair_splits["test"], point, k_test)
