@@ -67,3 +67,10 @@ def test_implicit_fit_runs(planted):
     train, _ = planted
     m = als_ops.fit_als(train, rank=4, max_iter=3, reg=0.01, implicit=True, alpha=0.1, nonnegative=False)
     assert m.rank == 4 and als_ops.recommend(m, 5).count() == 120 * 5
+
+
+def test_out_of_range_ids_fail(spark):
+    rows = spark.createDataFrame([(2 ** 40, 1, 1.0)] + [(i, i % 7, 1.0) for i in range(50)],
+                                 "user_id LONG, item_id LONG, rating DOUBLE")
+    with pytest.raises(Exception, match="INT range"):
+        als_ops.fit_als(rows, rank=2, max_iter=1)
