@@ -5,11 +5,12 @@ one task, and a window partitioned by a hot key does the same for that key.
 ``rdd.zipWithIndex`` leaves Catalyst.  Here the rows are range-partitioned on
 the full ordering (a hot key spreads over many partitions because the later
 ordering columns split it), sorted inside each partition and tagged with
-(partition, position).  The tagged rows are persisted, so the per-partition
-counts and the numbering read the very same partitions; a lost block is
-rebuilt from the same shuffle and gets the same tags.  The counts (one value
-per partition, so bounded by the partition count, not by the data) are
-turned into offsets and joined back as a broadcast table of that size.
+(partition, position).  The tagged rows are written once as a table below the
+checkpoint folder: the tags become data, so the per-partition counts and the
+numbering read the same values, a lost executor costs a re-read rather than a
+recomputation that could draw other range bounds, and the lineage is cut.
+The counts (one value per partition, so bounded by the partition count, not
+by the data) become offsets, joined back as a broadcast table of that size.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.session import hold
+from tastemap.sources.files import materialize
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the record number in the low 33 bits
 ROWS_PER_PARTITION = 2_000_000  # rows one task sorts; keeps each range partition near 100 MB
@@ -43,10 +44,11 @@ def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_ind
     """
     spark = df.sparkSession
     n = num_partitions or range_partitions(spark, expected_rows)
-    tagged = hold(df.repartitionByRange(n, *order_cols)
-                  .sortWithinPartitions(*order_cols)
-                  .withColumn("_pid", F.spark_partition_id())
-                  .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
+    tagged = materialize(df.repartitionByRange(n, *order_cols)
+                         .sortWithinPartitions(*order_cols)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))),
+                         "numbered")
 
     counts = {r["_pid"]: r["_cnt"] for r in
               tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect()}

@@ -52,6 +52,29 @@ def split_rows(spark: SparkSession, sf: str) -> DataFrame:
     return train_val_test(stored_interactions(spark, sf)).select(*SPLIT_COLUMNS)
 
 
+_memo: dict = {}
+
+
+def _memoized(key, build, spark=None):
+    """Models and grids reused across queries of one application."""
+    if spark is not None:
+        key = (spark.sparkContext.applicationId, *key)
+    if key not in _memo:
+        _memo[key] = build()
+    return _memo[key]
+
+
+def split_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The split written once per application and read back, as later stages
+    of the workflow read stage A's output; queries of the split operators
+    themselves use ``split_rows``."""
+    def build():
+        path = scratch_path(spark, "split-table")
+        write_parquet_table(split_rows(spark, sf), path, partition_by=["split"])
+        return path
+    return read_parquet_table(spark, _memoized(("split_table", sf), build, spark)).select(*SPLIT_COLUMNS)
+
+
 def _held_out(spark: SparkSession, sf: str) -> DataFrame:
     r = nonzero_ratings(stored_interactions(spark, sf))
     stats = labelled_users(r, "user_id", 10, USER_FRACTIONS, SPLIT_SEED)
@@ -62,7 +85,7 @@ def _held_out(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _popularity(spark: SparkSession, sf: str, splits: DataFrame | None = None) -> tuple[DataFrame, PopularityRecommender]:
-    s = splits if splits is not None else split_rows(spark, sf)
+    s = splits if splits is not None else split_table(spark, sf)
     return s, PopularityRecommender(TOP_N).create(s.filter(F.col("split") == "train"))
 
 
@@ -120,14 +143,14 @@ def q_split_folder_scan(spark, sf):
 def q_row_counts(spark, sf):
     inter = interactions(spark, sf)
     r = nonzero_ratings(inter)
-    s = split_rows(spark, sf)
+    s = split_table(spark, sf)
     return row_count({"interactions": inter, "rated": r, "active_users": active_users(r),
                       "train": s.filter("split = 'train'"), "val": s.filter("split = 'val'"),
                       "test": s.filter("split = 'test'")})
 
 
 def q_split_counts(spark, sf):
-    return split_rows(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+    return split_table(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
                                                       F.countDistinct("user_id").alias("n_users"))
 
 
@@ -157,7 +180,7 @@ def q_train_val_test(spark, sf):
 
 def q_interaction_split(spark, sf):
     """Sampled splits, concatenated, averaged per pair, then split by pair."""
-    s = split_rows(spark, sf)
+    s = split_table(spark, sf)
     parts = [hash_sample(s.filter(F.col("split") == name), SAMPLE_FRACTION, SPLIT_SEED, SAMPLE_KEY)
              for name in ("train", "val", "test")]
     sampled = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -167,7 +190,7 @@ def q_interaction_split(spark, sf):
 # --- popularity, truth, metrics ---------------------------------------------
 
 def q_popularity_scores(spark, sf):
-    s = split_rows(spark, sf)
+    s = split_table(spark, sf)
     return popularity_scores(s.filter(F.col("split") == "train"))
 
 
@@ -188,7 +211,7 @@ def q_popularity_for_users(spark, sf):
 
 
 def q_truth_sets(spark, sf):
-    return truth_sets(split_rows(spark, sf).filter(F.col("split") == "val"))
+    return truth_sets(split_table(spark, sf).filter(F.col("split") == "val"))
 
 
 def q_popularity_user_metrics(spark, sf):
@@ -206,7 +229,7 @@ def q_popularity_metrics(spark, sf):
 
 
 def q_item_mean_rmse(spark, sf):
-    s = split_rows(spark, sf)
+    s = split_table(spark, sf)
     train = s.filter(F.col("split") == "train")
     out = []
     for target in ("val", "test"):
@@ -244,35 +267,23 @@ IMPLICIT_GRID = dict(ranks=(5, 20), iters=(4,), regs=(0.01, 0.1), alphas=(1.0,))
 IMPLICIT_K = 500
 REFIT_K = 10
 
-_memo: dict = {}
-
-
-def _memoized(key, build, spark=None):
-    """Models and grids reused across queries of one application."""
-    if spark is not None:
-        key = (spark.sparkContext.applicationId, *key)
-    if key not in _memo:
-        _memo[key] = build()
-    return _memo[key]
-
-
 def _explicit_model(spark, sf):
     def build():
-        train = split_rows(spark, sf).filter(F.col("split") == "train")
+        train = split_table(spark, sf).filter(F.col("split") == "train")
         return als_ops.fit_als(train, **FINAL)
     return _memoized(("explicit", sf), build, spark)
 
 
 def _implicit_model(spark, sf):
     def build():
-        train = split_rows(spark, sf).filter(F.col("split") == "train")
+        train = split_table(spark, sf).filter(F.col("split") == "train")
         return als_ops.fit_als(train, implicit=True, nonnegative=False, **IMPLICIT)
     return _memoized(("implicit", sf), build, spark)
 
 
 def q_als_predictions(spark, sf):
     model = _explicit_model(spark, sf)
-    return als_ops.predict(model, split_rows(spark, sf).filter(F.col("split") == "val"))
+    return als_ops.predict(model, split_table(spark, sf).filter(F.col("split") == "val"))
 
 
 def q_als_top100(spark, sf):
@@ -281,7 +292,7 @@ def q_als_top100(spark, sf):
 
 def q_als_metrics(spark, sf):
     model = _explicit_model(spark, sf)
-    s = split_rows(spark, sf)
+    s = split_table(spark, sf)
     out = []
     for target in ("val", "test"):
         rows = s.filter(F.col("split") == target)
@@ -304,7 +315,7 @@ def q_als_factors(spark, sf):
 
 def _explicit_grid(spark, sf):
     def build():
-        s = split_rows(spark, sf)
+        s = split_table(spark, sf)
         points = tuning.grid(**EXPLICIT_GRID)
         return tuning.run_grid(s.filter("split = 'train'"), s.filter("split = 'val'"), points, TOP_N)
     return _memoized(("explicit_grid", sf), build, spark)
