@@ -26,12 +26,16 @@ MAX_PARTITIONS = 100_000        # beyond this, shuffle bookkeeping costs more th
 
 
 def range_partitions(spark, expected_rows: int | None) -> int:
-    """Partition count for a range sort: the session's shuffle partitions, or
-    more when the expected row count would make partitions too large."""
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if not expected_rows:
-        return base
-    return min(MAX_PARTITIONS, max(base, -(-int(expected_rows) // ROWS_PER_PARTITION)))
+    """Partition count for a range sort.
+
+    With a known row count: about ``ROWS_PER_PARTITION`` rows each, at least
+    one partition per core and at most ``MAX_PARTITIONS``.  Without one: the
+    session's shuffle partitions.
+    """
+    if expected_rows is None:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    return min(MAX_PARTITIONS, max(cores, -(-int(expected_rows) // ROWS_PER_PARTITION)))
 
 
 def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_index",
