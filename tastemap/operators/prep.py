@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemap.functions.buckets import hash_unit
+from tastemap.params import MIN_USER_ROWS
 
 
 def nonzero_ratings(df: DataFrame, rating: str = "rating") -> DataFrame:
@@ -42,7 +43,7 @@ def user_activity(df: DataFrame, user: str = "user_id") -> DataFrame:
     return df.groupBy(user).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def active_users(df: DataFrame, user: str = "user_id", min_rows: int = 10) -> DataFrame:
+def active_users(df: DataFrame, user: str = "user_id", min_rows: int = MIN_USER_ROWS) -> DataFrame:
     """Users with at least ``min_rows`` rows (GROUP BY … HAVING count(*) >= n)."""
     return user_activity(df, user).filter(F.col("n_rows") >= min_rows)
 

@@ -16,12 +16,11 @@ from tastemap.functions.buckets import cumulative_bounds, hash_unit
 from tastemap.functions.numbering import with_global_index
 from tastemap.operators.joins import join_checked
 from tastemap.operators.prep import active_users, nonzero_ratings
+from tastemap.params import MIN_USER_ROWS, PAIR_FRACTIONS, SPLIT_SEED, USER_FRACTIONS
 from tastemap.session import hold
 
+
 SPLIT_NAMES = ("train", "val", "test")
-USER_FRACTIONS = (0.6, 0.2, 0.2)
-PAIR_FRACTIONS = (0.2, 0.4, 0.4)
-SPLIT_SEED = 2020
 
 
 def bucket_label(u: Column, fractions, names) -> Column:
@@ -62,7 +61,7 @@ def labelled_users(rated: DataFrame, user: str, min_rows: int, fractions, seed:
 
 def train_val_test(df: DataFrame, user: str = "user_id", item: str = "item_id",
                    rating: str = "rating", ts: str = "ts", extra_order: tuple[str, ...] = ("ok", "ln"),
-                   min_rows: int = 10, fractions=USER_FRACTIONS, seed: int = SPLIT_SEED) -> DataFrame:
+                   min_rows: int = MIN_USER_ROWS, fractions=USER_FRACTIONS, seed: int = SPLIT_SEED) -> DataFrame:
     """All kept rows with a ``split`` column (train / val / test).
 
     One plan: drop zero ratings, count rows per user, label active users,

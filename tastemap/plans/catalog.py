@@ -24,6 +24,8 @@ from tastemap.operators.ranking import item_mean_predictions, ranking_metrics, r
 from tastemap.operators.split import (SPLIT_SEED, USER_FRACTIONS, held_out_rows, interaction_split,
                                       labelled_users, number_held_out, order_columns, train_val_test,
                                       user_groups)
+from tastemap.params import (EXPLICIT_GRID, FINAL_ALS, IMPLICIT_ALS, REGISTERED_IMPLICIT_GRID, TEST_K,
+                             TUNE_K)
 from tastemap.plans.oracle import PIVOT_ITEMS, SAMPLE_FRACTION, TOP_N, VECTOR_WIDTH
 from tastemap.session import scratch_path
 from tastemap.sources.files import (materialize, read_csv_table, read_parquet_table, register_views,
@@ -260,12 +262,11 @@ def q_vector_columns(spark, sf):
 
 # --- ALS (shape-checked) ------------------------------------------------------
 
-FINAL = dict(rank=20, max_iter=10, reg=0.1)
-IMPLICIT = dict(rank=20, max_iter=5, reg=0.01, alpha=0.1)
-EXPLICIT_GRID = dict(ranks=(20,), iters=(5, 10), regs=(0.1,))
-IMPLICIT_GRID = dict(ranks=(5, 20), iters=(4,), regs=(0.01, 0.1), alphas=(1.0,))
-IMPLICIT_K = 500
-REFIT_K = 10
+FINAL = FINAL_ALS
+IMPLICIT = IMPLICIT_ALS
+IMPLICIT_GRID = REGISTERED_IMPLICIT_GRID
+IMPLICIT_K = TUNE_K
+REFIT_K = TEST_K
 
 def _explicit_model(spark, sf):
     def build():

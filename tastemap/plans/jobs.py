@@ -17,6 +17,8 @@ from tastemap.operators.popularity import PopularityRecommender
 from tastemap.operators.prep import drop_null_rows, hash_sample
 from tastemap.operators.ranking import ranking_metrics, rmse, summarize
 from tastemap.operators.split import SPLIT_SEED, interaction_split, train_val_test
+from tastemap.params import (FINAL_ALS, IMPLICIT_ALS, LAYOUT_PARTITIONS, SAMPLE_FRACTION, SAMPLED_GRID, TEST_K,
+                             TOP_N, TUNE_K)
 from tastemap.session import release_held
 from tastemap.sources.files import (materialize, read_parquet_table, repartition_layout, write_csv_parts,
                                     write_parquet_table, write_single_csv, write_single_parquet)
@@ -46,7 +48,7 @@ def _stack(rows: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def evaluate_popularity(splits: dict[str, DataFrame], k: int = 100,
+def evaluate_popularity(splits: dict[str, DataFrame], k: int = TOP_N,
                         report_path: str | None = None) -> DataFrame:
     """Stage B: top-k by popularity from train, scored on validation and test.
 
@@ -58,15 +60,16 @@ def evaluate_popularity(splits: dict[str, DataFrame], k: int = 100,
     return _stack({t: summarize(pop.evaluate_by_user(splits[t], k)) for t in ("val", "test")})
 
 
-def tune_als(splits: dict[str, DataFrame], points: list[tuning.GridPoint], k: int = 100,
+def tune_als(splits: dict[str, DataFrame], points: list[tuning.GridPoint], k: int = TOP_N,
              metric: str = "rmse", lowest: bool = True) -> tuple[DataFrame, DataFrame]:
     """Stage C, tuning: grid on train, scored on validation; (grid, best row)."""
     grid = tuning.run_grid(splits["train"], splits["val"], points, k)
     return grid, tuning.best_params(grid, metric, lowest)
 
 
-def evaluate_als(splits: dict[str, DataFrame], rank: int = 20, max_iter: int = 10, reg: float = 0.1,
-                 k: int = 100, export_dir: str | None = None) -> DataFrame:
+def evaluate_als(splits: dict[str, DataFrame], rank: int = FINAL_ALS["rank"],
+                 max_iter: int = FINAL_ALS["max_iter"], reg: float = FINAL_ALS["reg"],
+                 k: int = TOP_N, export_dir: str | None = None) -> DataFrame:
     """Stage C, final: fit on train; RMSE and ranking metrics on validation
     and test.  ``export_dir`` receives the exploded top-k of every user as
     multi-part CSV (``all-users``)."""
@@ -82,8 +85,9 @@ def evaluate_als(splits: dict[str, DataFrame], rank: int = 20, max_iter: int = 1
     return _stack(rows)
 
 
-def latent_factors(splits: dict[str, DataFrame], out_dir: str, rank: int = 20, max_iter: int = 5,
-                   reg: float = 0.01, alpha: float = 0.1) -> None:
+def latent_factors(splits: dict[str, DataFrame], out_dir: str, rank: int = IMPLICIT_ALS["rank"],
+                   max_iter: int = IMPLICIT_ALS["max_iter"], reg: float = IMPLICIT_ALS["reg"],
+                   alpha: float = IMPLICIT_ALS["alpha"]) -> None:
     """Stage D: implicit ALS; user and item factors written as wide CSV with ids."""
     model = als_ops.fit_als(splits["train"], rank, max_iter, reg, implicit=True, alpha=alpha,
                             nonnegative=False)
@@ -91,9 +95,10 @@ def latent_factors(splits: dict[str, DataFrame], out_dir: str, rank: int = 20, m
         write_csv_parts(als_ops.wide_factors(model, kind), f"{out_dir}/{kind}", header=True, mode="overwrite")
 
 
-def sampled_comparison(spark: SparkSession, splits_path: str, work_dir: str, fraction: float = 0.125,
-                       partitions: int = 200, points: list[tuning.GridPoint] | None = None,
-                       k_tune: int = 500, k_test: int = 10) -> dict[str, DataFrame]:
+def sampled_comparison(spark: SparkSession, splits_path: str, work_dir: str,
+                       fraction: float = SAMPLE_FRACTION, partitions: int = LAYOUT_PARTITIONS,
+                       points: list[tuning.GridPoint] | None = None,
+                       k_tune: int = TUNE_K, k_test: int = TEST_K) -> dict[str, DataFrame]:
     """Stage E: sample each split, lay it out, concatenate, average per pair,
     split the pairs 20/40/40, tune implicit ALS by precision@k_tune (grid
     written as one parquet file), refit the best point and score
@@ -110,7 +115,7 @@ def sampled_comparison(spark: SparkSession, splits_path: str, work_dir: str, fra
     together = sampled["train"].unionByName(sampled["val"]).unionByName(sampled["test"])
     pairs = interaction_split(mean_ratings(together))
     pair_splits = {name: pairs.filter(F.col("split") == name).drop("split") for name in ("train", "val", "test")}
-    points = points or tuning.grid((5, 10, 20, 40, 80, 160), (4,), (0.01, 0.1, 1.0, 2.0), implicit=True)
+    points = points or tuning.grid(implicit=True, **SAMPLED_GRID)
     grid, best = tune_als(pair_splits, points, k_tune, "precision_at_k", lowest=False)
     write_single_parquet(grid, f"{work_dir}/grid")  # one row per grid point: a bounded report
     b = best.first()

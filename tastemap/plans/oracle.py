@@ -11,10 +11,10 @@ from __future__ import annotations
 from tastemap.functions.buckets import cumulative_bounds, hash_unit_sql
 from tastemap.operators.ranking import METRIC_DIGITS
 from tastemap.operators.split import PAIR_FRACTIONS, SPLIT_SEED, USER_FRACTIONS
+from tastemap.params import SAMPLE_FRACTION, TOP_N
 from tastemap.sources.interactions import INTERACTIONS_SQL
 
-TOP_N = 100
-SAMPLE_FRACTION = 0.125
+
 PIVOT_ITEMS = 10_000  # Spark's default spark.sql.pivotMaxValues: the widest dense pivot
 VECTOR_WIDTH = 64
 D = METRIC_DIGITS

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The rating file layout of the source data: ids, a rating, an epoch-second stamp.
-RATINGS_SCHEMA = "userId INT, movieId INT, rating DOUBLE, timestamp INT"
+from tastemap.params import RATINGS_SCHEMA  # the rating file layout: ids, a rating, epoch seconds
+
 
 # Single-file sinks funnel all rows through one task; refuse anything larger.
 SINGLE_FILE_MAX_ROWS = 5_000_000
