@@ -59,27 +59,39 @@ def labelled_users(rated: DataFrame, user: str, min_rows: int, fractions, seed:
     return hold(stats.withColumn("grp", bucket_label(hash_unit([user], seed), fractions, SPLIT_NAMES)))
 
 
-def train_val_test(df: DataFrame, user: str = "user_id", item: str = "item_id",
-                   rating: str = "rating", ts: str = "ts", extra_order: tuple[str, ...] = ("ok", "ln"),
-                   min_rows: int = MIN_USER_ROWS, fractions=USER_FRACTIONS, seed: int = SPLIT_SEED) -> DataFrame:
-    """All kept rows with a ``split`` column (train / val / test).
-
-    One plan: drop zero ratings, count rows per user, label active users,
-    join the labels (broadcast only when the user table is proven small),
-    number held-out rows, and give even-numbered ones to training.
+def label_and_number(df: DataFrame, user: str = "user_id", item: str = "item_id",
+                     rating: str = "rating", ts: str = "ts", extra_order: tuple[str, ...] = ("ok", "ln"),
+                     min_rows: int = MIN_USER_ROWS, fractions=USER_FRACTIONS,
+                     seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
+    """(train-group rows, numbered held-out rows), both with ``grp``.
+
+    Drops zero ratings, counts rows per user, labels active users, joins the
+    labels (broadcast only when the user table is proven small) and numbers
+    the rows of validation and test users in one global order.
     """
     rated = nonzero_ratings(df, rating)
     stats = labelled_users(rated, user, min_rows, fractions, seed)
     labeled = join_checked(rated, stats.select(user, "grp"), user, persist=False)
-
-    train_rows = labeled.filter(F.col("grp") == "train").withColumn("split", F.lit("train"))
+    train_rows = labeled.filter(F.col("grp") == "train")
     held = labeled.filter(F.col("grp") != "train")
     numbered = number_held_out(held, order_columns(user, item, rating, ts, list(extra_order)),
                                held_out_rows(stats))
-    held_rows = numbered.withColumn(
+    return train_rows, numbered
+
+
+def half_split(numbered: DataFrame) -> DataFrame:
+    """Even-numbered held-out rows go to training, odd ones stay in their group."""
+    return numbered.withColumn(
         "split", F.when(F.col("row_index") % 2 == 0, F.lit("train")).otherwise(F.col("grp"))
     ).drop("row_index")
-    return train_rows.unionByName(held_rows).drop("grp")
+
+
+def train_val_test(df: DataFrame, user: str = "user_id", item: str = "item_id",
+                   rating: str = "rating", ts: str = "ts", extra_order: tuple[str, ...] = ("ok", "ln"),
+                   min_rows: int = MIN_USER_ROWS, fractions=USER_FRACTIONS, seed: int = SPLIT_SEED) -> DataFrame:
+    """All kept rows with a ``split`` column (train / val / test)."""
+    train_rows, numbered = label_and_number(df, user, item, rating, ts, extra_order, min_rows, fractions, seed)
+    return train_rows.withColumn("split", F.lit("train")).unionByName(half_split(numbered)).drop("grp")
 
 
 def interaction_split(pairs: DataFrame, user: str = "user_id", item: str = "item_id",

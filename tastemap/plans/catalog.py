@@ -21,9 +21,8 @@ from tastemap.operators.popularity import PopularityRecommender, popularity_scor
 from tastemap.operators.prep import (active_users, copy_column, drop_null_rows, hash_sample,
                                      nonzero_ratings)
 from tastemap.operators.ranking import item_mean_predictions, ranking_metrics, rmse, summarize, truth_sets
-from tastemap.operators.split import (SPLIT_SEED, USER_FRACTIONS, held_out_rows, interaction_split,
-                                      labelled_users, number_held_out, order_columns, train_val_test,
-                                      user_groups)
+from tastemap.operators.split import (SPLIT_SEED, half_split, interaction_split, label_and_number,
+                                      train_val_test, user_groups)
 from tastemap.params import (EXPLICIT_GRID, FINAL_ALS, IMPLICIT_ALS, REGISTERED_IMPLICIT_GRID, TEST_K,
                              TUNE_K)
 from tastemap.plans.oracle import PIVOT_ITEMS, SAMPLE_FRACTION, TOP_N, VECTOR_WIDTH
@@ -32,7 +31,6 @@ from tastemap.sources.files import (materialize, read_csv_table, read_parquet_ta
                                     row_count, write_csv_parts, write_parquet_table, write_single_csv)
 from tastemap.sources.interactions import interactions
 from tastemap.sources.tables import load_table
-from tastemap.operators.joins import join_checked
 
 SAMPLE_KEY = ["user_id", "item_id", "ok", "ln"]
 SPLIT_COLUMNS = ["user_id", "item_id", "rating", "ts", "ok", "ln", "split"]
@@ -78,12 +76,7 @@ def split_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _held_out(spark: SparkSession, sf: str) -> DataFrame:
-    r = nonzero_ratings(stored_interactions(spark, sf))
-    stats = labelled_users(r, "user_id", 10, USER_FRACTIONS, SPLIT_SEED)
-    labeled = join_checked(r, stats.select("user_id", "grp"), "user_id", persist=False)
-    held = labeled.filter(F.col("grp") != "train")
-    return number_held_out(held, order_columns("user_id", "item_id", "rating", "ts", ["ok", "ln"]),
-                           held_out_rows(stats))
+    return label_and_number(stored_interactions(spark, sf))[1]
 
 
 def _popularity(spark: SparkSession, sf: str, splits: DataFrame | None = None) -> tuple[DataFrame, PopularityRecommender]:
@@ -171,9 +164,7 @@ def q_row_numbers(spark, sf):
 
 
 def q_half_split(spark, sf):
-    held = _held_out(spark, sf)
-    return held.select("user_id", "item_id", "rating", "ts", "ok", "ln",
-                       F.when(F.col("row_index") % 2 == 0, F.lit("train")).otherwise(F.col("grp")).alias("split"))
+    return half_split(_held_out(spark, sf)).select("user_id", "item_id", "rating", "ts", "ok", "ln", "split")
 
 
 def q_train_val_test(spark, sf):
