@@ -15,7 +15,7 @@ by the data) become offsets, joined back as a broadcast table of that size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemap.sources.files import materialize
@@ -64,3 +64,31 @@ def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_ind
     return (tagged.join(F.broadcast(offset_table), "_pid")
             .withColumn(name, F.col("_offset") + F.col("_pos"))
             .drop("_pid", "_pos", "_offset"))
+
+
+def with_running_sum(df: DataFrame, order_cols: list[str], weight: str, name: str,
+                     num_partitions: int | None = None) -> DataFrame:
+    """Add ``name``: the sum of ``weight`` over all rows before this one in the
+    total order ``order_cols`` (an exclusive prefix sum), without a
+    single-task window.
+
+    Same scheme as ``with_global_index``: range partitions written once with
+    their partition id, a running sum inside each partition (a window over one
+    partition's rows), and per-partition totals as a broadcast offset table.
+    """
+    spark = df.sparkSession
+    n = num_partitions or spark.sparkContext.defaultParallelism
+    tagged = materialize(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()),
+                         "running")
+    before = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = tagged.withColumn("_local", F.coalesce(F.sum(weight).over(before), F.lit(0)).cast("long"))
+    totals = {r["_pid"]: r["_tot"] or 0 for r in
+              tagged.groupBy("_pid").agg(F.sum(weight).alias("_tot")).collect()}
+    offsets, acc = [], 0
+    for pid in range(n):
+        offsets.append((pid, acc))
+        acc += int(totals.get(pid, 0))
+    offset_table = spark.createDataFrame(offsets, "_pid INT, _offset LONG")
+    return (local.join(F.broadcast(offset_table), "_pid")
+            .withColumn(name, F.col("_offset") + F.col("_local"))
+            .drop("_pid", "_local", "_offset"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.functions.buckets import hash_unit
+from tastemap.functions.buckets import fraction_threshold, hash_bucket
 from tastemap.params import MIN_USER_ROWS
 
 
@@ -32,9 +32,7 @@ def hash_sample(df: DataFrame, fraction: float, seed: int, key_cols: list[str])
 
     Same rows on any partitioning and in any engine; a narrow filter, no shuffle.
     """
-    if not 0.0 <= fraction <= 1.0:
-        raise ValueError("fraction must lie in [0, 1]")
-    return df.filter(hash_unit(key_cols, seed) < F.lit(float(fraction)))
+    return df.filter(hash_bucket(key_cols, seed) < F.lit(fraction_threshold(fraction)))
 
 
 def user_activity(df: DataFrame, user: str = "user_id") -> DataFrame:

@@ -160,7 +160,8 @@ def q_user_groups(spark, sf):
 
 
 def q_row_numbers(spark, sf):
-    return _held_out(spark, sf).select("user_id", "item_id", "rating", "ts", "ok", "ln", "grp", "row_index")
+    return _held_out(spark, sf).select("user_id", "item_id", "rating", "ts", "ok", "ln", "grp", "row_index",
+                                       "user_row")
 
 
 def q_half_split(spark, sf):

@@ -8,7 +8,7 @@ rounded to the same number of digits as on the Spark side.
 
 from __future__ import annotations
 
-from tastemap.functions.buckets import cumulative_bounds, hash_unit_sql
+from tastemap.functions.buckets import bucket_thresholds, fraction_threshold, hash_bucket_sql
 from tastemap.operators.ranking import METRIC_DIGITS
 from tastemap.operators.split import PAIR_FRACTIONS, SPLIT_SEED, USER_FRACTIONS
 from tastemap.params import SAMPLE_FRACTION, TOP_N
@@ -20,9 +20,9 @@ VECTOR_WIDTH = 64
 D = METRIC_DIGITS
 
 
-def _label(u: str, fractions, names=("train", "val", "test")) -> str:
-    bounds = cumulative_bounds(fractions)
-    whens = " ".join(f"WHEN {u} < CAST({b!r} AS DOUBLE) THEN '{n}'" for b, n in zip(bounds[:-1], names[:-1]))
+def _label(bucket: str, fractions, names=("train", "val", "test")) -> str:
+    bounds = bucket_thresholds(fractions)
+    whens = " ".join(f"WHEN {bucket} < {b} THEN '{n}'" for b, n in zip(bounds[:-1], names[:-1]))
     return f"CASE {whens} ELSE '{names[-1]}' END"
 
 
@@ -31,14 +31,15 @@ rated AS (SELECT * FROM inter WHERE rating <> 0)"""
 
 SPLIT = f"""{BASE},
 active AS (SELECT user_id, count(*) AS n_rows FROM rated GROUP BY user_id HAVING count(*) >= 10),
-groups AS (SELECT user_id, {_label(hash_unit_sql(['user_id'], SPLIT_SEED), USER_FRACTIONS)} AS grp FROM active),
+groups AS (SELECT user_id, {_label(hash_bucket_sql(['user_id'], SPLIT_SEED), USER_FRACTIONS)} AS grp FROM active),
 labeled AS (SELECT r.*, g.grp FROM rated r JOIN groups g USING (user_id)),
-held AS (SELECT *, row_number() OVER (ORDER BY user_id, ts, item_id, ok, ln, rating) - 1 AS row_index
+held AS (SELECT *, row_number() OVER (ORDER BY user_id, ts, item_id, ok, ln, rating) - 1 AS row_index,
+                row_number() OVER (PARTITION BY user_id ORDER BY ts, item_id, ok, ln, rating) - 1 AS user_row
          FROM labeled WHERE grp <> 'train'),
 split AS (SELECT user_id, item_id, rating, ts, ok, ln, 'train' AS split FROM labeled WHERE grp = 'train'
           UNION ALL
           SELECT user_id, item_id, rating, ts, ok, ln,
-                 CASE WHEN row_index % 2 = 0 THEN 'train' ELSE grp END AS split FROM held)"""
+                 CASE WHEN user_row % 2 = 0 THEN 'train' ELSE grp END AS split FROM held)"""
 
 POPULARITY = f"""{SPLIT},
 train AS (SELECT * FROM split WHERE split = 'train'),
@@ -96,7 +97,7 @@ SELECT * FROM inter WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND rating
   AND ts IS NOT NULL AND ok IS NOT NULL AND ln IS NOT NULL""",
 
     "hash_sample": f"""WITH {BASE}
-SELECT * FROM rated WHERE {hash_unit_sql(['user_id', 'item_id', 'ok', 'ln'], SPLIT_SEED)} < {SAMPLE_FRACTION}""",
+SELECT * FROM rated WHERE {hash_bucket_sql(['user_id', 'item_id', 'ok', 'ln'], SPLIT_SEED)} < {fraction_threshold(SAMPLE_FRACTION)}""",
 
     "active_users": f"""WITH {BASE}
 SELECT user_id, count(*) AS n_rows FROM rated GROUP BY user_id HAVING count(*) >= 10""",
@@ -105,11 +106,11 @@ SELECT user_id, count(*) AS n_rows FROM rated GROUP BY user_id HAVING count(*) >
 SELECT user_id, grp FROM groups""",
 
     "row_numbers": f"""WITH {SPLIT}
-SELECT user_id, item_id, rating, ts, ok, ln, grp, row_index FROM held""",
+SELECT user_id, item_id, rating, ts, ok, ln, grp, row_index, user_row FROM held""",
 
     "half_split": f"""WITH {SPLIT}
 SELECT user_id, item_id, rating, ts, ok, ln,
-       CASE WHEN row_index % 2 = 0 THEN 'train' ELSE grp END AS split FROM held""",
+       CASE WHEN user_row % 2 = 0 THEN 'train' ELSE grp END AS split FROM held""",
 
     "train_val_test": f"WITH {SPLIT}\nSELECT * FROM split",
 
@@ -137,10 +138,10 @@ UNION ALL SELECT 'test', count(*) FROM split WHERE split = 'test'""",
 SELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM split GROUP BY split""",
 
     "interaction_split": f"""WITH {SPLIT},
-sampled AS (SELECT * FROM split WHERE {hash_unit_sql(['user_id', 'item_id', 'ok', 'ln'], SPLIT_SEED)} < {SAMPLE_FRACTION}),
+sampled AS (SELECT * FROM split WHERE {hash_bucket_sql(['user_id', 'item_id', 'ok', 'ln'], SPLIT_SEED)} < {fraction_threshold(SAMPLE_FRACTION)}),
 pairs AS (SELECT user_id, item_id, avg(rating) AS rating FROM sampled GROUP BY user_id, item_id)
 SELECT user_id, item_id, rating,
-       {_label(hash_unit_sql(['user_id', 'item_id'], SPLIT_SEED), PAIR_FRACTIONS)} AS split FROM pairs""",
+       {_label(hash_bucket_sql(['user_id', 'item_id'], SPLIT_SEED), PAIR_FRACTIONS)} AS split FROM pairs""",
 
     "popularity_scores": f"WITH {POPULARITY}\nSELECT item_id, score FROM scores",
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
-from tastemap.functions.buckets import hash_unit, hash_unit_sql
+from tastemap.functions.buckets import hash_bucket, hash_bucket_sql
 from tastemap.functions.numbering import with_global_index
 from tastemap.operators.prep import active_users, hash_sample, nonzero_ratings
 from tastemap.operators.split import interaction_split, train_val_test, user_groups
@@ -15,13 +15,13 @@ def split_pdf(spark):
     return train_val_test(interactions(spark, SF_MID)).toPandas()
 
 
-def test_hash_unit_equal_in_spark_and_duckdb(spark):
+def test_hash_bucket_equal_in_spark_and_duckdb(spark):
     ids = spark.range(0, 3000).withColumnRenamed("id", "user_id")
-    got = ids.select("user_id", hash_unit(["user_id"], 2020).alias("u")).toPandas().sort_values("user_id")
+    got = ids.select("user_id", hash_bucket(["user_id"], 2020).alias("b")).toPandas().sort_values("user_id")
     con = duckdb.connect()
-    want = con.sql(f"SELECT range AS user_id, {hash_unit_sql(['range'], 2020)} AS u FROM range(3000)").df()
-    assert (got["u"].values == want.sort_values("user_id")["u"].values).all()
-    assert 0.0 <= got["u"].min() and got["u"].max() < 1.0
+    want = con.sql(f"SELECT range AS user_id, {hash_bucket_sql(['range'], 2020)} AS b FROM range(3000)").df()
+    assert (got["b"].values == want.sort_values("user_id")["b"].values).all()
+    assert 0 <= got["b"].min() and got["b"].max() < 1000
 
 
 def test_user_groups_fractions(spark):

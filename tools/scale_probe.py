@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tastemap.functions.buckets import hash_unit  # noqa: E402
+from tastemap.functions.buckets import hash_bucket  # noqa: E402
 from tastemap.operators import als as als_ops  # noqa: E402
 from tastemap.operators.popularity import PopularityRecommender  # noqa: E402
 from tastemap.operators.ranking import summarize  # noqa: E402
@@ -54,8 +54,8 @@ def main() -> None:
     big = materialize(big, "probe-big")
     res["rows"] = big.count()
 
-    ids = spark.range(1, 1000).select(F.col("id").alias("user_id"), hash_unit(["user_id"], SPLIT_SEED).alias("u"))
-    hot = ids.filter("u >= 0.6 AND u < 0.8").orderBy("user_id").first()["user_id"]
+    ids = spark.range(1, 1000).select(F.col("id").alias("user_id"), hash_bucket(["user_id"], SPLIT_SEED).alias("b"))
+    hot = ids.filter("b >= 600 AND b < 800").orderBy("user_id").first()["user_id"]
     skewed = materialize(big.withColumn("user_id", F.when(F.col("ok") % 3 == 0, F.lit(hot))
                                         .otherwise(F.col("user_id"))), "probe-skewed")
 
