@@ -89,3 +89,12 @@ def test_interaction_split_fractions(spark):
     total = sum(counts.values())
     assert abs(counts["train"] / total - 0.2) < 0.02
     assert abs(counts["val"] / total - 0.4) < 0.02
+
+
+def test_running_sum_matches_brute_force(spark):
+    from tastemap.functions.numbering import with_running_sum
+
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), (F.col("id") % 13 + 1).alias("w"))
+    got = with_running_sum(df, ["k"], "w", "before", num_partitions=7).toPandas().sort_values("k")
+    want = got["w"].cumsum() - got["w"]
+    assert (got["before"].values == want.values).all()
