@@ -20,7 +20,8 @@ from tastemap.operators.split import SPLIT_SEED, interaction_split, train_val_te
 from tastemap.params import (FINAL_ALS, IMPLICIT_ALS, LAYOUT_PARTITIONS, SAMPLE_FRACTION, SAMPLED_GRID, TEST_K,
                              TOP_N, TUNE_K)
 from tastemap.session import release_held
-from tastemap.sources.files import (materialize, read_parquet_table, repartition_layout, write_csv_parts,
+from tastemap.sources.files import (materialize, read_csv_table, read_parquet_table, repartition_layout,
+                                    write_csv_parts,
                                     write_parquet_table, write_single_csv, write_single_parquet)
 from tastemap.sources.interactions import interactions
 
@@ -33,6 +34,22 @@ def write_splits(spark: SparkSession, sf_dir: str, out_path: str) -> str:
     return out_path
 
 
+def ratings_from_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A rating file (userId, movieId, rating, epoch-second timestamp, with a
+    header line) as (user_id, item_id, rating, ts)."""
+    raw = read_csv_table(spark, path)
+    return raw.select(F.col("userId").cast("long").alias("user_id"), F.col("movieId").cast("long").alias("item_id"),
+                      F.col("rating"), F.timestamp_seconds(F.col("timestamp")).alias("ts"))
+
+
+def write_splits_from_ratings(spark: SparkSession, csv_path: str, out_path: str) -> str:
+    """Stage A from a rating file: ties in (user, ts, item, rating) are whole-row duplicates."""
+    source = materialize(ratings_from_csv(spark, csv_path), "ratings")
+    write_parquet_table(train_val_test(source, extra_order=()), out_path, partition_by=["split"])
+    release_held()
+    return out_path
+
+
 def read_splits(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The three splits; each filter prunes to its folder."""
     table = read_parquet_table(spark, path)

@@ -61,3 +61,19 @@ def test_sampled_comparison_job(spark, splits_path):
     assert best["precision_at_k"] == max(r["precision_at_k"] for r in out["grid"].collect())
     assert out["refit"].first()["k"] == 10
     assert out["cross_table"].columns == ["reg", "2", "4"]
+
+
+def test_split_from_a_rating_file(spark, splits_path):
+    from tastemap.sources.files import write_csv_parts
+    from tastemap.sources.interactions import interactions
+
+    inter = interactions(spark, SF_SMALL)
+    csv_path = scratch_path(spark, "ratings-file")
+    write_csv_parts(inter.select(F.col("user_id").cast("int").alias("userId"),
+                                 F.col("item_id").cast("int").alias("movieId"), "rating",
+                                 F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+                                 .cast("int").alias("timestamp")), csv_path, header=True, mode="overwrite")
+    out = jobs.write_splits_from_ratings(spark, csv_path, scratch_path(spark, "csv-splits"))
+    per_user = lambda df: {(r["user_id"], r["split"]): r["count"]
+                           for r in df.groupBy("user_id", "split").count().collect()}
+    assert per_user(spark.read.parquet(out)) == per_user(spark.read.parquet(splits_path))
