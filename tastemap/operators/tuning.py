@@ -56,9 +56,13 @@ def run_grid(train: DataFrame, valid: DataFrame, points: list[GridPoint], k: int
     finally:
         train.unpersist()
         valid.unpersist()
-    spark = train.sparkSession
-    return spark.createDataFrame([tuple(r[c.split()[0]] for c in GRID_SCHEMA.split(", ")) for r in rows],
-                                 GRID_SCHEMA)
+    return metrics_frame(train.sparkSession, rows)
+
+
+def metrics_frame(spark, rows: list[dict]) -> DataFrame:
+    """Metric rows (one per grid point, so a handful) as a DataFrame."""
+    names = [c.split()[0] for c in GRID_SCHEMA.split(", ")]
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], GRID_SCHEMA)
 
 
 def best_params(results: DataFrame, metric: str = "rmse", lowest: bool = True) -> DataFrame:

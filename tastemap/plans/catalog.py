@@ -254,23 +254,17 @@ def q_vector_columns(spark, sf):
 
 # --- ALS (shape-checked) ------------------------------------------------------
 
-FINAL = FINAL_ALS
-IMPLICIT = IMPLICIT_ALS
-IMPLICIT_GRID = REGISTERED_IMPLICIT_GRID
-IMPLICIT_K = TUNE_K
-REFIT_K = TEST_K
-
 def _explicit_model(spark, sf):
     def build():
         train = split_table(spark, sf).filter(F.col("split") == "train")
-        return als_ops.fit_als(train, **FINAL)
+        return als_ops.fit_als(train, **FINAL_ALS)
     return _memoized(("explicit", sf), build, spark)
 
 
 def _implicit_model(spark, sf):
     def build():
         train = split_table(spark, sf).filter(F.col("split") == "train")
-        return als_ops.fit_als(train, implicit=True, nonnegative=False, **IMPLICIT)
+        return als_ops.fit_als(train, implicit=True, nonnegative=False, **IMPLICIT_ALS)
     return _memoized(("implicit", sf), build, spark)
 
 
@@ -321,9 +315,9 @@ def _pair_splits(spark, sf):
 def _implicit_grid(spark, sf):
     def build():
         pairs = _pair_splits(spark, sf)
-        points = tuning.grid(implicit=True, **IMPLICIT_GRID)
+        points = tuning.grid(implicit=True, **REGISTERED_IMPLICIT_GRID)
         return tuning.run_grid(pairs.filter("split = 'train'"), pairs.filter("split = 'val'"), points,
-                               IMPLICIT_K)
+                               TUNE_K)
     return _memoized(("implicit_grid", sf), build, spark)
 
 
@@ -348,9 +342,8 @@ def q_best_refit(spark, sf):
     best = q_best_implicit_params(spark, sf).first()
     pairs = _pair_splits(spark, sf)
     point = tuning.GridPoint(best["rank"], best["max_iter"], best["reg"], best["alpha"], True)
-    row = tuning.evaluate_point(pairs.filter("split = 'train'"), pairs.filter("split = 'test'"), point, REFIT_K)
-    return spark.createDataFrame([tuple(row[c.split()[0]] for c in tuning.GRID_SCHEMA.split(", "))],
-                                 tuning.GRID_SCHEMA)
+    row = tuning.evaluate_point(pairs.filter("split = 'train'"), pairs.filter("split = 'test'"), point, TEST_K)
+    return tuning.metrics_frame(spark, [row])
 
 
 def q_metric_cross_table(spark, sf):

@@ -138,7 +138,6 @@ def sampled_comparison(spark: SparkSession, splits_path: str, work_dir: str,
     b = best.first()
     point = tuning.GridPoint(b["rank"], b["max_iter"], b["reg"], b["alpha"], True)
     refit = tuning.evaluate_point(pair_splits["train"], pair_splits["test"], point, k_test)
-    refit_df = spark.createDataFrame([tuple(refit[c.split()[0]] for c in tuning.GRID_SCHEMA.split(", "))],
-                                     tuning.GRID_SCHEMA)
+    refit_df = tuning.metrics_frame(spark, [refit])
     return {"grid": grid, "best": best, "refit": refit_df,
             "cross_table": tuning.cross_table(grid, "reg", "rank", "precision_at_k")}
