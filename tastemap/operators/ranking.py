@@ -27,8 +27,12 @@ METRIC_DIGITS = 10
 
 
 def truth_sets(rows: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
-    """Distinct (user, item): the truth as a set, one row per element."""
-    return rows.select(user, item).distinct()
+    """Distinct (user, item): the truth as a set, one row per element.
+
+    NULL keys are dropped here, where the hit join would drop them anyway, so
+    the sizes branch and the hits branch share one plan and one shuffle.
+    """
+    return rows.select(user, item).filter(F.col(user).isNotNull() & F.col(item).isNotNull()).distinct()
 
 
 def truth_sizes(truth: DataFrame, user: str = "user_id") -> DataFrame:
