@@ -39,9 +39,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediates.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system).
-    Only when the session names none, as in local tests, a fresh local
-    folder is taken.
+    On a cluster this is ``spark.checkpoint.dir`` (a shared file system), and
+    its absence is an error.  Only in local mode, when the session names
+    none (as in tests), a fresh local folder is taken.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +49,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(a shared file system); a machine-local folder does not survive "
+                               "on a cluster")
         configured = tempfile.mkdtemp(prefix="tastemap-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
