@@ -18,15 +18,18 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS, persist: bool = True) -> DataFrame:
+                 max_rows: int = BROADCAST_MAX_ROWS, persist: bool = True,
+                 known_rows: int | None = None) -> DataFrame:
     """``big ⋈ small``, broadcasting ``small`` only when it is proven small.
 
     ``small`` is persisted first (unless the caller already holds it) so the
     size check and the join compute it once; a lost cached block is rebuilt
-    from lineage.
+    from lineage.  ``known_rows`` (an exact count the caller already has)
+    replaces the check's own count.
     """
     if persist:
         small = hold(small)
-    if bounded_rows(small, max_rows):
+    small_enough = known_rows <= max_rows if known_rows is not None else bounded_rows(small, max_rows)
+    if small_enough:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

@@ -62,10 +62,11 @@ def first_positions(stats: DataFrame, user: str = "user_id") -> DataFrame:
     return stats.select(user, "grp").join(starts.select(user, "first_index"), user, "left")
 
 
-def held_out_rows(stats: DataFrame) -> int:
-    """Rows of validation and test users, summed over the (small) user table."""
-    total = stats.filter(F.col("grp") != "train").agg(F.sum("n_rows")).first()[0]
-    return int(total or 0)
+def user_table_sizes(stats: DataFrame) -> tuple[int, int]:
+    """(active users, rows of validation and test users) in one pass over the user table."""
+    row = stats.agg(F.count(F.lit(1)).alias("users"),
+                    F.sum(F.when(F.col("grp") != "train", F.col("n_rows"))).alias("held")).first()
+    return int(row["users"]), int(row["held"] or 0)
 
 
 def labelled_users(rated: DataFrame, user: str, min_rows: int, fractions, seed: int) -> DataFrame:
@@ -87,11 +88,11 @@ def label_and_number(df: DataFrame, user: str = "user_id", item: str = "item_id"
     """
     rated = nonzero_ratings(df, rating)
     stats = labelled_users(rated, user, min_rows, fractions, seed)
-    labeled = join_checked(rated, first_positions(stats, user), user)
+    n_users, n_held = user_table_sizes(stats)
+    labeled = join_checked(rated, first_positions(stats, user), user, known_rows=n_users)
     train_rows = labeled.filter(F.col("grp") == "train").drop("first_index")
     held = labeled.filter(F.col("grp") != "train")
-    numbered = number_held_out(held, order_columns(user, item, rating, ts, list(extra_order)),
-                               held_out_rows(stats))
+    numbered = number_held_out(held, order_columns(user, item, rating, ts, list(extra_order)), n_held)
     return train_rows, (numbered.withColumn("user_row", F.col("row_index") - F.col("first_index"))
                         .drop("first_index"))
 
