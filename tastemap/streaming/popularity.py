@@ -8,18 +8,32 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def popularity_stream(spark: SparkSession, source_dir: str, schema: str, checkpoint: str,
-                      sink: str = "memory", query_name: str = "popularity_scores",
-                      item: str = "item_id", user: str = "user_id",
+                      output_path: str | None = None, sink: str = "snapshot",
+                      query_name: str = "popularity_scores", item: str = "item_id", user: str = "user_id",
                       max_files_per_trigger: int = 100) -> StreamingQuery:
     """Start a query keeping (item, score) current as parquet files arrive.
 
     The state is one count per item (bounded by the catalogue, not by the
     stream); the aggregation is partial per micro-batch task before its
     shuffle, and the checkpoint folder makes it restartable after failure.
+
+    ``sink="snapshot"`` (the default) overwrites ``output_path`` with the full
+    score table after every micro-batch through ``foreachBatch``;
+    ``sink="memory"`` keeps it in an in-memory table named ``query_name`` (for
+    tests: that table lives in the driver).
     """
     events: DataFrame = (spark.readStream.schema(schema)
                          .option("maxFilesPerTrigger", max_files_per_trigger)
                          .parquet(source_dir))
     scores = events.groupBy(item).agg(F.count(user).alias("score"))
-    return (scores.writeStream.outputMode("complete").format(sink).queryName(query_name)
-            .option("checkpointLocation", checkpoint).start())
+    writer = (scores.writeStream.outputMode("complete").queryName(query_name)
+              .option("checkpointLocation", checkpoint))
+    if sink == "memory":
+        return writer.format("memory").start()
+    if sink != "snapshot" or not output_path:
+        raise ValueError("use sink='snapshot' with an output_path, or sink='memory'")
+
+    def write_snapshot(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(output_path)
+
+    return writer.foreachBatch(write_snapshot).start()

@@ -11,7 +11,7 @@ def test_stream_equals_batch(spark):
     src = scratch_path(spark, "stream-src")
     rows.repartition(4).write.parquet(src)
     q = popularity_stream(spark, src, "user_id LONG, item_id LONG", scratch_path(spark, "stream-ckpt"),
-                          max_files_per_trigger=1)
+                          sink="memory", max_files_per_trigger=1)
     try:
         q.processAllAvailable()
         got = spark.sql("SELECT item_id, score FROM popularity_scores")
@@ -19,3 +19,18 @@ def test_stream_equals_batch(spark):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
         q.stop()
+
+
+def test_stream_snapshot_sink(spark):
+    rows = interactions(spark, SF_SMALL).filter("rating != 0").select("user_id", "item_id")
+    src, out = scratch_path(spark, "stream-src2"), scratch_path(spark, "stream-out")
+    rows.repartition(3).write.parquet(src)
+    q = popularity_stream(spark, src, "user_id LONG, item_id LONG", scratch_path(spark, "stream-ckpt2"),
+                          output_path=out)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.read.parquet(out)
+    want = popularity_scores(rows)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
