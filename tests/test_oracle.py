@@ -39,3 +39,15 @@ def test_entry_runs(spark):
     rows = df.collect()
     assert [r["split"] for r in rows] == ["val", "test"]
     assert all(0.0 <= r["precision_at_k"] <= 1.0 for r in rows)
+
+
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+                   "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_query_types_match_sql(spark, con, name):
+    got = {c: SPARK_TO_DUCKDB.get(t, t) for c, t in entry.queries()[name](spark, SF_SMALL).dtypes}
+    rel = con.sql(entry.oracle_sql()[name])
+    want = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert got == want
