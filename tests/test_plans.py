@@ -30,3 +30,17 @@ def test_interaction_scans_are_pruned(spark):
 def test_lineitem_orders_is_a_shuffle_join(spark):
     plan = _plan(interactions(spark, SF_SMALL))
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_truth_set_is_shuffled_once(spark):
+    from pyspark.sql import functions as F
+    from tastemap.operators.popularity import PopularityRecommender
+    from tastemap.operators.ranking import summarize
+    from tastemap.plans.catalog import split_table
+
+    s = split_table(spark, SF_SMALL)
+    pop = PopularityRecommender(100).create(s.filter(F.col("split") == "train"))
+    df = summarize(pop.evaluate_by_user(s.filter(F.col("split") == "val"), 100))
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "hashpartitioning(user_id" in final
