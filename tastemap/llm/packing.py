@@ -22,7 +22,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -30,8 +30,9 @@ from tastemap.llm.lexicon import Words, Runs, by_bytes
 from tastemap.llm.text import LETTERS, PUNCT, WHITE, BoundedCache, slices, text_of
 
 WINDOW = 2048
+BATCH_DOCS = 512
 END_ID = 1
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 800_000
 # Cuts that the tokenizer's normaliser and splitter respect: a plain word
 # before punctuation, white space or the end; else a run without white space.
 PIECE = re.compile(f"[{LETTERS}]+(?=[{PUNCT}{WHITE}]|$)|[^{WHITE}]+")
@@ -176,46 +177,47 @@ class Packer:
         return out
 
 
-def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID,
-                   batch: int = 256) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (binary), doc_tokens,
     sequence_id, offset."""
     end = np.array([end_id], "<u4").tobytes()
 
-    def run(frames):
+    def run(batches):
         tok, packer = load_tokenizer(path), Packer(window)
-        base, made = TaskContext.get().partitionId() << 33, 0
+        base, made, schema = TaskContext.get().partitionId() << 33, 0, None
 
         def rows(windows):
             nonlocal made
-            out = []
+            out: list = [[] for _ in schema]
             for win in windows:
                 at = 0
                 for (doc, tokens), start, ids in win:
-                    out.append((doc, start, len(ids) // 4, ids, tokens, base + made, at))
-                    at += len(ids) // 4
+                    size = len(ids) // 4
+                    for column, value in zip(out, (doc, start, size, ids, tokens, base + made, at)):
+                        column.append(value)
+                    at += size
                 made += 1
-            frame = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids", "doc_tokens",
-                                               "sequence_id", "offset"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64") if integral else frame["doc_id"]
-            return frame
-
-        for frame in frames:
-            for s in slices(len(frame), batch):
-                part, full = frame.iloc[s], []
-                ids_of = tok.encode_texts([text_of(t) for t in part["text"]])
-                for doc_id, ids in zip(part["doc_id"].tolist(), ids_of):
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
+        for batch in batches:
+            schema = pa.schema([("doc_id", batch.column("doc_id").type), ("start", pa.int64()), ("length", pa.int64()),
+                                ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
+                                ("offset", pa.int64())])
+            texts, names = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+            for s in slices(len(texts), BATCH_DOCS):
+                full = []
+                for name, ids in zip(names[s], tok.encode_texts([text_of(t) for t in texts[s]])):
                     ids += end
-                    doc = (None if pd.isna(doc_id) else int(doc_id) if integral else doc_id, len(ids) // 4)
+                    doc = (name, len(ids) // 4)
                     for start in range(0, len(ids), 4 * window):
                         win = packer.add((doc, start // 4, ids[start: start + 4 * window]))
                         if win:
                             full.append(win)
                 yield rows(full)
-        yield rows(packer.flush())
+        if schema is not None:
+            yield rows(packer.flush())
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    integral = kind in ("bigint", "int", "smallint", "tinyint")
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
              "sequence_id long, offset long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tastemap.llm import ann, byte_bpe, packing, topk_search
+from tastemap.llm import ann, byte_bpe, jaccard_join, packing, topk_search
 from tastemap.sources.tables import load_table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -28,10 +28,13 @@ def op3_sum_of_squares_packing(spark, sf):
 
 def op9_byte_bpe(spark, sf):
     ids = byte_bpe.encode(load_table(spark, sf, "documents", ["doc_id", "text"]), BYTE_VOCABULARY,
-                          public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(F.col("ids"), BYTE_VOCABULARY, public_tokenizers.PATTERN)
+                          public_tokenizers.PATTERN, decoded=True)
     return ids.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decoded, 256).alias("decoded_sha256"))
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_ngram_jaccard_join(spark, sf):
+    return jaccard_join.join_components(load_table(spark, sf, "documents", ["doc_id", "text"]))
 
 
 QUERIES = {
@@ -39,6 +42,7 @@ QUERIES = {
     "op2_adaptive_dimension_ann": op2_adaptive_dimension_ann,
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 ORACLE_SQL = {

@@ -6,6 +6,7 @@ import hashlib
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,14 @@ def slices(n: int, size: int):
     return (slice(i, min(n, i + size)) for i in range(0, n, size))
 
 
+def by_weight(weights: np.ndarray, limit: int):
+    """Consecutive slices whose weights add up to about ``limit`` at most."""
+    group = (np.cumsum(weights) - weights) // max(1, limit)
+    cuts = np.flatnonzero(np.diff(group)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(weights)]):
+        yield slice(a, b)
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not use."""
     name = f"_{stem}_{uuid.uuid4().hex[:8]}"
@@ -79,3 +88,15 @@ def sha_hex(data: bytes) -> str:
 def crc_mod(doc_id: Column, m: int) -> Column:
     """crc32 of the id as text, modulo ``m``; a null id counts as remainder 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % m, F.lit(0))
+
+
+def byte_texts(column) -> list[bytes]:
+    """The UTF-8 bytes of an Arrow string column; null counts as empty."""
+    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    return [t or b"" for t in column.cast(kind).to_pylist()]
+
+
+def arrow_rows(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns.values(), schema)],
+        schema=schema)
