@@ -21,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ from tastemap.llm.text import LETTERS, PUNCT, WHITE, BoundedCache, slices, text_
 
 LONG_PIECE = 1024          # bytes; longer matches are merged one by one
 MATRIX_CELLS = 1 << 20     # cells of one padded matrix
-CACHE_CHUNKS = 1_000_000     # distinct chunks remembered by a task
+BATCH_DOCS = 512
+CACHE_CHUNKS = 600_000     # distinct chunks remembered by a task
 NONE = np.int32(2**31 - 1)
 # Cuts that every match of the pattern respects: a plain word before
 # punctuation, white space or the end; else white space with what follows it.
@@ -246,19 +248,23 @@ def load(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, batch: int = 256) -> DataFrame:
-    """doc_id, ids (binary, little-endian unsigned 32-bit), from doc_id, text."""
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """doc_id, ids (binary, little-endian unsigned 32-bit), from doc_id, text;
+    with ``decoded`` also the bytes that the ids decode to."""
 
-    def run(frames):
+    def run(batches):
         bpe = load(path, pattern)
-        for frame in frames:
-            for s in slices(len(frame), batch):
-                part = frame.iloc[s]
-                yield pd.DataFrame({"doc_id": part["doc_id"],
-                                    "ids": bpe.encode_texts([text_of(t) for t in part["text"]])})
-
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for s in slices(len(texts), BATCH_DOCS):
+                ids = bpe.encode_texts([text_of(t) for t in texts[s]])
+                columns = {"doc_id": batch.column("doc_id")[s], "ids": pa.array(ids, pa.binary())}
+                if decoded:
+                    columns["decoded"] = pa.array(map(bpe.decode, ids), pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary" + ", decoded binary" * decoded
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def decode(ids: Column, path: str, pattern: str) -> Column:
