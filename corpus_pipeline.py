@@ -1,7 +1,93 @@
-"""placeholder"""
-STAGES = []
+"""From raw documents to packed training sequences.
+
+Language identification, toxicity, near-duplicate removal, redaction of
+personal data, packing.  Each stage takes (spark, docs, sf_dir) and returns a
+DataFrame; ``run`` writes every stage's result as Parquet below the checkpoint
+folder and reads it back as the next one's ``docs``.  All but the last return
+the columns of ``documents``; what a stage adds has a column name of its own
+that no input column can clash with.
+
+No stage can be told in SQL as a whole (fitted models, message passing, online
+packing), so there is no oracle; the tests hold the pipeline against
+brute-force versions of its stages.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tastemap.llm import jaccard_join, langid, packing, pii, toxicity
+from tastemap.llm.text import fresh, text_of
+from tastemap.session import scratch_path
+from tastemap.sources.tables import load_table
+
+MIN_LANG_SCORE = 0.5            # the chosen language must win all its votes
+MAX_TOXICITY = 0.5              # documents of this score or more go
+NEAR = jaccard_join.Rule(words=5, num=80, den=100)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts that are null, without a letter, or of no learned language
+    that wins all its votes."""
+    model = langid.fit(docs.select("doc_id", "text", "lang"), F.lit(True))
+    scored = langid.predict(docs, model, docs.columns)
+    kept = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANG_SCORE)
+    return scored.filter(kept).select(*docs.columns)
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of a toxicity score of ``MAX_TOXICITY`` or more."""
+    model = toxicity.fit(docs, load_table(spark, sf_dir, "labels", ["doc_id", "toxic"]), F.lit(True))
+    return toxicity.score(docs, model, docs.columns).filter(F.col("score") < MAX_TOXICITY).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of every group the document of the least id; documents without
+    words have no group and stay, as do those without an id."""
+    groups = jaccard_join.join_components(docs, NEAR).select(
+        F.col("doc_id").alias("_id"), F.col("component_id").alias("_keep"))
+    gone = groups.filter("_id <> _keep").select("_id").distinct()
+    first = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    # Exact repeats of a row share its id, so the group's id alone can't part them.
+    return first.dropDuplicates(["doc_id", "text"])
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every span of personal data by its kind, e.g. [EMAIL]."""
+    found = pii.find(docs, pii.fit(docs), docs.columns)
+    clean, columns = fresh(docs, "clean"), docs.columns
+
+    def run(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("text", "base", "added")))
+            new = pa.array([None if t is None else pii.redact(text_of(t), [(s["start"], s["kind"], s["end"]) for s in b + a])
+                            if b or a else t for t, b, a in rows], pa.string())
+            kept = [batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, new], [*columns, clean])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    out = found.mapInArrow(run, f"{schema}, `{clean}` string")
+    new_values = {"text": F.col(clean), "n_chars": F.length(clean).cast("long")}
+    return out.select(*[new_values[c].alias(c) if c in new_values else F.col(f"`{c}`") for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences of at most 2048 ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language_id", language_id), ("toxicity", toxic), ("near_duplicates", near_duplicates),
+          ("personal_data", personal_data), ("packing", packed)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tastemap.llm import ann, byte_bpe, jaccard_join, packing, topk_search
+from tastemap.llm import ann, byte_bpe, jaccard_join, langid, licenses, packing, pii, topk_search, toxicity, url_lists
 from tastemap.sources.tables import load_table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +26,27 @@ def op3_sum_of_squares_packing(spark, sf):
                          "sequence_id", "offset")
 
 
+def op4_temporal_url_filter(spark, sf):
+    return url_lists.judge_pages(load_table(spark, sf, "pages", ["page_id", "url"]))
+
+
+def op5_skip_chain_pii(spark, sf):
+    return pii.report(load_table(spark, sf, "documents", ["doc_id", "text"]))
+
+
+def op6_licence_sentences(spark, sf):
+    return licenses.scan(load_table(spark, sf, "documents", ["doc_id", "text"]))
+
+
+def op7_language_id(spark, sf):
+    return langid.identify(load_table(spark, sf, "documents", ["doc_id", "text", "lang"]))
+
+
+def op8_toxic_spans(spark, sf):
+    return toxicity.rate(load_table(spark, sf, "documents", ["doc_id", "text"]),
+                         load_table(spark, sf, "labels", ["doc_id", "toxic"]))
+
+
 def op9_byte_bpe(spark, sf):
     ids = byte_bpe.encode(load_table(spark, sf, "documents", ["doc_id", "text"]), BYTE_VOCABULARY,
                           public_tokenizers.PATTERN, decoded=True)
@@ -41,6 +62,11 @@ QUERIES = {
     "op1_threshold_topk": op1_threshold_topk,
     "op2_adaptive_dimension_ann": op2_adaptive_dimension_ann,
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
+    "op4_temporal_url_filter": op4_temporal_url_filter,
+    "op5_skip_chain_pii": op5_skip_chain_pii,
+    "op6_licence_sentences": op6_licence_sentences,
+    "op7_language_id": op7_language_id,
+    "op8_toxic_spans": op8_toxic_spans,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
@@ -57,4 +83,6 @@ s AS (
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op4_temporal_url_filter": url_lists.SQL,
+    "op6_licence_sentences": licenses.sql(),
 }
