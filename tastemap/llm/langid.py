@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tastemap.llm.lexicon import by_bytes
 from tastemap.llm.text import byte_texts, crc_mod
 
-SAMPLE_DOCS = 4000
+SAMPLE_DOCS = 2000
 BUCKETS = 4096
 SCALE = 200.0           # shares times this are the machines' inputs
 ROUNDS = 20
