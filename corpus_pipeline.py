@@ -15,12 +15,10 @@ brute-force versions of its stages.
 from __future__ import annotations
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemap.llm import jaccard_join, langid, packing, pii, toxicity
-from tastemap.llm.text import fresh, text_of
 from tastemap.session import scratch_path
 from tastemap.sources.tables import load_table
 
@@ -57,21 +55,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every span of personal data by its kind, e.g. [EMAIL]."""
-    found = pii.find(docs, pii.fit(docs), docs.columns)
-    clean, columns = fresh(docs, "clean"), docs.columns
-
-    def run(batches):
-        for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("text", "base", "added")))
-            new = pa.array([None if t is None else pii.redact(text_of(t), [(s["start"], s["kind"], s["end"]) for s in b + a])
-                            if b or a else t for t, b, a in rows], pa.string())
-            kept = [batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays([*kept, new], [*columns, clean])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    out = found.mapInArrow(run, f"{schema}, `{clean}` string")
-    new_values = {"text": F.col(clean), "n_chars": F.length(clean).cast("long")}
-    return out.select(*[new_values[c].alias(c) if c in new_values else F.col(f"`{c}`") for c in docs.columns])
+    kept = [c for c in docs.columns if c not in ("text", "n_chars")]
+    found = pii.find(docs, pii.fit(docs), kept)
+    new = {"text": F.col("redacted"), "n_chars": F.length("redacted").cast("long")}
+    return found.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

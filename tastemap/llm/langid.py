@@ -27,7 +27,7 @@ from tastemap.llm.text import byte_texts, crc_mod
 
 SAMPLE_DOCS = 2000
 BUCKETS = 4096
-SCALE = 200.0           # shares times this are the machines' inputs
+SCALE = 800.0           # shares times this are the machines' inputs
 ROUNDS = 20
 UNKNOWN = "und"
 # Families of common languages (fixed values); others form a family each.

@@ -17,7 +17,7 @@ import xxhash
 from tastemap.llm.text import mix64
 
 LONG_RANGE = 512
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 19       # of texts handled at once; bounds the arrays of a task
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 _CODES = np.random.default_rng(0x5EED).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)

@@ -289,7 +289,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
 
 def find(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """The ``keep`` columns with base and added spans (arrays of start, kind,
-    end in code points) of every row's text."""
+    end in code points) of every row's text, and the redacted text (null for
+    a null text)."""
     fields = [docs.schema[c] for c in keep]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))
 
@@ -303,17 +304,22 @@ def find(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                 base = [base_spans(t) for t in texts[s]]
                 more = added_spans(texts[s], base, model) if model else [[] for _ in base]
                 kept = [batch.column(i)[s] for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*kept, rows(base), rows(more)], [*keep, "base", "added"])
+                clean = [t and redact(text_of(t), [(a, KINDS[k], e) for a, k, e in b + m])
+                         for t, b, m in zip(batch.column("_text")[s].to_pylist(), base, more)]
+                yield pa.RecordBatch.from_arrays([*kept, rows(base), rows(more), pa.array(clean, pa.string())],
+                                                 [*keep, "base", "added", "redacted"])
 
     spans = "array<struct<start: long, kind: string, end: long>>"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")).mapInArrow(
-        run, f"{schema}, base {spans}, added {spans}")
+        run, f"{schema}, base {spans}, added {spans}, redacted string")
 
 
 def redact(text: str, spans) -> str:
     """The text with each span (start, kind, end) replaced by its kind in
     brackets; of overlapping spans the united stretch, under the first's kind."""
+    if not spans:
+        return text
     out, at = [], 0
     merged: list = []
     for a, kind, b in sorted(spans):

@@ -41,6 +41,7 @@ CRF_DOCS = 400          # documents of either label that the field is fitted on
 VOCABULARY = 20_000     # words whose weights are kept
 CLEAR_WEIGHT = 2.0      # log ratio from which a word is clear
 CLEAR_TIMES = 4         # neighbourhoods in toxic documents that a clear word needs
+CLEAR_EVIDENCE = 25.0   # and the least log-likelihood ratio, against chance among all words
 _LETTERS = bytes(i if 97 <= i <= 122 or i >= 128 else i + 32 if 65 <= i <= 90 else 32 for i in range(256))
 
 
@@ -140,12 +141,17 @@ def _word_weights(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray
     total = counts.agg(F.sum("bad").alias("bad"), F.sum("times").alias("times")).first()
     bad, good = total["bad"] or 0, (total["times"] or 0) - (total["bad"] or 0)
     ratio = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("times") - F.col("bad") + 0.5) / (good + 1))
+    share = bad / max(1, bad + good)
+    fine = F.col("times") - F.col("bad")
+    evidence = 2 * (F.col("bad") * F.log(F.greatest("bad", F.lit(1)) / (F.col("times") * share))
+                    + fine * F.log(F.greatest(fine, F.lit(1)) / (F.col("times") * (1 - share))))
     rows = (counts.filter(F.col("times") >= CLEAR_TIMES)
-            .select("word", "bad", F.greatest(F.least(ratio, F.lit(6.0)), F.lit(-6.0)).alias("weight"))
+            .select("word", "bad", evidence.alias("evidence"), F.greatest(F.least(ratio, F.lit(6.0)), F.lit(-6.0)).alias("weight"))
             .orderBy(F.desc(F.abs("weight") * F.sqrt("bad")), "word").limit(VOCABULARY).toArrow())
     weight = rows["weight"].to_numpy().astype(float)
-    return (rows["word"].to_numpy().astype(np.int64).view(np.uint64), weight,
-            (weight >= CLEAR_WEIGHT) & (rows["bad"].to_numpy() >= CLEAR_TIMES))
+    clear = ((weight >= CLEAR_WEIGHT) & (rows["bad"].to_numpy() >= CLEAR_TIMES)
+             & (rows["evidence"].to_numpy() >= CLEAR_EVIDENCE))
+    return rows["word"].to_numpy().astype(np.int64).view(np.uint64), weight, clear
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS,
@@ -163,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample_docs: int = SA
     sample = (docs.select("doc_id", "text").filter(F.col("text").isNotNull())
               .join(F.broadcast(chosen), "doc_id").select("text", "toxic", "draw"))
     keys, values, clear = _word_weights(sample)
-    if not clear.any():
+    if not clear.any():                                        # too few rows to tell words apart
         return None
     scorer = Scorer(Model(keys, values, clear, np.zeros(4), np.zeros((2, 2)), np.zeros(2)))
 
