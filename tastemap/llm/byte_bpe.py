@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemap.llm.lexicon import SPACE, Ranges, Runs, by_bytes
-from tastemap.llm.text import LETTERS, PUNCT, WHITE, BoundedCache, slices, text_of
+from tastemap.llm.text import LETTERS, PUNCT, WHITE, BoundedCache, map_arrow, slices, text_of
 
 LONG_PIECE = 1024          # bytes; longer matches are merged one by one
 MATRIX_CELLS = 1 << 20     # cells of one padded matrix
@@ -264,7 +264,7 @@ def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> D
                 yield pa.RecordBatch.from_pydict(columns)
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary" + ", decoded binary" * decoded
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def decode(ids: Column, path: str, pattern: str) -> Column:

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tastemap.llm.components import components
 from tastemap.llm.lexicon import Words, by_bytes
-from tastemap.llm.text import arrow_rows, by_weight, byte_texts, mix64, slices
+from tastemap.llm.text import arrow_rows, by_weight, byte_texts, map_arrow, mix64, slices
 from tastemap.sources.files import materialize
 
 SKETCH_BITS = 17
@@ -155,7 +155,7 @@ def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
                               "node": pa.nulls(len(at), pa.int64()), "bits": pa.nulls(len(at), pa.binary()),
                               "bucket": at, "times": counts[at]}, out)
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(run, schema), "shingle-sets")
+    return materialize(map_arrow(docs.select("doc_id", "text"), run, schema), "shingle-sets")
 
 
 def _levels(sets: DataFrame) -> np.ndarray:
@@ -214,7 +214,7 @@ def _shared_prefixes(docs: DataFrame, levels: np.ndarray, rule: Rule) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], schema=out)
 
     kind = "shingle long, node long, n long"
-    rows = docs.select("doc_id", "text").mapInArrow(prefixes, kind)
+    rows = map_arrow(docs.select("doc_id", "text"), prefixes, kind)
     return materialize(rows.repartition("shingle").sortWithinPartitions("shingle", "n", "node")
                        .mapInArrow(shared, kind), "shared-prefixes")
 
@@ -281,7 +281,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule) ->
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
-    sets = materialize(some.mapInArrow(arrays, "node long, shingles binary"), "shingle-arrays")
+    sets = materialize(map_arrow(some, arrays, "node long, shingles binary"), "shingle-arrays")
 
     def side(name):
         return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"shingles_{name}"))

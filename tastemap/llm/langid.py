@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemap.llm.lexicon import by_bytes
-from tastemap.llm.text import byte_texts, crc_mod
+from tastemap.llm.text import byte_texts, crc_mod, map_arrow
 
 SAMPLE_DOCS = 2000
 BUCKETS = 4096
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> Model
                 yield pa.RecordBatch.from_pydict({"lang": batch.column("lang").slice(lo, hi - lo),
                                                   "x": [r.tobytes() for r in features(texts[lo:hi])]})
 
-    table = sample.mapInArrow(run, "lang string, x binary").toArrow()
+    table = map_arrow(sample, run, "lang string, x binary").toArrow()
     if not table.num_rows:
         return None
     order = np.argsort(np.array(table["lang"].to_pylist()), kind="stable")
@@ -177,8 +177,8 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*kept, pa.array(lang), pa.array(score)], [*keep, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")).mapInArrow(
-        run, schema + ", lang_pred string, score double")
+    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")),
+                     run, schema + ", lang_pred string, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tastemap.llm.lexicon import Words, Runs, by_bytes
-from tastemap.llm.text import LETTERS, PUNCT, WHITE, BoundedCache, slices, text_of
+from tastemap.llm.text import LETTERS, PUNCT, WHITE, BoundedCache, map_arrow, slices, text_of
 
 WINDOW = 2048
 BATCH_DOCS = 512
@@ -218,6 +218,6 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int
             yield rows(packer.flush())
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
+    return map_arrow(
+        docs.select("doc_id", "text"), run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
              "sequence_id long, offset long")

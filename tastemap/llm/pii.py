@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.llm.text import slices, text_of
+from tastemap.llm.text import map_arrow, slices, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 2000
@@ -272,7 +272,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
                     [pa.array([v.tobytes()], pa.binary()) for v in
                      (np.column_stack([seen, times]), t.held[chain_edges(t)], t.held[t.skip])], ["shapes", "chain", "skip"])
 
-    rows = sample.mapInArrow(run, "shapes binary, chain binary, skip binary").toArrow()
+    rows = map_arrow(sample, run, "shapes binary, chain binary, skip binary").toArrow()
     if not rows.num_rows:
         return None
     width = len(_shape("0")) + 2
@@ -311,8 +311,8 @@ def find(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
 
     spans = "array<struct<start: long, kind: string, end: long>>"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")).mapInArrow(
-        run, f"{schema}, base {spans}, added {spans}, redacted string")
+    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")),
+                     run, f"{schema}, base {spans}, added {spans}, redacted string")
 
 
 def redact(text: str, spans) -> str:

@@ -16,6 +16,7 @@ WHITE = "\t-\r \x85\xa0  -     　"
 # Latin letters that neither change class nor compose with what follows when
 # lower-cased or normalised, and ASCII punctuation (fixed values).
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+ARROW_SETTING, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1500
 PUNCT = "!-/:-@\\[-`{-~"
 
 
@@ -96,6 +97,15 @@ def byte_texts(column) -> list[bytes]:
     return [t or b"" for t in column.cast(kind).to_pylist()]
 
 
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow in batches of at most ``ARROW_ROWS`` rows (a session setting,
+    lowered where it is higher), which bounds the texts a task holds at once."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(ARROW_SETTING)) <= ARROW_ROWS:
+        conf.set(ARROW_SETTING, str(ARROW_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def arrow_rows(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns.values(), schema)],

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tastemap.llm import crf
 from tastemap.llm.lexicon import HashTable, Words, by_bytes
-from tastemap.llm.text import byte_texts, crc_mod
+from tastemap.llm.text import byte_texts, crc_mod, map_arrow
 from tastemap.sources.files import materialize
 
 SAMPLE_DOCS = 4000      # documents of either label that the words are weighed on
@@ -135,7 +135,7 @@ def _word_weights(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(around.view(np.int64)),
                                                   pa.array(toxic[lo:hi][words.doc])], ["word", "around", "toxic"])
 
-    seen = sample.mapInArrow(run, "word long, around long, toxic long").distinct()
+    seen = map_arrow(sample, run, "word long, around long, toxic long").distinct()
     counts = materialize(seen.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("times")),
                          "word-counts")
     total = counts.agg(F.sum("bad").alias("bad"), F.sum("times").alias("times")).first()
@@ -187,8 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample_docs: int = SA
     # At most about 2 * crf_docs documents reach the driver, as one number for each token.
     size = np.array([counts[0], counts[1]])
     few = F.when(F.col("toxic") == 1, min(1.0, crf_docs / counts[1])).otherwise(min(1.0, crf_docs / counts[0]))
-    table = sample.filter(F.col("draw") < few).select("text", "toxic").mapInArrow(
-        features, "toxic long, value binary, clear binary").toArrow()
+    table = map_arrow(
+        sample.filter(F.col("draw") < few).select("text", "toxic"), features, "toxic long, value binary, clear binary").toArrow()
     label = table["toxic"].to_numpy()
     if len(set(label.tolist())) < 2:
         return None
@@ -230,8 +230,8 @@ def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(scores), found], [*keep, "score", "spans"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")).mapInArrow(
-        run, schema + ", score double, spans array<struct<start: long, end: long>>")
+    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")),
+                     run, schema + ", score double, spans array<struct<start: long, end: long>>")
 
 
 def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
