@@ -26,6 +26,9 @@ from tastemap.operators.ranking import item_mean_predictions, ranking_metrics, r
 from tastemap.plans.jobs import read_splits, write_splits  # noqa: E402
 from tastemap.session import build_session, release_held, scratch_path  # noqa: E402
 
+# One local JVM: its heap, and as few initial partitions as shuffle partitions.
+LOCAL_CONF = {"spark.driver.memory": "12g",
+              "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16"}
 WARMUP_DIRS = ("/root/testdata/sf0.01", "/root/testdata/sf0.001")
 
 
@@ -63,6 +66,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
+                          extra=LOCAL_CONF,
                           app_name="tastemap-bench")
     warmup = next((d for d in WARMUP_DIRS if os.path.isdir(d) and d.rstrip("/") != sf_dir.rstrip("/")), None)
     if warmup:

@@ -30,8 +30,8 @@ def _print(df) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tastemap")
-    parser.add_argument("--master", default="local[*]")
-    parser.add_argument("--shuffle-partitions", type=int, default=8)
+    parser.add_argument("--master", help="else as submitted")
+    parser.add_argument("--shuffle-partitions", type=int)
     sub = parser.add_subparsers(dest="stage", required=True)
 
     p = sub.add_parser("split")

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BUCKETS = 1000
+BUCKETS = 1000            # of the fixed split rule
+SAMPLE_BUCKETS = 2 ** 32  # samples use all 32 bits, so tiny fractions are not rounded away
 
 
 def hash_bucket(cols: list[str | Column], seed: int | str, buckets: int = BUCKETS) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.functions.buckets import fraction_threshold, hash_bucket
+from tastemap.functions.buckets import SAMPLE_BUCKETS, fraction_threshold, hash_bucket
 from tastemap.params import MIN_USER_ROWS
 
 
@@ -32,7 +32,7 @@ def hash_sample(df: DataFrame, fraction: float, seed: int, key_cols: list[str])
 
     Same rows on any partitioning and in any engine; a narrow filter, no shuffle.
     """
-    return df.filter(hash_bucket(key_cols, seed) < F.lit(fraction_threshold(fraction)))
+    return df.filter(hash_bucket(key_cols, seed, SAMPLE_BUCKETS) < F.lit(fraction_threshold(fraction, SAMPLE_BUCKETS)))
 
 
 def user_activity(df: DataFrame, user: str = "user_id") -> DataFrame:

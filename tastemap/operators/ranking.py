@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastemap.operators.joins import join_checked
 
 METRIC_DIGITS = 10
 
@@ -130,8 +129,7 @@ def item_mean_predictions(train: DataFrame, target: DataFrame, item: str = "item
     """Target rows scored with the item's mean training rating; items unseen in
     training are dropped, like ALS with the ``drop`` cold-start strategy.
 
-    One row per item: broadcast only when the catalogue is proven small,
-    otherwise a shuffle join where AQE splits a hot item.
+    The engine picks the join from the sides' real sizes and splits a hot item.
     """
     means = train.groupBy(item).agg(F.avg(rating).alias("prediction"))
-    return join_checked(target, means, item)
+    return target.join(means, item)

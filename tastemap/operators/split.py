@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from tastemap.functions.buckets import bucket_thresholds, hash_bucket
 from tastemap.functions.numbering import with_global_index, with_running_sum
-from tastemap.operators.joins import join_checked
 from tastemap.operators.prep import active_users, nonzero_ratings
 from tastemap.params import MIN_USER_ROWS, PAIR_FRACTIONS, SPLIT_SEED, USER_FRACTIONS
 from tastemap.session import hold
@@ -83,15 +82,18 @@ def label_and_number(df: DataFrame, user: str = "user_id", item: str = "item_id"
     """(train-group rows, held-out rows with ``row_index`` and ``user_row``), both with ``grp``.
 
     Drops zero ratings, counts rows per user, labels active users, joins the
-    labels (broadcast only when the user table is proven small) and numbers
+    labels and numbers
     the rows of validation and test users in one global order.
     """
     rated = nonzero_ratings(df, rating)
     stats = labelled_users(rated, user, min_rows, fractions, seed)
-    n_users, n_held = user_table_sizes(stats)
-    labeled = join_checked(rated, first_positions(stats, user), user, known_rows=n_users)
-    train_rows = labeled.filter(F.col("grp") == "train").drop("first_index")
-    held = labeled.filter(F.col("grp") != "train")
+    _, n_held = user_table_sizes(stats)
+    # The group is a function of the id alone, so the rows are parted before
+    # the joins and each of them is shuffled once at most.
+    bucket, bound = hash_bucket([user], seed), bucket_thresholds(fractions)[0]
+    train_users = stats.filter(F.col("grp") == "train").select(user)
+    train_rows = rated.filter(bucket < bound).join(train_users, user, "left_semi").withColumn("grp", F.lit("train"))
+    held = rated.filter(bucket >= bound).join(first_positions(stats, user), user)
     numbered = number_held_out(held, order_columns(user, item, rating, ts, list(extra_order)), n_held)
     return train_rows, (numbered.withColumn("user_row", F.col("row_index") - F.col("first_index"))
                         .drop("first_index"))

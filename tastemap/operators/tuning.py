@@ -6,7 +6,6 @@ import itertools
 import time
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +35,7 @@ def evaluate_point(train: DataFrame, valid: DataFrame, point: GridPoint, k: int,
     """Fit on ``train``; RMSE and ranking metrics on ``valid`` (lists for its users only)."""
     start = time.time()
     model = als_ops.fit_als(train, point.rank, point.max_iter, point.reg, point.implicit, point.alpha,
-                            seed=seed, user=user, item=item, rating=rating)
+                            nonnegative=not point.implicit, seed=seed, user=user, item=item, rating=rating)
     err = rmse(als_ops.predict(model, valid, user, item, rating)).first()
     recs = als_ops.recommend(model, k, valid.select(user), user, item)
     metrics = ranking_metrics(recs, valid, k, user, item).first()
@@ -47,15 +46,10 @@ def evaluate_point(train: DataFrame, valid: DataFrame, point: GridPoint, k: int,
 
 def run_grid(train: DataFrame, valid: DataFrame, points: list[GridPoint], k: int = 100,
              user: str = "user_id", item: str = "item_id", rating: str = "rating") -> DataFrame:
-    """One metric row per grid point.  Each fit is a distributed job over the
-    persisted training set; only the few metric values per point come back."""
-    train = train.select(user, item, rating).persist(StorageLevel.MEMORY_AND_DISK)
-    valid = valid.select(user, item, rating).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = [evaluate_point(train, valid, p, k, user, item, rating) for p in points]
-    finally:
-        train.unpersist()
-        valid.unpersist()
+    """One metric row per grid point.  Each fit is a distributed job that
+    reads the training columns again; only the few metric values per point come back."""
+    train, valid = train.select(user, item, rating), valid.select(user, item, rating)
+    rows = [evaluate_point(train, valid, p, k, user, item, rating) for p in points]
     return metrics_frame(train.sparkSession, rows)
 
 
@@ -69,7 +63,10 @@ def best_params(results: DataFrame, metric: str = "rmse", lowest: bool = True) -
     """The grid row with the lowest (or highest) ``metric``; NaN and NULL never win."""
     params = F.struct(*[c for c in results.columns])
     usable = results.filter(F.col(metric).isNotNull() & ~F.isnan(metric))
-    pick = F.min_by(params, F.col(metric)) if lowest else F.max_by(params, F.col(metric))
+    # A total order, so equal metrics give the same point whatever the row order.
+    value = F.col(metric) if lowest else -F.col(metric)
+    ties = [c for c in ("rank", "max_iter", "reg", "alpha") if c in results.columns]
+    pick = F.min_by(params, F.struct(value, *ties))
     return usable.agg(pick.alias("best")).select("best.*")
 
 

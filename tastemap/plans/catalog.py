@@ -23,7 +23,7 @@ from tastemap.operators.prep import (active_users, copy_column, drop_null_rows,
 from tastemap.operators.ranking import item_mean_predictions, ranking_metrics, rmse, summarize, truth_sets
 from tastemap.operators.split import (SPLIT_SEED, half_split, interaction_split, label_and_number,
                                       train_val_test, user_groups)
-from tastemap.params import (EXPLICIT_GRID, FINAL_ALS, IMPLICIT_ALS, REGISTERED_IMPLICIT_GRID, TEST_K,
+from tastemap.params import (EXPLICIT_GRID, FINAL_ALS, IMPLICIT_ALS, SAMPLED_GRID, TEST_K,
                              TUNE_K)
 from tastemap.plans.oracle import PIVOT_ITEMS, SAMPLE_FRACTION, TOP_N, VECTOR_WIDTH
 from tastemap.session import scratch_path
@@ -173,12 +173,8 @@ def q_train_val_test(spark, sf):
 
 
 def q_interaction_split(spark, sf):
-    """Sampled splits, concatenated, averaged per pair, then split by pair."""
-    s = split_table(spark, sf)
-    parts = [hash_sample(s.filter(F.col("split") == name), SAMPLE_FRACTION, SPLIT_SEED, SAMPLE_KEY)
-             for name in ("train", "val", "test")]
-    sampled = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return interaction_split(mean_ratings(sampled))
+    """Splits concatenated, averaged per pair, then split by pair."""
+    return interaction_split(mean_ratings(split_table(spark, sf)))
 
 
 # --- popularity, truth, metrics ---------------------------------------------
@@ -239,12 +235,14 @@ def q_user_item_means(spark, sf):
 
 
 def q_user_item_pivot(spark, sf):
-    """Dense user × item pivot over the (up to) 10,000 most popular items — the
-    whole catalogue when it is smaller.  Only the item ids come to the driver,
-    bounded by the pivot width; the sparse form is `user_item_means`."""
+    """Dense pivot over a given list of items, here the 20 most popular ones,
+    named by popularity rank; `user_item_means` is the full matrix."""
     r = rated(spark, sf)
-    items = [row["item_id"] for row in top_items(popularity_scores(r), PIVOT_ITEMS).collect()]
-    return dense_pivot(r, items)
+    items = [row["item_id"] for row in top_items(popularity_scores(r), PIVOT_ITEMS).orderBy("rank").collect()]
+    wide = dense_pivot(r, items)
+    named = [F.col(str(i)).alias(f"top_{n}") for n, i in enumerate(items, 1)]
+    absent = [F.lit(0.0).alias(f"top_{n}") for n in range(len(items) + 1, PIVOT_ITEMS + 1)]
+    return wide.select("user_id", *named, *absent)
 
 
 def q_vector_columns(spark, sf):
@@ -314,8 +312,8 @@ def _pair_splits(spark, sf):
 
 def _implicit_grid(spark, sf):
     def build():
-        pairs = _pair_splits(spark, sf)
-        points = tuning.grid(implicit=True, **REGISTERED_IMPLICIT_GRID)
+        pairs = materialize(_pair_splits(spark, sf), "pairs")
+        points = tuning.grid(implicit=True, **SAMPLED_GRID)
         return tuning.run_grid(pairs.filter("split = 'train'"), pairs.filter("split = 'val'"), points,
                                TUNE_K)
     return _memoized(("implicit_grid", sf), build, spark)

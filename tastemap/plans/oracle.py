@@ -8,14 +8,14 @@ rounded to the same number of digits as on the Spark side.
 
 from __future__ import annotations
 
-from tastemap.functions.buckets import bucket_thresholds, fraction_threshold, hash_bucket_sql
+from tastemap.functions.buckets import SAMPLE_BUCKETS, bucket_thresholds, fraction_threshold, hash_bucket_sql
 from tastemap.operators.ranking import METRIC_DIGITS
 from tastemap.operators.split import PAIR_FRACTIONS, SPLIT_SEED, USER_FRACTIONS
 from tastemap.params import SAMPLE_FRACTION, TOP_N
 from tastemap.sources.interactions import INTERACTIONS_SQL
 
 
-PIVOT_ITEMS = 10_000  # Spark's default spark.sql.pivotMaxValues: the widest dense pivot
+PIVOT_ITEMS = 20  # the registered dense pivot lists the most popular items; any list can be given
 VECTOR_WIDTH = 64
 D = METRIC_DIGITS
 
@@ -82,6 +82,11 @@ METRICS = POPULARITY + "," + _metrics_ctes("val") + "," + _metrics_ctes("test")
 _INLINE_RATED = f"(SELECT * FROM ({INTERACTIONS_SQL}) WHERE rating <> 0)"
 
 
+def _pivot_cols():
+    return ", ".join(f"coalesce(avg(rating) FILTER (WHERE place = {i}), 0.0) AS top_{i}"
+                     for i in range(1, PIVOT_ITEMS + 1))
+
+
 def _vector_cols() -> str:
     return ", ".join(f"embedding[{i + 1}] AS f_{i}" for i in range(VECTOR_WIDTH))
 
@@ -97,7 +102,7 @@ SELECT * FROM inter WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND rating
   AND ts IS NOT NULL AND ok IS NOT NULL AND ln IS NOT NULL""",
 
     "hash_sample": f"""WITH {BASE}
-SELECT * FROM rated WHERE {hash_bucket_sql(['user_id', 'item_id', 'ok', 'ln'], SPLIT_SEED)} < {fraction_threshold(SAMPLE_FRACTION)}""",
+SELECT * FROM rated WHERE {hash_bucket_sql(['user_id', 'item_id', 'ok', 'ln'], SPLIT_SEED, SAMPLE_BUCKETS)} < {fraction_threshold(SAMPLE_FRACTION, SAMPLE_BUCKETS)}""",
 
     "active_users": f"""WITH {BASE}
 SELECT user_id, count(*) AS n_rows FROM rated GROUP BY user_id HAVING count(*) >= 10""",
@@ -138,8 +143,7 @@ UNION ALL SELECT 'test', count(*) FROM split WHERE split = 'test'""",
 SELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM split GROUP BY split""",
 
     "interaction_split": f"""WITH {SPLIT},
-sampled AS (SELECT * FROM split WHERE {hash_bucket_sql(['user_id', 'item_id', 'ok', 'ln'], SPLIT_SEED)} < {fraction_threshold(SAMPLE_FRACTION)}),
-pairs AS (SELECT user_id, item_id, avg(rating) AS rating FROM sampled GROUP BY user_id, item_id)
+pairs AS (SELECT user_id, item_id, avg(rating) AS rating FROM split GROUP BY user_id, item_id)
 SELECT user_id, item_id, rating,
        {_label(hash_bucket_sql(['user_id', 'item_id'], SPLIT_SEED), PAIR_FRACTIONS)} AS split FROM pairs""",
 
@@ -180,13 +184,10 @@ FROM scored GROUP BY split""",
     "user_item_means": f"""WITH {BASE}
 SELECT user_id, item_id, avg(rating) AS rating FROM rated GROUP BY user_id, item_id""",
 
-    "user_item_pivot": f"""SELECT u.user_id, coalesce(COLUMNS(p.* EXCLUDE (user_id)), 0.0)
-FROM (SELECT DISTINCT user_id FROM {_INLINE_RATED}) u
-LEFT JOIN (PIVOT (SELECT user_id, item_id, rating FROM {_INLINE_RATED}
-                  WHERE item_id IN (SELECT item_id FROM (SELECT item_id, count(user_id) AS score
-                                                         FROM {_INLINE_RATED} GROUP BY item_id
-                                                         ORDER BY score DESC, item_id LIMIT {PIVOT_ITEMS})))
-           ON item_id USING avg(rating) GROUP BY user_id) p USING (user_id)""",
+    "user_item_pivot": f"""WITH {BASE},
+listed AS (SELECT item_id, row_number() OVER (ORDER BY count(user_id) DESC, item_id) AS place
+           FROM rated GROUP BY item_id)
+SELECT user_id, {_pivot_cols()} FROM rated LEFT JOIN listed USING (item_id) GROUP BY user_id""",
 
     "vector_columns": f"SELECT vec_id, label, {_vector_cols()} FROM embeddings",
 }

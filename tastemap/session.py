@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE merges partitions but splits only joins: start with many.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -22,12 +24,18 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tastemap", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the defaults above.  Master, shuffle partitions and heap
+    stay as submitted unless given."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("TASTEMAP_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if os.environ.get("TASTEMAP_DRIVER_MEMORY"):
+        conf["spark.driver.memory"] = os.environ["TASTEMAP_DRIVER_MEMORY"]
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -9,10 +9,6 @@ from pyspark.sql import types as T
 from tastemap.params import RATINGS_SCHEMA  # the rating file layout: ids, a rating, epoch seconds
 
 
-# Single-file sinks funnel all rows through one task; refuse anything larger.
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
-
 def read_csv_table(spark: SparkSession, path: str, schema: str | T.StructType = RATINGS_SCHEMA,
                    header: bool = True, sep: str = ",", **options) -> DataFrame:
     """CSV scan with a fixed schema, never inferred.
@@ -57,22 +53,14 @@ def write_parquet_table(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
-def _check_small(df: DataFrame, max_rows: int) -> None:
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"refusing a single-file write of more than {max_rows} rows")
-
-
 def write_single_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
-                     mode: str = "overwrite", max_rows: int = SINGLE_FILE_MAX_ROWS) -> None:
-    """One CSV part file (reports); the row count is checked first."""
-    _check_small(df, max_rows)
+                     mode: str = "overwrite") -> None:
+    """One CSV part file, for plans bounded by construction (a limit, a grid report)."""
     df.coalesce(1).write.option("header", header).option("sep", sep).mode(mode).csv(path)
 
 
-def write_single_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                         max_rows: int = SINGLE_FILE_MAX_ROWS) -> None:
-    _check_small(df, max_rows)
+def write_single_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One parquet file, likewise for bounded plans only."""
     df.coalesce(1).write.mode(mode).parquet(path)
 
 

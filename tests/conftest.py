@@ -15,7 +15,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[4]", shuffle_partitions=8, app_name="tastemap-tests")
+    s = build_session(master="local[4]", shuffle_partitions=8, app_name="tastemap-tests",
+                      extra={"spark.driver.memory": "6g",
+                             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8"})
     # Tests run without a cluster: the checkpoint folder is unset, so take our own.
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tastemap-test-ckpt-"))

@@ -4,7 +4,6 @@ import duckdb
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
-from tastemap.operators import joins
 from tastemap.operators.split import train_val_test
 from tastemap.plans.oracle import SPLIT
 from tastemap.sources.interactions import INTERACTIONS_SQL, interactions
@@ -40,15 +39,3 @@ def test_hot_user_spreads_over_range_partitions(spark):
     parts = (df.repartitionByRange(16, "user_id", "ts", "item_id", "ok", "ln", "rating")
              .filter(F.col("user_id") == HOT_USER).select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts >= 4
-
-
-def test_shuffle_join_beyond_the_broadcast_bound(spark):
-    rows = interactions(spark, SF_MID)
-    users = rows.select("user_id").distinct().withColumn("tag", F.lit(1))
-    small = joins.join_checked(rows, users, "user_id")
-    big = joins.join_checked(rows, users, "user_id", max_rows=0)
-    def hinted(df):
-        return "strategy=broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
-
-    assert hinted(small) and not hinted(big)
-    assert small.exceptAll(big).count() == 0 and big.count() == rows.count()

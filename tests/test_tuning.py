@@ -30,3 +30,13 @@ def test_cross_table(spark):
 def test_grid_points():
     pts = tuning.grid((5, 20), (4,), (0.01, 0.1), implicit=True)
     assert len(pts) == 4 and all(p.implicit for p in pts)
+
+
+def test_ties_go_to_the_smallest_parameters(spark):
+    from tastemap.operators.tuning import best_params, metrics_frame
+    rows = [dict(rank=r, max_iter=4, reg=0.1, alpha=1.0, implicit=True, k=5, rmse=1.0, precision_at_k=0.5, map=0.1,
+                 ndcg_at_k=0.1, seconds=0.0) for r in (80, 20, 40)]
+    for order in (rows, rows[::-1]):
+        frame = metrics_frame(spark, order)
+        assert best_params(frame, "rmse").first()["rank"] == 20
+        assert best_params(frame, "precision_at_k", lowest=False).first()["rank"] == 20
