@@ -60,8 +60,8 @@ def filter_captures(captures: DataFrame, entries: DataFrame, url: str = "url", f
     # Captures of one host and day get one verdict, so each is looked up once.
     asked = rows.filter(F.col(host).isNotNull() & F.col(day).isNotNull()).select(
         F.col(host).alias("host"), F.col(day).alias("day")).distinct()
-    last = asked.agg(F.max("day").alias("last"))
-    held = intervals(entries).join(F.broadcast(last))                        # one row: the latest capture
+    last = F.lit(captures.agg(F.max(F.col(fetched).cast("date"))).first()[0]).cast("date")    # the latest capture
+    held = intervals(entries).withColumn("last", last)
     month = F.explode(F.sequence(F.trunc("since", "month"),
                                  F.trunc(F.least(F.coalesce(F.date_sub("until", 1), F.col("last")), F.col("last")), "month"),
                                  F.expr("interval 1 month")))

@@ -7,7 +7,7 @@ import __spark_entry__
 import corpus_pipeline
 from tastemap.llm import pii
 
-from conftest import SF_MID as MID
+from llm_fixtures import MID, documents, frame  # noqa: F401
 from test_text_operators import brute_components, brute_spans
 from test_tokens import check_packing
 

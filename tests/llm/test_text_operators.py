@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tastemap.llm import components, crf, jaccard_join, langid, licenses, pii, queries, toxicity, url_lists
 
-from conftest import SF_MID as MID
+from llm_fixtures import MID, documents, frame  # noqa: F401
 
 
 # --- n-gram Jaccard join ------------------------------------------------------
@@ -236,7 +236,7 @@ def test_toxicity_odd_rows(documents, frame):
                 w[at] = "vile"
         rows.append((i, " ".join(w)))
     labels = frame(doc_id=(pa.int64(), list(range(300)) + [None, 5, 7]), toxic=(pa.int32(), [int(i % 3 == 0) for i in range(300)] + [1, None, 0]))
-    odd = [(1000, None), (1001, ""), (1002, "Vile vile " + " ".join(words)), (1003, " ".join(words)), (None, "so VILE!"),
+    odd = [(1000, None), (1001, ""), (1002, "Vile vile " + " ".join(words)), (1003, " ".join(words)), (None, "so VILE, vile; vile!"),
            (1004, "bab " * 30000 + "vile vile vile")]
     got = [r.asDict() for r in toxicity.rate(documents(rows + odd), labels).collect()]
     by = {r["doc_id"]: r["predicted"] for r in got}

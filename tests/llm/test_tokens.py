@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from tastemap.llm import byte_bpe, packing
 from tastemap.llm.lexicon import HashTable, Ranges, Words
 
-from conftest import SF_SMALL as SMALL
+from llm_fixtures import SMALL, documents, frame  # noqa: F401
 
 BYTES, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json")
 ODD = [None, "", " ", "\n", "a", "  lead", "trail  ", "tab\tand\r\nnew", "it's we'll 'tis 're", "x" * 5000, "no\xa0break  here",
@@ -91,7 +91,7 @@ def test_packing_odd_texts(documents):
 
 def test_packing_null_id_and_repeats(documents):
     pieces = packing.pack_documents(documents([(None, "a b"), (7, "same"), (7, "same")]), WORDS).toArrow().to_pylist()
-    assert sorted((p["doc_id"] is None, p["length"]) for p in pieces if p["start"] == 0) == [(False, 2), (False, 2), (True, 3)]
+    assert sorted((p["doc_id"] is None, p["doc_tokens"]) for p in pieces if p["start"] == 0) == [(False, 2), (False, 2), (True, 3)]
 
 
 def test_packing_given_table(spark):

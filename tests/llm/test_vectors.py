@@ -8,7 +8,7 @@ import pytest
 
 from tastemap.llm import ann, topk_search
 
-from conftest import SF_SMALL as SMALL
+from llm_fixtures import SMALL, documents, frame  # noqa: F401
 
 
 @pytest.fixture
