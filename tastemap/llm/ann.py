@@ -34,9 +34,9 @@ from tastemap.llm.vectors import KEY_LIMIT, best, distinct_rows, matrix, query_r
 from tastemap.sources.files import materialize
 
 SAMPLE_ROWS = 20_000    # rows that the centroids are fitted on, about
-MAX_LISTS = 1024
-LIST_ROWS = 256         # rows of a list, about, while there are fewer than MAX_LISTS
-PROBE = 0.5             # share of the lists that a query probes
+MAX_LISTS = 256
+LIST_ROWS = 16          # rows of a list, about, while there are fewer than MAX_LISTS
+PROBE = 0.65            # share of the lists that a query probes
 BLOCK_ROWS = 4096
 BLOCK_DIMS = 16
 EPSILON = 2.1
