@@ -128,6 +128,9 @@ def _shape(token: str) -> list[float]:
             digits >= 16, digits > 19, digits >= 12 and _luhn(_NOT_DIGIT.sub("", token)), token.count(".") == 3]
 
 
+SHAPE_WIDTH = len(_shape("0"))
+
+
 def _content(token: str) -> str:
     """What equal or similar mentions share; '' for tokens too slight to tell."""
     if "@" in token:
@@ -166,7 +169,8 @@ def find_tokens(texts: list[str], base: list[list]) -> Tokens:
             end.append(b)
             shape.append(_shape(token))
             held.append(1 + over[1] if over else 0)
-    return Tokens(*(np.array(c, np.int64) for c in (doc, number, start, end)), np.array(shape, float).reshape(len(doc), -1),
+    return Tokens(*(np.array(c, np.int64) for c in (doc, number, start, end)),
+                  np.array(shape, float).reshape(len(doc), SHAPE_WIDTH),
                   np.array(held, np.int64), np.array(skip, np.int64).reshape(-1, 2),
                   np.array(group, np.int64))
 
@@ -275,7 +279,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     rows = map_arrow(sample, run, "shapes binary, chain binary, skip binary").toArrow()
     if not rows.num_rows:
         return None
-    width = len(_shape("0")) + 2
+    width = SHAPE_WIDTH + 2
     x = np.concatenate([np.frombuffer(v, float).reshape(-1, width) for v in rows["shapes"].to_pylist()])
     times = np.minimum(x[:, -1].astype(int), 50)
     x = np.repeat(x, times, axis=0)

@@ -154,6 +154,15 @@ def test_pii_report(documents, spark):
     assert pii.report(documents([])).count() == 0
 
 
+def test_pii_of_a_slice_without_tokens(documents, spark):
+    # More texts in a row without a digit or an @ than a task handles at once, beside some with spans.
+    rows = [(i, f"write to a{i}@b.org or 10.0.0.{i % 200}, a{i}@b.com") for i in range(40)]
+    rows += [(100 + i, "plain words only") for i in range(3 * pii.BATCH_DOCS)]
+    got = {r["doc_id"]: r for r in pii.report(documents(rows).coalesce(1)).collect()}
+    assert len(got) == len(rows)
+    assert got[3]["n_email"] == 2 and got[3]["n_ip"] == 1 and got[100]["spans"] == ""
+
+
 def test_redaction():
     assert pii.redact("a 1.2.3.4 b", [(2, "ip", 9)]) == "a [IP] b"
     assert pii.redact("x12345y", [(1, "card", 4), (3, "phone", 6)]) == "x[CARD]y"
