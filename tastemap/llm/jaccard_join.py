@@ -215,8 +215,8 @@ def _shared_prefixes(docs: DataFrame, levels: np.ndarray, rule: Rule) -> DataFra
 
     kind = "shingle long, node long, n long"
     rows = map_arrow(docs.select("doc_id", "text"), prefixes, kind)
-    return materialize(rows.repartition("shingle").sortWithinPartitions("shingle", "n", "node")
-                       .mapInArrow(shared, kind), "shared-prefixes")
+    rows = rows.repartition("shingle").sortWithinPartitions("shingle", "n", "node")
+    return materialize(map_arrow(rows, shared, kind), "shared-prefixes")
 
 
 def _tiles(shared: DataFrame, rule: Rule) -> DataFrame:
@@ -242,7 +242,7 @@ def _passing(pairs: DataFrame, sigs: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], ["a", "b"])
 
     joined = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+    return map_arrow(joined.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), run, "a long, b long")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
@@ -287,7 +287,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule) ->
         return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"shingles_{name}"))
 
     joined = pairs.join(side("b"), "b").join(side("a"), "a")
-    return joined.select("a", "b", "shingles_a", "shingles_b").mapInArrow(exact, "a long, b long").distinct()
+    return map_arrow(joined.select("a", "b", "shingles_a", "shingles_b"), exact, "a long, b long").distinct()
 
 
 def _contested(tiles: DataFrame, labels: DataFrame) -> DataFrame:
@@ -379,9 +379,8 @@ def _foreign_pairs(contested: DataFrame, sigs: DataFrame, rule: Rule, everything
         return [np.stack([get(c) for c in key], axis=1), *(get(c) for c in ("asks", "node", "n", "comp", "home")),
                 batch.column("bits").to_pylist()]
 
-    return (as_row.unionAll(as_probe).repartition(*key).sortWithinPartitions(*key)
-            .mapInArrow(run, "a long, b long, more boolean")
-            .groupBy("a", "b").agg(F.max("more").alias("more")))
+    dealt = as_row.unionAll(as_probe).repartition(*key).sortWithinPartitions(*key)
+    return map_arrow(dealt, run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from tastemap.llm.text import LETTERS, PUNCT, WHITE, BoundedCache, map_arrow, sl
 WINDOW = 2048
 BATCH_DOCS = 512
 END_ID = 1
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 # Cuts that the tokenizer's normaliser and splitter respect: a plain word
 # before punctuation, white space or the end; else a run without white space.
 PIECE = re.compile(f"[{LETTERS}]+(?=[{PUNCT}{WHITE}]|$)|[^{WHITE}]+")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import uuid
 
@@ -16,7 +17,8 @@ WHITE = "\t-\r \x85\xa0  -     　"
 # Latin letters that neither change class nor compose with what follows when
 # lower-cased or normalised, and ASCII punctuation (fixed values).
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-ARROW_SETTING, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1500
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1500,
+                "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 PUNCT = "!-/:-@\\[-`{-~"
 
 
@@ -97,13 +99,31 @@ def byte_texts(column) -> list[bytes]:
     return [t or b"" for t in column.cast(kind).to_pylist()]
 
 
+def _giving_back(run):
+    """``run``, handing freed memory back to the system when a task ends: idle
+    workers stay alive beside those of the stages that follow."""
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # where the C library has it
+        if trim:
+            trim(0)
+
+    return task
+
+
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    """mapInArrow in batches of at most ``ARROW_ROWS`` rows (a session setting,
-    lowered where it is higher), which bounds the texts a task holds at once."""
+    """mapInArrow in batches within ``ARROW_LIMITS`` (session settings, lowered
+    where they are higher), which bounds the texts a task holds at once."""
     conf = df.sparkSession.conf
-    if not 0 < int(conf.get(ARROW_SETTING)) <= ARROW_ROWS:
-        conf.set(ARROW_SETTING, str(ARROW_ROWS))
-    return df.mapInArrow(run, schema)
+    for name, most in ARROW_LIMITS.items():
+        try:
+            now = int(conf.get(name))
+        except ValueError:                       # with a unit, such as 64m
+            now = 0
+        if not 0 < now <= most:
+            conf.set(name, str(most))
+    return df.mapInArrow(_giving_back(run), schema)
 
 
 def arrow_rows(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
