@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tastemap.functions.vectors import spread_vector
@@ -348,6 +348,30 @@ def q_metric_cross_table(spark, sf):
     return tuning.cross_table(_implicit_grid(spark, sf), "reg", "rank", "precision_at_k")
 
 
+# --- ALS, what holds whatever the fit learns (with SQL twins) --------------------
+
+def q_als_prediction_rows(spark, sf):
+    """The validation rows that get a prediction: user and item were trained."""
+    return q_als_predictions(spark, sf).filter(F.col("prediction").isNotNull()).select("user_id", "item_id", "rating")
+
+
+def q_als_list_shape(spark, sf):
+    """Per user: length, ranks and items of the list, and whether its scores never rise."""
+    before = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))
+    lists = q_als_top100(spark, sf).withColumn("falls", F.coalesce(F.col("score") <= before, F.lit(True)))
+    return lists.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("item_id").alias("n_items"),
+        F.min("rank").cast("long").alias("first_rank"), F.max("rank").cast("long").alias("last_rank"),
+        F.min("falls").alias("scores_fall"))
+
+
+def q_als_factor_ids(spark, sf):
+    """Every trained user and item has one factor row of full width."""
+    factors = q_als_factors(spark, sf)
+    filled = sum(F.col(c).isNotNull().cast("long") for c in factors.columns if c.startswith("f_"))
+    return factors.select("kind", "id", filled.alias("width"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interactions": q_interactions,
     "nonzero_ratings": q_nonzero_ratings,
@@ -381,6 +405,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_metrics": q_als_metrics,
     "als_implicit_top100": q_als_implicit_top100,
     "als_factors": q_als_factors,
+    "als_prediction_rows": q_als_prediction_rows,
+    "als_list_shape": q_als_list_shape,
+    "als_factor_ids": q_als_factor_ids,
     "als_grid": q_als_grid,
     "implicit_grid": q_implicit_grid,
     "best_params": q_best_params,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from tastemap.functions.buckets import SAMPLE_BUCKETS, bucket_thresholds, fraction_threshold, hash_bucket_sql
 from tastemap.operators.ranking import METRIC_DIGITS
 from tastemap.operators.split import PAIR_FRACTIONS, SPLIT_SEED, USER_FRACTIONS
-from tastemap.params import SAMPLE_FRACTION, TOP_N
+from tastemap.params import IMPLICIT_ALS, SAMPLE_FRACTION, TOP_N
 from tastemap.sources.interactions import INTERACTIONS_SQL
 
 
@@ -190,4 +190,19 @@ listed AS (SELECT item_id, row_number() OVER (ORDER BY count(user_id) DESC, item
 SELECT user_id, {_pivot_cols()} FROM rated LEFT JOIN listed USING (item_id) GROUP BY user_id""",
 
     "vector_columns": f"SELECT vec_id, label, {_vector_cols()} FROM embeddings",
+
+    "als_prediction_rows": f"""WITH {SPLIT}
+SELECT user_id, item_id, rating FROM split WHERE split = 'val'
+  AND user_id IN (SELECT user_id FROM split WHERE split = 'train')
+  AND item_id IN (SELECT item_id FROM split WHERE split = 'train')""",
+
+    "als_list_shape": f"""WITH {SPLIT},
+size AS (SELECT least({TOP_N}, count(DISTINCT item_id)) AS n FROM split WHERE split = 'train')
+SELECT user_id, n AS n_rows, n AS n_items, CAST(1 AS BIGINT) AS first_rank, n AS last_rank, true AS scores_fall
+FROM (SELECT DISTINCT user_id FROM split WHERE split = 'train') CROSS JOIN size""",
+
+    "als_factor_ids": f"""WITH {SPLIT}
+SELECT DISTINCT 'user' AS kind, user_id AS id, CAST({IMPLICIT_ALS["rank"]} AS BIGINT) AS width FROM split WHERE split = 'train'
+UNION ALL
+SELECT DISTINCT 'item', item_id, CAST({IMPLICIT_ALS["rank"]} AS BIGINT) FROM split WHERE split = 'train'""",
 }
