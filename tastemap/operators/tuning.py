@@ -6,11 +6,11 @@ import itertools
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemap.operators import als as als_ops
-from tastemap.operators.ranking import ranking_metrics, rmse
+from tastemap.operators.ranking import METRIC_DIGITS, ranking_metrics, rmse, truth_sets
 
 GRID_SCHEMA = ("rank INT, max_iter INT, reg DOUBLE, alpha DOUBLE, implicit BOOLEAN, k INT, "
                "rmse DOUBLE, precision_at_k DOUBLE, map DOUBLE, ndcg_at_k DOUBLE, seconds DOUBLE")
@@ -59,13 +59,54 @@ def metrics_frame(spark, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], GRID_SCHEMA)
 
 
-def best_params(results: DataFrame, metric: str = "rmse", lowest: bool = True) -> DataFrame:
-    """The grid row with the lowest (or highest) ``metric``; NaN and NULL never win."""
+def damped_mean_grid(train: DataFrame, valid: DataFrame, dampings: tuple, cutoffs: tuple,
+                     user: str = "user_id", item: str = "item_id", rating: str = "rating",
+                     digits: int = METRIC_DIGITS) -> DataFrame:
+    """(damping, k, rmse, precision_at_k): a grid over a predictor without
+    learned factors, (sum + damping * overall mean) / (n + damping) per item.
+
+    RMSE is over the rows of ``valid`` whose item was trained; precision@k is
+    the mean over the users of ``valid`` of the shared list of the k best items.
+    One lazy plan: item sums meet each row once and are spread over the few
+    dampings after the join; lists are at most the largest cut-off long.
+    """
+    overall = train.agg((F.sum(rating) / F.count(rating)).alias("overall")).scalar()
+    items = train.groupBy(item).agg(F.sum(rating).alias("total"), F.count(rating).alias("n"))
+    items = items.select(item, "total", "n", overall.alias("overall"))
+    points = F.explode(F.array(*[F.lit(float(d)) for d in dampings])).alias("damping")
+    predicted = (F.col("total") + F.col("damping") * F.col("overall")) / (F.col("n") + F.col("damping"))
+
+    err = F.col(rating) - predicted
+    errors = (valid.join(items, item).select(rating, "total", "n", "overall", points).groupBy("damping")
+              .agg(F.round(F.sqrt(F.avg(err * err)), digits).alias("rmse")))
+
+    order = Window.partitionBy("damping").orderBy(F.desc("score"), F.asc(item))
+    lists = None
+    for d in dampings:
+        best = (items.withColumn("damping", F.lit(float(d))).select("damping", item, predicted.alias("score"))
+                .orderBy(F.desc("score"), F.asc(item)).limit(max(cutoffs)))
+        lists = best if lists is None else lists.unionByName(best)
+    lists = lists.select("damping", item, F.row_number().over(order).alias("place"))
+    truth = truth_sets(valid, user, item)
+    users = truth.agg(F.countDistinct(user).alias("users")).scalar()
+    found = truth.join(F.broadcast(lists), item).groupBy("damping").agg(
+        *[F.count(F.when(F.col("place") <= k, 1)).alias(f"hits_{k}") for k in cutoffs])
+    by_k = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.coalesce(f"hits_{k}", F.lit(0)).alias("hits"))
+                               for k in cutoffs])).alias("at")
+    return (errors.join(found, "damping", "left").select("damping", "rmse", by_k)
+            .select("damping", F.col("at.k").alias("k"), "rmse",
+                    F.round(F.col("at.hits") / (F.col("at.k") * users), digits).alias("precision_at_k")))
+
+
+def best_params(results: DataFrame, metric: str = "rmse", lowest: bool = True,
+                ties: tuple = ("rank", "max_iter", "reg", "alpha")) -> DataFrame:
+    """The grid row with the lowest (or highest) ``metric``; NaN and NULL never
+    win, and equal metrics give the least values of the columns ``ties``."""
     params = F.struct(*[c for c in results.columns])
     usable = results.filter(F.col(metric).isNotNull() & ~F.isnan(metric))
     # A total order, so equal metrics give the same point whatever the row order.
     value = F.col(metric) if lowest else -F.col(metric)
-    ties = [c for c in ("rank", "max_iter", "reg", "alpha") if c in results.columns]
+    ties = [c for c in ties if c in results.columns]
     pick = F.min_by(params, F.struct(value, *ties))
     return usable.agg(pick.alias("best")).select("best.*")
 

@@ -46,3 +46,4 @@ ALS_BLOCKS = 10
 # whole splits: the 6 x 4 grid did not end within about 210 s on sf0.01.
 # `jobs.sampled_comparison` runs the whole grid.
 REGISTERED_IMPLICIT_GRID = dict(ranks=(5, 20), iters=(4,), regs=(0.01, 0.1))
+MEAN_DAMPINGS, MEAN_CUTOFFS = (0, 5, 25), (10, 100)  # the grid over damped item means

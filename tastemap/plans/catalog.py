@@ -23,12 +23,13 @@ from tastemap.operators.prep import (active_users, copy_column, drop_null_rows,
 from tastemap.operators.ranking import item_mean_predictions, ranking_metrics, rmse, summarize, truth_sets
 from tastemap.operators.split import (SPLIT_SEED, half_split, interaction_split, label_and_number,
                                       train_val_test, user_groups)
-from tastemap.params import (EXPLICIT_GRID, FINAL_ALS, IMPLICIT_ALS, REGISTERED_IMPLICIT_GRID, TEST_K,
-                             TUNE_K)
-from tastemap.plans.oracle import PIVOT_ITEMS, SAMPLE_FRACTION, TOP_N, VECTOR_WIDTH
+from tastemap.params import (EXPLICIT_GRID, FINAL_ALS, IMPLICIT_ALS, MEAN_CUTOFFS, MEAN_DAMPINGS,
+                             REGISTERED_IMPLICIT_GRID, TEST_K, TUNE_K)
+from tastemap.plans.oracle import LAYOUT_FILES, PIVOT_ITEMS, SAMPLE_FRACTION, TOP_N, VECTOR_WIDTH
 from tastemap.session import scratch_path
 from tastemap.sources.files import (materialize, read_csv_table, read_parquet_table, register_views,
-                                    row_count, write_csv_parts, write_parquet_table, write_single_csv)
+                                    repartition_layout, row_count, write_csv_parts, write_parquet_table,
+                                    write_single_csv, write_single_parquet)
 from tastemap.sources.interactions import interactions
 from tastemap.sources.tables import load_table
 
@@ -110,6 +111,15 @@ def q_repartition_layout(spark, sf):
     return spark.sql("SELECT user_id, item_id, rating, ts FROM interaction WHERE rating != 0")
 
 
+def q_layout_files(spark, sf):
+    """The rated rows laid out round robin, written, and counted by file."""
+    path = scratch_path(spark, "layout")
+    write_parquet_table(repartition_layout(rated(spark, sf), LAYOUT_FILES), path)
+    files = read_parquet_table(spark, path).groupBy(F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return files.agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows"))
+
+
 def q_csv_round_trip(spark, sf):
     """Ratings in the source's CSV layout (epoch seconds), written as a
     multi-part CSV with header and read back under the fixed schema."""
@@ -195,6 +205,13 @@ def q_popularity_report_csv(spark, sf):
     return read_csv_table(spark, path, schema="item_id BIGINT, score BIGINT, rank BIGINT")
 
 
+def q_popularity_report_parquet(spark, sf):
+    """The same list as one parquet file and back."""
+    path = scratch_path(spark, "popularity-parquet")
+    write_single_parquet(_popularity(spark, sf)[1].top, path)
+    return read_parquet_table(spark, path)
+
+
 def q_popularity_for_users(spark, sf):
     s, pr = _popularity(spark, sf)
     return pr.recommend(s.filter(F.col("split") == "val"))
@@ -348,6 +365,27 @@ def q_metric_cross_table(spark, sf):
     return tuning.cross_table(_implicit_grid(spark, sf), "reg", "rank", "precision_at_k")
 
 
+# --- grid over damped item means: selection and cross table with SQL twins ----------
+
+def q_mean_grid(spark, sf):
+    s = split_table(spark, sf)
+    return tuning.damped_mean_grid(s.filter("split = 'train'"), s.filter("split = 'val'"), MEAN_DAMPINGS,
+                                   MEAN_CUTOFFS)
+
+
+def q_best_mean_rmse(spark, sf):
+    """Lowest error; the cut-offs tie, so the smallest one is taken."""
+    return tuning.best_params(q_mean_grid(spark, sf), "rmse", True, ("damping", "k"))
+
+
+def q_best_mean_precision(spark, sf):
+    return tuning.best_params(q_mean_grid(spark, sf), "precision_at_k", False, ("damping", "k"))
+
+
+def q_mean_cross_table(spark, sf):
+    return tuning.cross_table(q_mean_grid(spark, sf), "damping", "k", "precision_at_k")
+
+
 # --- ALS, what holds whatever the fit learns (with SQL twins) --------------------
 
 def q_als_prediction_rows(spark, sf):
@@ -372,6 +410,26 @@ def q_als_factor_ids(spark, sf):
     return factors.select("kind", "id", filled.alias("width"))
 
 
+def q_als_unseen_shape(spark, sf):
+    """Lists without trained pairs: their lengths, and how many such pairs they hold."""
+    train = split_table(spark, sf).filter(F.col("split") == "train")
+    lists = als_ops.recommend_unseen(_explicit_model(spark, sf), TOP_N, train)
+    pairs = train.select("user_id", "item_id", F.lit(1).alias("trained")).distinct()
+    return lists.join(pairs, ["user_id", "item_id"], "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("rank").alias("last_rank"), F.count("trained").alias("n_seen"))
+
+
+def q_als_evaluated_users(spark, sf):
+    """What the ALS metrics cover: the users evaluated in each split."""
+    return q_als_metrics(spark, sf).select("split", "n_users")
+
+
+def q_als_grid_points(spark, sf):
+    """The points that both grids ran."""
+    both = _explicit_grid(spark, sf).unionByName(_implicit_grid(spark, sf))
+    return both.select("rank", "max_iter", "reg", "alpha", "implicit", "k")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interactions": q_interactions,
     "nonzero_ratings": q_nonzero_ratings,
@@ -385,6 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_split_round_trip": q_parquet_split_round_trip,
     "split_folder_scan": q_split_folder_scan,
     "repartition_layout": q_repartition_layout,
+    "layout_files": q_layout_files,
     "csv_round_trip": q_csv_round_trip,
     "row_counts": q_row_counts,
     "split_counts": q_split_counts,
@@ -392,6 +451,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "popularity_scores": q_popularity_scores,
     "popularity_top100": q_popularity_top100,
     "popularity_report_csv": q_popularity_report_csv,
+    "popularity_report_parquet": q_popularity_report_parquet,
     "popularity_for_users": q_popularity_for_users,
     "truth_sets": q_truth_sets,
     "popularity_user_metrics": q_popularity_user_metrics,
@@ -408,6 +468,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_prediction_rows": q_als_prediction_rows,
     "als_list_shape": q_als_list_shape,
     "als_factor_ids": q_als_factor_ids,
+    "als_unseen_shape": q_als_unseen_shape,
+    "als_evaluated_users": q_als_evaluated_users,
+    "als_grid_points": q_als_grid_points,
+    "mean_grid": q_mean_grid,
+    "best_mean_rmse": q_best_mean_rmse,
+    "best_mean_precision": q_best_mean_precision,
+    "mean_cross_table": q_mean_cross_table,
     "als_grid": q_als_grid,
     "implicit_grid": q_implicit_grid,
     "best_params": q_best_params,

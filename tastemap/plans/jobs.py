@@ -72,6 +72,7 @@ def evaluate_popularity(splits: dict[str, DataFrame], k: int = TOP_N,
     ``report_path`` writes the ranked list once as a single CSV with header.
     """
     pop = PopularityRecommender(k).create(splits["train"])
+    pop.top = materialize(pop.top, "top-items")  # k rows, read by the report and both evaluations
     if report_path:
         write_single_csv(pop.top, report_path)
     return _stack({t: summarize(pop.evaluate_by_user(splits[t], k)) for t in ("val", "test")})

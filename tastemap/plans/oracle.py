@@ -11,11 +11,13 @@ from __future__ import annotations
 from tastemap.functions.buckets import SAMPLE_BUCKETS, bucket_thresholds, fraction_threshold, hash_bucket_sql
 from tastemap.operators.ranking import METRIC_DIGITS
 from tastemap.operators.split import PAIR_FRACTIONS, SPLIT_SEED, USER_FRACTIONS
-from tastemap.params import IMPLICIT_ALS, SAMPLE_FRACTION, TOP_N
+from tastemap.params import (EXPLICIT_GRID, IMPLICIT_ALS, MEAN_CUTOFFS, MEAN_DAMPINGS, REGISTERED_IMPLICIT_GRID,
+                             SAMPLE_FRACTION, TOP_N, TUNE_K)
 from tastemap.sources.interactions import INTERACTIONS_SQL
 
 
 PIVOT_ITEMS = 20  # the registered dense pivot lists the most popular items; any list can be given
+LAYOUT_FILES = 16  # files of the written layout
 VECTOR_WIDTH = 64
 D = METRIC_DIGITS
 
@@ -91,6 +93,37 @@ def _vector_cols() -> str:
     return ", ".join(f"embedding[{i + 1}] AS f_{i}" for i in range(VECTOR_WIDTH))
 
 
+MEAN_GRID = f"""{SPLIT},
+train AS (SELECT * FROM split WHERE split = 'train'),
+val AS (SELECT * FROM split WHERE split = 'val'),
+overall AS (SELECT sum(rating) / count(*) AS mean FROM train),
+items AS (SELECT item_id, sum(rating) AS total, count(*) AS n FROM train GROUP BY item_id),
+dampings AS (SELECT CAST(unnest([{", ".join(map(str, MEAN_DAMPINGS))}]) AS DOUBLE) AS damping),
+cutoffs AS (SELECT CAST(unnest([{", ".join(map(str, MEAN_CUTOFFS))}]) AS INTEGER) AS k),
+scored AS (SELECT damping, item_id, (total + damping * mean) / (n + damping) AS score
+           FROM items CROSS JOIN overall CROSS JOIN dampings),
+errors AS (SELECT damping, round(sqrt(avg((rating - score) * (rating - score))), {D}) AS rmse
+           FROM val JOIN scored USING (item_id) GROUP BY damping),
+listed AS (SELECT damping, item_id, row_number() OVER (PARTITION BY damping ORDER BY score DESC, item_id) AS place
+           FROM scored),
+truth AS (SELECT DISTINCT user_id, item_id FROM val),
+users AS (SELECT count(DISTINCT user_id) AS n_users FROM truth),
+hits AS (SELECT damping, k, count(*) AS n_hits FROM truth JOIN listed USING (item_id) JOIN cutoffs ON place <= k
+         GROUP BY damping, k),
+grid AS (SELECT damping, k, rmse, round(coalesce(n_hits, 0) / (k * n_users), {D}) AS precision_at_k
+         FROM errors CROSS JOIN cutoffs CROSS JOIN users LEFT JOIN hits USING (damping, k))"""
+
+
+def _grid_points() -> str:
+    points = [(r, i, g, 1.0, "false", TOP_N) for r in EXPLICIT_GRID["ranks"] for i in EXPLICIT_GRID["iters"]
+              for g in EXPLICIT_GRID["regs"]]
+    corner = REGISTERED_IMPLICIT_GRID
+    points += [(r, i, g, 1.0, "true", TUNE_K) for r in corner["ranks"] for i in corner["iters"] for g in corner["regs"]]
+    return " UNION ALL ".join(
+        f"SELECT CAST({r} AS INTEGER) AS rank, CAST({i} AS INTEGER) AS max_iter, CAST({g} AS DOUBLE) AS reg, "
+        f"CAST({a} AS DOUBLE) AS alpha, {b} AS implicit, CAST({k} AS INTEGER) AS k" for r, i, g, a, b, k in points)
+
+
 ORACLE_SQL: dict[str, str] = {
     "interactions": INTERACTIONS_SQL,
 
@@ -127,6 +160,9 @@ SELECT user_id, item_id, rating, ts, ok, ln FROM split WHERE split = 'val'""",
     "repartition_layout": f"""WITH {BASE}
 SELECT user_id, item_id, rating, ts FROM inter WHERE rating <> 0""",
 
+    "layout_files": f"""WITH {BASE}
+SELECT CAST(least({LAYOUT_FILES}, count(*)) AS BIGINT) AS n_files, count(*) AS n_rows FROM rated""",
+
     "csv_round_trip": f"""WITH {BASE}
 SELECT CAST(user_id AS INTEGER) AS userId, CAST(item_id AS INTEGER) AS movieId, rating,
        CAST(epoch(ts) AS INTEGER) AS timestamp FROM rated""",
@@ -154,6 +190,8 @@ SELECT user_id, item_id, rating,
     "popularity_report_csv": f"""WITH {POPULARITY}
 SELECT CAST(item_id AS BIGINT) AS item_id, score, rank FROM top""",
 
+    "popularity_report_parquet": f"WITH {POPULARITY}\nSELECT item_id, score, rank FROM top",
+
     "popularity_for_users": f"""WITH {POPULARITY}
 SELECT u.user_id, t.item_id, t.score, t.rank
 FROM (SELECT DISTINCT user_id FROM split WHERE split = 'val') u CROSS JOIN top t""",
@@ -205,4 +243,27 @@ FROM (SELECT DISTINCT user_id FROM split WHERE split = 'train') CROSS JOIN size"
 SELECT DISTINCT 'user' AS kind, user_id AS id, CAST({IMPLICIT_ALS["rank"]} AS BIGINT) AS width FROM split WHERE split = 'train'
 UNION ALL
 SELECT DISTINCT 'item', item_id, CAST({IMPLICIT_ALS["rank"]} AS BIGINT) FROM split WHERE split = 'train'""",
+
+    "als_unseen_shape": f"""WITH {SPLIT},
+train AS (SELECT DISTINCT user_id, item_id FROM split WHERE split = 'train'),
+lengths AS (SELECT user_id, least({TOP_N}, (SELECT count(DISTINCT item_id) FROM train) - count(*)) AS n
+            FROM train GROUP BY user_id)
+SELECT user_id, n AS n_rows, n AS last_rank, CAST(0 AS BIGINT) AS n_seen FROM lengths WHERE n > 0""",
+
+    "als_evaluated_users": f"""WITH {SPLIT}
+SELECT split, count(DISTINCT user_id) AS n_users FROM split
+WHERE split <> 'train' AND user_id IN (SELECT user_id FROM split WHERE split = 'train') GROUP BY split""",
+
+    "als_grid_points": _grid_points(),
+
+    "mean_grid": f"WITH {MEAN_GRID}\nSELECT damping, k, rmse, precision_at_k FROM grid",
+
+    "best_mean_rmse": f"WITH {MEAN_GRID}\nSELECT damping, k, rmse, precision_at_k FROM grid ORDER BY rmse, damping, k LIMIT 1",
+
+    "best_mean_precision": f"""WITH {MEAN_GRID}
+SELECT damping, k, rmse, precision_at_k FROM grid ORDER BY precision_at_k DESC, damping, k LIMIT 1""",
+
+    "mean_cross_table": f"""WITH {MEAN_GRID}
+SELECT damping, {", ".join(f'max(precision_at_k) FILTER (WHERE k = {k}) AS "{k}"' for k in MEAN_CUTOFFS)}
+FROM grid GROUP BY damping""",
 }

@@ -74,3 +74,58 @@ def test_out_of_range_ids_fail(spark):
                                  "user_id LONG, item_id LONG, rating DOUBLE")
     with pytest.raises(Exception, match="INT range"):
         als_ops.fit_als(rows, rank=2, max_iter=1)
+
+
+def test_unseen_lists(spark, model, planted):
+    train, _ = planted
+    got = als_ops.recommend_unseen(model, 60, train).toPandas()
+    seen = set(train.select("user_id", "item_id").toPandas().itertuples(index=False, name=None))
+    every = als_ops.recommend(model, 80).toPandas().sort_values(["user_id", "rank"])
+    left = every[[p not in seen for p in zip(every.user_id, every.item_id)]]
+    want = left.groupby("user_id").head(60)
+    want = want.assign(rank=want.groupby("user_id").cumcount() + 1)
+    rows = lambda d: set(zip(d.user_id, d["rank"], d.item_id))
+    assert rows(got) == rows(want)
+
+
+def test_dense_ids_round_trip(spark):
+    from tastemap.operators import ids
+    rows = spark.createDataFrame([(2 ** 40 + i % 9, f"item-{i % 7}", float(1 + (i * i) % 5)) for i in range(63)],
+                                 "user_id LONG, item_id STRING, rating DOUBLE")
+    users, items = ids.id_table(rows, "user_id"), ids.id_table(rows, "item_id")
+    assert sorted(r["dense"] for r in users.collect()) == list(range(9))
+    coded = ids.encode(ids.encode(rows, users, "user_id"), items, "item_id")
+    fitted = als_ops.fit_als(coded, rank=2, max_iter=2)
+    lists = ids.decode(ids.decode(als_ops.recommend(fitted, 3), users, "user_id"), items, "item_id").toPandas()
+    assert set(lists.user_id) == {2 ** 40 + i for i in range(9)} and set(lists.item_id) <= {f"item-{i}" for i in range(7)}
+    assert lists.groupby("user_id").size().eq(3).all()
+
+
+def _residual(pairs, own, other, reg, alpha=None):
+    """Largest residual of the users' regularised normal equations, given the other side's factors."""
+    worst = 0.0
+    y = np.stack(list(other.values()))
+    for u, x in own.items():
+        rated = [(other[i], r) for a, i, r in pairs if a == u]
+        f, r = np.stack([p[0] for p in rated]), np.array([p[1] for p in rated])
+        if alpha is None:
+            a, b = f.T @ f + reg * len(r) * np.eye(len(x)), f.T @ r
+        else:
+            c = alpha * np.abs(r)
+            a = y.T @ y + (f * c[:, None]).T @ f + reg * (r > 0).sum() * np.eye(len(x))
+            b = f.T @ ((1 + c) * (r > 0))
+        worst = max(worst, float(np.abs(a @ x - b).max() / max(1.0, np.abs(b).max())))
+    return worst
+
+
+@pytest.mark.parametrize("alpha", [None, 0.5])
+def test_factors_solve_the_normal_equations(planted, alpha):
+    train, _ = planted
+    m = als_ops.fit_als(train, rank=3, max_iter=4, reg=0.1, implicit=alpha is not None, alpha=alpha or 1.0,
+                        nonnegative=False)
+    side = lambda kind: {r["id"]: np.array(r["features"]) for r in als_ops.factor_table(m, kind).collect()}
+    users, items = side("user"), side("item")
+    pairs = [(r["user_id"], r["item_id"], r["rating"]) for r in train.collect()]
+    back = [(i, u, r) for u, i, r in pairs]
+    # The side solved last holds its equations exactly.
+    assert min(_residual(pairs, users, items, 0.1, alpha), _residual(back, items, users, 0.1, alpha)) < 1e-3

@@ -13,10 +13,16 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+# The estimator's own top-n call meets blocks of users and items: the one exception.
+BUILT_IN_TOP_N = {"als_top100", "als_implicit_top100", "als_metrics", "als_list_shape", "als_unseen_shape",
+                  "als_evaluated_users"}
+
+
+@pytest.mark.parametrize("name", sorted({*entry.oracle_sql(), *BUILT_IN_TOP_N}))
 def test_no_cross_products(spark, name):
     plan = _plan(entry.queries()[name](spark, SF_SMALL))
-    assert "CartesianProduct" not in plan
+    if name not in BUILT_IN_TOP_N:
+        assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
 

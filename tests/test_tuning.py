@@ -40,3 +40,26 @@ def test_ties_go_to_the_smallest_parameters(spark):
         frame = metrics_frame(spark, order)
         assert best_params(frame, "rmse").first()["rank"] == 20
         assert best_params(frame, "precision_at_k", lowest=False).first()["rank"] == 20
+
+
+def test_damped_means_against_plain_python(spark):
+    from collections import defaultdict
+    train = [(u, i, float(1 + (u * i) % 5)) for u in range(12) for i in range(15) if (u + 2 * i) % 3]
+    valid = [(u, i, float(1 + (u + i) % 5)) for u in range(12) for i in range(17) if (u + 2 * i) % 3 == 0]
+    kind = "user_id LONG, item_id LONG, rating DOUBLE"
+    got = tuning.damped_mean_grid(spark.createDataFrame(train, kind), spark.createDataFrame(valid, kind), (0, 2), (1, 4))
+    rows = {(r["damping"], r["k"]): (r["rmse"], r["precision_at_k"]) for r in got.collect()}
+    of = defaultdict(list)
+    for _, i, r in train:
+        of[i].append(r)
+    overall = sum(r for _, _, r in train) / len(train)
+    users = {u for u, _, _ in valid}
+    for d in (0, 2):
+        score = {i: (sum(rs) + d * overall) / (len(rs) + d) for i, rs in of.items()}
+        err = [(r - score[i]) ** 2 for _, i, r in valid if i in score]
+        ranked = sorted(score, key=lambda i: (-score[i], i))
+        for k in (1, 4):
+            hits = sum(i in ranked[:k] for _, i, _ in valid)
+            assert math.isclose(rows[d, k][0], math.sqrt(sum(err) / len(err)), abs_tol=1e-9)
+            assert math.isclose(rows[d, k][1], hits / (k * len(users)), abs_tol=1e-9)
+    assert len(rows) == 4
