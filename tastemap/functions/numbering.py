@@ -22,20 +22,18 @@ from tastemap.sources.files import materialize
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the record number in the low 33 bits
 ROWS_PER_PARTITION = 2_000_000  # rows one task sorts; keeps each range partition near 100 MB
-MAX_PARTITIONS = 100_000        # beyond this, shuffle bookkeeping costs more than larger sorts
 
 
 def range_partitions(spark, expected_rows: int | None) -> int:
     """Partition count for a range sort.
 
     With a known row count: about ``ROWS_PER_PARTITION`` rows each, at least
-    one partition per core and at most ``MAX_PARTITIONS``.  Without one: the
-    session's shuffle partitions.
+    one partition per core.  Without one: the session's shuffle partitions.
     """
     if expected_rows is None:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     cores = spark.sparkContext.defaultParallelism
-    return min(MAX_PARTITIONS, max(cores, -(-int(expected_rows) // ROWS_PER_PARTITION)))
+    return max(cores, -(-int(expected_rows) // ROWS_PER_PARTITION))
 
 
 def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_index",
@@ -67,7 +65,7 @@ def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_ind
 
 
 def with_running_sum(df: DataFrame, order_cols: list[str], weight: str, name: str,
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, expected_rows: int | None = None) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over all rows before this one in the
     total order ``order_cols`` (an exclusive prefix sum), without a
     single-task window.
@@ -77,7 +75,7 @@ def with_running_sum(df: DataFrame, order_cols: list[str], weight: str, name: st
     partition's rows), and per-partition totals as a broadcast offset table.
     """
     spark = df.sparkSession
-    n = num_partitions or spark.sparkContext.defaultParallelism
+    n = num_partitions or range_partitions(spark, expected_rows)
     tagged = materialize(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()),
                          "running")
     before = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)

@@ -53,11 +53,11 @@ def number_held_out(held: DataFrame, order: list[str], expected_rows: int | None
     return with_global_index(held, order, "row_index", expected_rows=expected_rows)
 
 
-def first_positions(stats: DataFrame, user: str = "user_id") -> DataFrame:
+def first_positions(stats: DataFrame, user: str = "user_id", expected_users: int | None = None) -> DataFrame:
     """(user, grp, first_index): where each held-out user's rows start in the
     global (user, …) order of held-out rows; NULL for training users."""
     held = stats.filter(F.col("grp") != "train").select(user, "n_rows")
-    starts = with_running_sum(held, [user], "n_rows", "first_index")
+    starts = with_running_sum(held, [user], "n_rows", "first_index", expected_rows=expected_users)
     return stats.select(user, "grp").join(starts.select(user, "first_index"), user, "left")
 
 
@@ -87,13 +87,13 @@ def label_and_number(df: DataFrame, user: str = "user_id", item: str = "item_id"
     """
     rated = nonzero_ratings(df, rating)
     stats = labelled_users(rated, user, min_rows, fractions, seed)
-    _, n_held = user_table_sizes(stats)
+    n_users, n_held = user_table_sizes(stats)
     # The group is a function of the id alone, so the rows are parted before
     # the joins and each of them is shuffled once at most.
     bucket, bound = hash_bucket([user], seed), bucket_thresholds(fractions)[0]
     train_users = stats.filter(F.col("grp") == "train").select(user)
     train_rows = rated.filter(bucket < bound).join(train_users, user, "left_semi").withColumn("grp", F.lit("train"))
-    held = rated.filter(bucket >= bound).join(first_positions(stats, user), user)
+    held = rated.filter(bucket >= bound).join(first_positions(stats, user, n_users), user)
     numbered = number_held_out(held, order_columns(user, item, rating, ts, list(extra_order)), n_held)
     return train_rows, (numbered.withColumn("user_row", F.col("row_index") - F.col("first_index"))
                         .drop("first_index"))

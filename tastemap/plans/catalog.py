@@ -1,9 +1,11 @@
 """Registered queries: one Spark builder per operator of the inventory.
 
 Every builder takes ``(spark, sf_dir)``, reads the driver's tables (or data
-Spark derives from them) and returns a lazy DataFrame.  Deterministic ones
-have a DuckDB twin in ``tastemap.plans.oracle``; model-based ones (ALS) are
-checked by shape in the tests.
+Spark derives from them) and returns a DataFrame.  Building one may already run
+jobs: splits and numberings are written, models and grids fitted (kept for the
+application in ``_memo``).  Deterministic ones have a DuckDB twin in
+``tastemap.plans.oracle``; values that ALS learns are checked in the tests, and
+what holds whatever it learns has queries with twins of its own.
 """
 
 from __future__ import annotations

@@ -19,7 +19,7 @@ from tastemap.operators.ranking import ranking_metrics, rmse, summarize
 from tastemap.operators.split import SPLIT_SEED, interaction_split, train_val_test
 from tastemap.params import (FINAL_ALS, IMPLICIT_ALS, LAYOUT_PARTITIONS, SAMPLE_FRACTION, SAMPLED_GRID, TEST_K,
                              TOP_N, TUNE_K)
-from tastemap.session import release_held
+from tastemap.session import release_held, scratch_scope
 from tastemap.sources.files import (materialize, read_csv_table, read_parquet_table, repartition_layout,
                                     write_csv_parts,
                                     write_parquet_table, write_single_csv, write_single_parquet)
@@ -28,9 +28,10 @@ from tastemap.sources.interactions import interactions
 
 def write_splits(spark: SparkSession, sf_dir: str, out_path: str) -> str:
     """Stage A: derive interactions, split them, write one table partitioned by split."""
-    source = materialize(interactions(spark, sf_dir), "interactions")
-    write_parquet_table(train_val_test(source), out_path, partition_by=["split"])
-    release_held()
+    with scratch_scope(spark):
+        source = materialize(interactions(spark, sf_dir), "interactions")
+        write_parquet_table(train_val_test(source), out_path, partition_by=["split"])
+        release_held()
     return out_path
 
 
@@ -44,9 +45,10 @@ def ratings_from_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_splits_from_ratings(spark: SparkSession, csv_path: str, out_path: str) -> str:
     """Stage A from a rating file: ties in (user, ts, item, rating) are whole-row duplicates."""
-    source = materialize(ratings_from_csv(spark, csv_path), "ratings")
-    write_parquet_table(train_val_test(source, extra_order=()), out_path, partition_by=["split"])
-    release_held()
+    with scratch_scope(spark):
+        source = materialize(ratings_from_csv(spark, csv_path), "ratings")
+        write_parquet_table(train_val_test(source, extra_order=()), out_path, partition_by=["split"])
+        release_held()
     return out_path
 
 
@@ -131,7 +133,9 @@ def sampled_comparison(spark: SparkSession, splits_path: str, work_dir: str,
         write_parquet_table(laid_out, f"{work_dir}/sampled-{name}")
         sampled[name] = spark.read.parquet(f"{work_dir}/sampled-{name}")
     together = sampled["train"].unionByName(sampled["val"]).unionByName(sampled["test"])
-    pairs = interaction_split(mean_ratings(together))
+    path = f"{work_dir}/pairs"                    # every grid point reads the pairs of a split
+    write_parquet_table(interaction_split(mean_ratings(together)), path, partition_by=["split"])
+    pairs = spark.read.parquet(path)
     pair_splits = {name: pairs.filter(F.col("split") == name).drop("split") for name in ("train", "val", "test")}
     points = points or tuning.grid(implicit=True, **SAMPLED_GRID)
     grid, best = tune_als(pair_splits, points, k_tune, "precision_at_k", lowest=False)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -68,7 +69,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the checkpoint folder for a written table."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    for paths in _scopes:
+        paths.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder through the file system that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables written below ``scratch_path`` inside go at the end: for jobs
+    whose results are written elsewhere, not for lazy results."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes[:] = [s for s in _scopes if s is not paths]
+        for path in paths:
+            delete_path(spark, path)
 
 
 # Frames persisted by operators that must read one materialized copy twice

@@ -6,6 +6,6 @@ a stream of interaction files as well, with the same result as the batch
 ``popularity_scores`` once the stream has caught up.
 """
 
-from tastemap.streaming.popularity import popularity_stream
+from tastemap.streaming.popularity import latest_snapshot, popularity_stream
 
-__all__ = ["popularity_stream"]
+__all__ = ["latest_snapshot", "popularity_stream"]

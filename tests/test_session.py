@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import SparkSession
 
 from tastemap import session
@@ -30,3 +32,17 @@ def test_submitted_settings_stay(monkeypatch):
     assert not {"master", "spark.sql.shuffle.partitions", "spark.driver.memory"} & set(seen)
     session.build_session(master="local[2]", shuffle_partitions=3)
     assert seen["master"] == "local[2]" and seen["spark.sql.shuffle.partitions"] == "3"
+
+
+def test_scratch_scope_removes_its_tables_only(spark):
+    from tastemap.session import scratch_scope
+    from tastemap.sources.files import materialize
+    before = materialize(spark.range(5), "kept")
+    with scratch_scope(spark):
+        inside = materialize(spark.range(7), "gone")
+        assert inside.count() == 7
+        folder = inside.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+        while folder.startswith("//"):
+            folder = folder[1:]
+        assert os.path.isdir(folder)
+    assert before.count() == 5 and not os.path.exists(folder)

@@ -4,6 +4,7 @@ from tastemap.operators.popularity import popularity_scores
 from tastemap.session import scratch_path
 from tastemap.sources.interactions import interactions
 from tastemap.streaming import popularity_stream
+from tastemap.streaming.popularity import latest_snapshot
 
 
 def test_stream_equals_batch(spark):
@@ -31,6 +32,6 @@ def test_stream_snapshot_sink(spark):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = spark.read.parquet(out)
+    got = latest_snapshot(spark, out)
     want = popularity_scores(rows)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
