@@ -1,13 +1,21 @@
 """Licence scan by sentences and ordered rules.
 
-A text is cut into sentences, each is normalised (lower case, anything but
-letters and digits as one space), and known licence sentences become
-identifiers.  A document's sequence of identifiers is then matched against the
-rules in their order; what a rule has matched is consumed, so a sentence that
-belongs to a whole notice isn't reported again as a mere reference.
+A text is normalised (lower case, anything but letters and digits as one
+space, so comment signs go too; sentence ends, empty lines and line breaks
+stay as marks) and its known licence sentences become identifiers, in order.
+Canonical sentences and references (``PHRASES``) count wherever they stand
+within a sentence, also wrapped over lines; the shortened ``SENTENCES`` only
+as a whole sentence or line, since other licences begin alike.  Of phrases
+that begin at one word the longest counts.  The sequence of identifiers is
+then matched against the rules in their order; what a rule has matched is
+consumed, so a sentence that belongs to a whole notice isn't reported again
+as a mere reference.
 
-Every known sentence holds one of ``CUES``, so texts without any need no
-splitting; that changes no result.  The scan is one projection: no exchange.
+Every known sentence holds one of ``CUES`` or ``CC_BY``, so texts without any need no
+normal form; that changes no result.  The scan is one projection: no exchange.
+
+The SQL twin knows whole sentences on lines of their own alone (``SENTENCES``,
+``RULES``), as the given tables hold them; it is no measure for full notices.
 
 Edge cases: null and empty texts have no sentences and no licences; repeated
 rows get equal results; a sentence may stand any number of times.
@@ -49,21 +57,131 @@ RULES = (
     ("CC-BY-4.0", ("CCBY4.REF",)),
     ("proprietary", ("RESERVED",)),
 )
-CUES = ("licen", "permission", "copyright", "warranty", "gnu", "redistribut", "cc by")
+CUES = ("licen", "permission", "copyright", "warranty", "gnu", "redistribut", "software", "creative")
+CC_BY = r"cc[^a-z0-9]+by"           # a cue as well, whatever stands between the words
 SPLIT = r"[.!?]+[\x20\x09-\x0D]+|[\x0A\x0D]+"
 OTHER = r"[^a-z0-9]+"
 
+_GRANT = ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+          "documentation files the software to deal in the software without restriction including without limitation "
+          "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+          "permit persons to whom the software is furnished to do so subject to the following conditions")
+_ASIS = ("the software is provided as is without warranty of any kind express or implied including but not limited to "
+         "the warranties of merchantability fitness for a particular purpose and ")
+_KEPT = "included in all copies or substantial portions of the software"
+_FREE = "is free software you can redistribute it and or modify it under the terms of "
+_BY = " as published by the free software foundation "
+_UNDER = [f"{verb} under {terms}" for verb in ("licensed", "released", "distributed", "available", "published", "provided")
+          for terms in ("", "the terms of ")]
+_LICENCE = ("license", "licence")
+
+
+def _gpl(n: int) -> list[str]:
+    """What the header of the GNU GPL of version ``n`` says of the terms."""
+    gnu = "the gnu general public license"
+    version = [f"version {n} of the license", f"version {n}"]
+    return ([f"{_FREE}{gnu}{_BY}{either}{v}" for either in ("", "either ") for v in version]
+            + [f"{_FREE}{gnu} version {n}{_BY}".rstrip(), f"{_FREE}version {n} of {gnu}{_BY}".rstrip()])
+
+
+def _gpl_references(n: int) -> list[str]:
+    versions = [f"{v}{n}{zero}" for v in ("version ", "v") for zero in ("", " 0")]
+    return [f"{u}{the}gnu general public {word} {v}" for u in _UNDER for the in ("", "the ") for word in _LICENCE for v in versions]
+
+
+# Canonical sentences and references, with variants, by identifier.
+PHRASES = {
+    "MIT.GRANT": [_GRANT, _GRANT.replace("documentation files the software", "documentation the software")],
+    "MIT.NOTICE": [f"the above copyright notice and this permission notice {next_one}shall be {_KEPT}"
+                   for next_one in ("", "including the next paragraph ")],
+    "MIT.ASIS": [_ASIS + word for word in ("noninfringement", "non infringement")],
+    "APACHE2.REF": [f"{u}{the}apache license {v}" for u in [*_UNDER, "licenses this file to you under "]
+                    for the in ("", "the ") for v in ("version 2 0", "v2 0", "2 0")] + ["apache license version 2 0 january 2004"],
+    "APACHE2.COMPLY": ["you may not use this file except in compliance with the license"],
+    "APACHE2.COPY": ["you may obtain a copy of the license at"],
+    "MIT.REF": [f"{u}{the}mit {word}" for u in _UNDER for the in ("", "the ") for word in _LICENCE],
+    "GPL3.FREE": _gpl(3),
+    "GPL2.FREE": _gpl(2),
+    "GPL.NOWARRANTY": ["is distributed in the hope that it will be useful but without any warranty without even the implied "
+                       f"warranty of merchantability {j} fitness for a particular purpose" for j in ("or", "and")],
+    "GPL3.REF": ["this work is licensed under the gnu general public license version 3",
+                 "gnu general public license version 3 29 june 2007", *_gpl_references(3)],
+    "GPL2.REF": ["gnu general public license version 2 june 1991", *_gpl_references(2)],
+    "BSD.SOURCE": [f"redistributions of source code must retain the {above}copyright notice this list of conditions and the "
+                   "following disclaimer" for above in ("", "above ")],
+    "BSD.BINARY": [f"redistributions in binary form must reproduce the {above}copyright notice this list of conditions and the "
+                   "following disclaimer in the documentation and or other materials provided with the distribution"
+                   for above in ("", "above ")],
+    "BSD.ADVERT": ["all advertising materials mentioning features or use of this software must display the following "
+                   f"acknowledg{e}ment" for e in ("", "e")],
+    "BSD.NAME": [f"{names} may be used to endorse or promote products derived from this software without specific prior "
+                 "written permission" for names in ("nor the names of its contributors", "nor the names of any contributors",
+                                                    "nor the names of other contributors", "nor the names of the contributors")],
+    "CCBYNC4.REF": [f"{u}{c}" for u in _UNDER for c in (
+        "cc by nc 4 0", "the cc by nc 4 0", "a creative commons attribution noncommercial 4 0",
+        "the creative commons attribution noncommercial 4 0", "a creative commons attribution non commercial 4 0",
+        "the creative commons attribution non commercial 4 0")],
+    "CCBY4.REF": [f"{u}{c}" for u in _UNDER for c in (
+        "cc by 4 0", "the cc by 4 0", "a creative commons attribution 4 0", "the creative commons attribution 4 0")],
+    "RESERVED": ["all rights reserved under copyright"],
+}
+# Rules of canonical sentences, before those of ``RULES``.
+NOTICES = (
+    ("GPL-3.0", ("GPL3.FREE", "GPL.NOWARRANTY")),
+    ("GPL-2.0", ("GPL2.FREE", "GPL.NOWARRANTY")),
+    ("BSD-4-Clause", ("BSD.SOURCE", "BSD.BINARY", "BSD.ADVERT", "BSD.NAME")),
+    ("BSD-3-Clause", ("BSD.SOURCE", "BSD.BINARY", "BSD.NAME")),
+)
+MORE = (
+    ("GPL-3.0", ("GPL3.FREE",)),
+    ("GPL-2.0", ("GPL2.FREE",)),
+    ("GPL-2.0", ("GPL2.REF",)),
+)
+KNOWN = {**SENTENCES, **{phrase: i for i, phrases in PHRASES.items() for phrase in phrases}}
+
+
+def _pattern() -> str:
+    """A known sentence in the normal form: words parted by a space or a line
+    break, whole words, the longest of those that begin alike."""
+    tree: dict = {}
+    inside = {phrase for phrases in PHRASES.values() for phrase in phrases}
+    for phrase in KNOWN:
+        at = tree
+        for word in phrase.split():
+            at = at.setdefault(word, {})
+        at[""] = r"(?=[ \n|])" if phrase in inside else r"(?<=[\n|]" + phrase.replace(" ", r"[ \n]") + r")(?=[\n|])"
+
+    def told(at: dict) -> str:
+        more = [word + told(rest) for word, rest in at.items() if word]
+        ways = [r"[ \n](?:" + "|".join(more) + ")"] if more else []
+        ways += [at[""]] if "" in at else []
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+    return r"(?<=[ \n|])(?:" + "|".join(word + told(rest) for word, rest in tree.items()) + ")"
+
+
+def normal(text: Column) -> Column:
+    """Words parted by a space, by a line break within a sentence, or by ``|``
+    where a sentence or a paragraph ends."""
+    low = F.translate(F.replace(F.lower(text), F.lit("\r\n"), F.lit("\n")), "\r|", "\n ")
+    low = F.regexp_replace(low, r"\n[ \t]*(?:rem|dnl)(?=[ \t\n])", "\n")         # comment signs of letters
+    ends = F.regexp_replace(low, r"[.!?]++(?=[\x20\x09-\x0D]|\z)|\n[^a-z0-9\n]*+(?=\n)", "|")
+    words = F.regexp_replace(ends, r"[^a-z0-9|\n]++", " ")
+    words = F.regexp_replace(F.concat(F.lit("|"), words, F.lit("|")), r"[ \n]*\|[ \n|]*+", "|")
+    return F.regexp_replace(words, r" ?\n ?", "\n")
+
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of a text's known sentences, in order."""
-    known = F.create_map(*[F.lit(v) for pair in SENTENCES.items() for v in pair])
-    ids = F.transform(F.split(text, SPLIT), lambda s: F.try_element_at(known, F.trim(F.regexp_replace(F.lower(s), OTHER, " "))))
+    known = F.create_map(*[F.lit(v) for pair in KNOWN.items() for v in pair])
+    found = F.regexp_extract_all(normal(text), F.lit(_pattern()), F.lit(0))
+    ids = F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
     low = F.lower(text)
-    cue = F.lit(False)
+    cue = low.rlike(CC_BY)
     for c in CUES:
         cue = cue | low.contains(c)
     none = F.array().cast("array<string>")
-    return F.when(cue, F.filter(ids, lambda i: i.isNotNull())).otherwise(none)
+    return F.when(cue, ids).otherwise(none)
 
 
 def marked(ids) -> str:
@@ -76,7 +194,7 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(sentence_ids(F.col("text")), F.array().cast("array<string>")).alias("ids"))
     left = F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
     rows = rows.withColumn("left", left).withColumn("found", F.array().cast("array<string>"))
-    for name, sequence in RULES:
+    for name, sequence in (*NOTICES, *RULES, *MORE):
         here = F.col("left").contains(marked(sequence))
         rows = rows.select("doc_id", "ids", F.replace("left", F.lit(marked(sequence)), F.lit("<>")).alias("left"),
                            F.when(here, F.array_append("found", F.lit(name))).otherwise(F.col("found")).alias("found"))

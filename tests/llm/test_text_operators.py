@@ -285,6 +285,103 @@ def test_licence_rules(documents):
     assert licenses.scan(documents([])).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2021 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+APACHE = """Copyright 2020 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+BSD2 = """Copyright (c) 2020, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED."""
+GPL = """This file is part of Foo.
+
+Foo is free software: you can redistribute it and/or modify it under the
+terms of the GNU General Public License as published by the Free Software
+Foundation, either version 3 of the License, or (at your option) any later
+version.
+
+Foo is distributed in the hope that it will be useful, but WITHOUT ANY
+WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR
+A PARTICULAR PURPOSE.  See the GNU General Public License for more details."""
+NOTICES = ((MIT, 3, "MIT"), (APACHE, 3, "Apache-2.0"), (BSD2 + BSD_END, 2, "BSD-2-Clause"), (BSD3 + BSD_END, 3, "BSD-3-Clause"),
+           (GPL, 2, "GPL-3.0"), (GPL.replace("either version 3", "either version 2"), 2, "GPL-2.0"))
+
+
+@pytest.mark.parametrize("dress", [
+    lambda t: t, lambda t: " ".join(t.split()), lambda t: t.replace("\n", "\r\n"), lambda t: t.replace("\n", "\r"),
+    lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.split("\n")) + " */\nint x;", lambda t: "".join(f"# {x}\n" for x in t.split("\n")),
+    lambda t: "".join(f"// {x}\n" for x in t.split("\n")) + "x", lambda t: "REM " + t.replace("\n", "\nREM "),
+    lambda t: "".join(f"| {x} |\n" for x in t.split("\n"))])
+def test_unabridged_licence_notices(documents, dress):
+    rows = [(i, dress(text)) for i, (text, _, _) in enumerate(NOTICES)]
+    got = {r["doc_id"]: (r["n_sentences"], r["licenses"]) for r in licenses.scan(documents(rows)).collect()}
+    assert got == {i: (n, name) for i, (_, n, name) in enumerate(NOTICES)}
+
+
+def test_licence_references_within_sentences(documents):
+    told = {"This tool, like its docs, is released under the MIT license, see LICENSE.": "MIT",
+            "The code is licensed under the\nApache License, Version 2.0 by its authors.": "Apache-2.0",
+            "It is distributed under the terms of the GNU General Public License v3.0 or later.": "GPL-3.0",
+            "Text released under CC-BY\n4.0, pictures not.": "CC-BY-4.0", "Released under CC BY-NC 4.0 only.": "CC-BY-NC-4.0",
+            "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "CC-BY-NC-4.0",
+            "It is licensed under CC BY-NC-SA 4.0.": "", "Prereleased under the MIT licenses of old.": "",
+            "Licensed under CC.\nBy 4.0 o'clock.": "", "Licensed under the GNU Lesser General Public License, version 3.": "",
+            # Begins like the MIT notice, but is another one.
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and its data, to look at it.": ""}
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(documents(list(enumerate(told)))).collect()}
+    assert got == dict(enumerate(told.values()))
+    assert all(any(c in s for c in licenses.CUES) or re.search(licenses.CC_BY, s) for s in licenses.KNOWN)
+
+
 def test_url_lists(frame):
     d = dt.date
     entries = frame(key=(pa.string(), ["Bad.example", "bad.example", "bad.example", "a.bad.example", None, "late.example", "twice.example", "twice.example"]),
