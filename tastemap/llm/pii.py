@@ -3,19 +3,24 @@
 Base spans are exact: emails, IPv4 addresses, card numbers and phone numbers by
 the rules below, each found in time linear in the text.  They stay as they are.
 
-The field labels the tokens (runs without white space) that hold a digit or an
-``@`` with one of ``KINDS`` or none.  Unary potentials come from a token's
-shape, neighbours in the text are joined by chain potentials, and skip edges
-join each token to the next one with the same content (the same digits, or the
-same address up to its domain's first label), however far apart; a token inside
-a base span is held to its kind.  Loopy sum-product message passing then lets
-distant mentions agree, and a token outside the base spans becomes a span when
-the marginal of a kind reaches ``SURE`` and its content also stands in a base
-span of the text (equal doubtful tokens alone don't make each other sure).
+The field's nodes are the base spans, each one node that is held to its kind,
+and the other tokens (runs without white space) that hold a digit or an ``@``,
+which it labels with one of ``KINDS`` or none.  Unary potentials come from a
+token's shape, neighbours in the text are joined by chain potentials, and skip
+edges join mentions of one content, however far apart: the digits of a whole
+span or token, or an address up to its domain's first label.  Contents agree
+when they are equal, or when the digits of one end in those of the other (a
+number without its country or area code; not for IP addresses, which have no
+such short form).  Each node is joined to the last one of equal digits, of the
+next shorter and of any next longer ones.  Loopy sum-product message passing
+then lets distant mentions agree, and a token becomes a span when the marginal
+of a kind reaches ``SURE`` and its content agrees with that of a base span of
+the text (agreeing doubtful tokens alone don't make each other sure).
 
 Potentials are fitted piecewise on a sample of at most about ``SAMPLE_DOCS``
-texts that the base rules label: a softmax regression for the shapes, and
-smoothed label-pair ratios for the chain and skip edges.
+texts that the base rules label (but for tokens that agree with a base span,
+which are left open): a softmax regression for the shapes, and smoothed
+label-pair ratios for the chain and skip edges.
 
 Edge cases: null and empty texts hold nothing; the same token repeated any
 number of times costs one edge a repetition; repeated rows get equal results;
@@ -25,6 +30,7 @@ with no base span in the sample nothing is added.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from typing import NamedTuple
 
 import numpy as np
@@ -109,16 +115,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class Tokens(NamedTuple):
-    """Tokens of some texts that hold a digit or an @."""
-
-    doc: np.ndarray
-    number: np.ndarray      # among all tokens of the text
+    """Tokens of some texts that hold a digit or an @, and the field's nodes:
+    base spans, and tokens that meet none."""
+
+    shape: np.ndarray       # a token's features
+    label: np.ndarray       # kind of the base span a token meets, from 1; 0 for none
+    doc: np.ndarray         # of a node, as all that follow
+    first: np.ndarray       # number of its first token among all tokens of the text
+    last: np.ndarray
     start: np.ndarray
     end: np.ndarray
-    shape: np.ndarray       # features
-    held: np.ndarray        # kind of the base span it meets, from 1; 0 for none
-    skip: np.ndarray        # pairs of tokens joined by a skip edge
-    group: np.ndarray       # tokens of one text and content share a number; -1: no content
+    row: np.ndarray         # its token's row in shape; -1 for a base span
+    held: np.ndarray        # kind of the base span it is, from 1; 0 for none
+    agrees: np.ndarray      # whether its content agrees with that of a base span
+    skip: np.ndarray        # pairs of nodes joined by a skip edge
 
 
 def _shape(token: str) -> list[float]:
@@ -131,53 +141,99 @@ def _shape(token: str) -> list[float]:
 SHAPE_WIDTH = len(_shape("0"))
 
 
-def _content(token: str) -> str:
-    """What equal or similar mentions share; '' for tokens too slight to tell."""
-    if "@" in token:
-        local, _, domain = token.lower().partition("@")
+def _bare(text: str, a: int, b: int) -> tuple[int, int]:
+    """The stretch without what is neither letter nor digit at its ends."""
+    while a < b and not text[a].isalnum():
+        a += 1
+    while a < b and not text[b - 1].isalnum():
+        b -= 1
+    return a, b
+
+
+def _content(mention: str) -> str:
+    """What equal or similar mentions share; '' for those too slight to tell."""
+    if "@" in mention:
+        a, b = _bare(mention, 0, len(mention))
+        local, _, domain = mention[a:b].lower().partition("@")
         return f"{local}@{domain.split('.')[0]}" if local and domain else ""
-    digits = _NOT_DIGIT.sub("", token)
+    digits = _NOT_DIGIT.sub("", mention)
     return digits if len(digits) >= 5 else ""
 
 
+def _endings(numbers: set[str]) -> dict[str, str]:
+    """number -> the longest other one that it ends in, shorter ones first."""
+    out, open_ones = {}, []
+    for n in sorted(x[::-1] for x in numbers):
+        while open_ones and not n.startswith(open_ones[-1]):
+            open_ones.pop()
+        out[n[::-1]] = open_ones[-1][::-1] if open_ones else ""
+        open_ones.append(n)
+    return out
+
+
+def _mentions(contents: list[str], held: list[int]) -> tuple[list[tuple[int, int]], list[bool]]:
+    """Skip edges of a text's nodes, and which agree with a base span."""
+    ip = 1 + KINDS.index("ip")
+    number = [c != "" and "@" not in c and h != ip for c, h in zip(contents, held)]
+    shorter = _endings({c for c, n in zip(contents, number) if n})
+    edges, equal, numbers, longer = [], {}, {}, {}       # content -> the last node of it, or of one that ends in it
+    for i, (c, n) in enumerate(zip(contents, number)):
+        if not c:
+            continue
+        if c in equal:
+            edges.append((equal[c], i))
+        equal[c] = i
+        if n:
+            edges += [(x[k], i) for x, k in ((numbers, shorter[c]), (longer, c)) if k in x]
+            numbers[c] = i
+            if shorter[c]:
+                longer[shorter[c]] = i
+    base = {c for c, h in zip(contents, held) if h and c}
+    below = {c for c, h, n in zip(contents, held, number) if h and n}       # a base span's, or ends in one
+    above = set(below)                                                      # a base span's, or one ends in it
+    for c, short in shorter.items():
+        if short in below:
+            below.add(c)
+    for c, short in reversed(shorter.items()):
+        if c in above and short:
+            above.add(short)
+    return edges, [c in base or n and (c in below or c in above) for c, n in zip(contents, number)]
+
+
 def find_tokens(texts: list[str], base: list[list]) -> Tokens:
-    doc, number, start, end, shape, held, skip, group = [], [], [], [], [], [], [], []
+    shape, label, nodes, agrees, skip = [], [], [], [], []
     for d, text in enumerate(texts):
         if not _HINT(text):
             continue
-        last: dict[str, int] = {}
-        spans, s = base[d], 0
-        for k, m in enumerate(_TOKEN.finditer(text)):
-            token = m.group()
+        found = [m.span() for m in _TOKEN.finditer(text)]
+        starts, ends = [a for a, _ in found], [b for _, b in found]
+        own, met = [], {}                       # token's number -> kind of the first base span it meets
+        for a, kind, b in base[d]:
+            first, last = bisect_right(ends, a), bisect_left(starts, b) - 1
+            own.append((a, b, first, last, -1, 1 + kind))
+            for k in range(first, last + 1):
+                met.setdefault(k, 1 + kind)
+        for k, (a, b) in enumerate(found):
+            token = text[a:b]
             if not _HINT(token):
                 continue
-            a, b = m.span()
-            while s < len(spans) and spans[s][2] <= a:
-                s += 1
-            over = next((x for x in spans[s:s + 4] if x[0] < b and x[2] > a), None)
-            key, i = _content(token), len(doc)
-            if key:
-                if key in last:
-                    skip.append((last[key], i))
-                last[key] = i
-                group.append(group[skip[-1][0]] if skip and skip[-1][1] == i else i)
-            else:
-                group.append(-1)
-            doc.append(d)
-            number.append(k)
-            start.append(a)
-            end.append(b)
+            if k not in met:
+                own.append((a, b, k, k, len(shape), 0))
             shape.append(_shape(token))
-            held.append(1 + over[1] if over else 0)
-    return Tokens(*(np.array(c, np.int64) for c in (doc, number, start, end)),
-                  np.array(shape, float).reshape(len(doc), SHAPE_WIDTH),
-                  np.array(held, np.int64), np.array(skip, np.int64).reshape(-1, 2),
-                  np.array(group, np.int64))
+            label.append(met.get(k, 0))
+        own.sort()
+        edges, agree = _mentions([_content(text[n[0]:n[1]]) for n in own], [n[5] for n in own])
+        skip += [(len(nodes) + i, len(nodes) + j) for i, j in edges]
+        agrees += agree
+        nodes += [(d, first, last, a, b, row, kind) for a, b, first, last, row, kind in own]
+    return Tokens(np.array(shape, float).reshape(len(shape), SHAPE_WIDTH), np.array(label, np.int64),
+                  *np.array(nodes, np.int64).reshape(-1, 7).T, np.array(agrees, bool),
+                  np.array(skip, np.int64).reshape(-1, 2))
 
 
 def chain_edges(t: Tokens) -> np.ndarray:
-    """Pairs of tokens that follow each other in a text."""
-    i = np.flatnonzero((t.doc[1:] == t.doc[:-1]) & (t.number[1:] == t.number[:-1] + 1))
+    """Pairs of nodes that follow each other in a text."""
+    i = np.flatnonzero((t.doc[1:] == t.doc[:-1]) & (t.first[1:] == t.last[:-1] + 1))
     return np.stack([i, i + 1], axis=1)
 
 
@@ -187,8 +243,9 @@ class Model(NamedTuple):
     skip: np.ndarray        # log potentials along skip edges
 
 
-def fit_potentials(x: np.ndarray, y: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> Model:
-    """Piecewise: ``chain`` and ``skip`` are label pairs seen on such edges."""
+def fit_potentials(x: np.ndarray, y: np.ndarray, nodes: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> Model:
+    """Piecewise: shapes and labels of tokens, how many nodes have each label,
+    and ``chain`` and ``skip``, label pairs of nodes seen on such edges."""
     n = len(KINDS) + 1
     w, target = np.zeros((x.shape[1], n)), np.eye(n)[y]
     for _ in range(300):
@@ -196,7 +253,7 @@ def fit_potentials(x: np.ndarray, y: np.ndarray, chain: np.ndarray, skip: np.nda
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         w += 1.0 * (x.T @ (target - p) / len(x) - 1e-4 * w)
-    share = (np.bincount(y, minlength=n) + 1) / (len(y) + n)
+    share = (nodes + 1) / (nodes.sum() + n)
 
     def ratio(pairs, prior):
         seen = np.zeros((n, n))
@@ -234,23 +291,18 @@ def added_spans(texts: list[str], base: list[list], model: Model) -> list[list[t
     t = find_tokens(texts, base)
     if not len(t.skip):
         return out
-    unary = t.shape @ model.weights
     known = t.held > 0
-    unary[known] = -50.0
+    unary = np.full((len(t.doc), model.weights.shape[1]), -50.0)
+    unary[~known] = t.shape[t.row[~known]] @ model.weights
     unary[known, t.held[known]] = 0.0
     chain = chain_edges(t)
     edges = np.concatenate([chain, t.skip])
     potential = np.concatenate([np.broadcast_to(model.chain, (len(chain), *model.chain.shape)),
                                 np.broadcast_to(model.skip, (len(t.skip), *model.skip.shape))])
     p = _messages(unary, edges, potential, ROUNDS)
-    joined = (t.group >= 0) & np.isin(t.group, t.group[known])
     label = p.argmax(axis=1)
-    for i in np.flatnonzero(joined & ~known & (label > 0) & (p.max(axis=1) >= SURE)).tolist():
-        text, a, b = texts[t.doc[i]], int(t.start[i]), int(t.end[i])
-        while a < b and not text[a].isalnum():
-            a += 1
-        while a < b and not text[b - 1].isalnum():
-            b -= 1
+    for i in np.flatnonzero(t.agrees & ~known & (label > 0) & (p.max(axis=1) >= SURE)).tolist():
+        a, b = _bare(texts[t.doc[i]], int(t.start[i]), int(t.end[i]))
         if a < b:
             out[t.doc[i]].append((a, int(label[i]) - 1, b))
     return out
@@ -271,12 +323,18 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
                 if not len(t.doc):
                     continue
                 # Equal (shape, label) pairs and label pairs are summed here, so little is sent.
-                seen, times = np.unique(np.column_stack([t.shape, t.held]), axis=0, return_counts=True)
+                # A token that agrees with a base span has no label yet: the field is to give it one.
+                open_ones = t.agrees & (t.held == 0)
+                told = np.ones(len(t.label), bool)
+                told[t.row[open_ones]] = False
+                chain, skip = (e[~open_ones[e].any(axis=1)] for e in (chain_edges(t), t.skip))
+                seen, times = np.unique(np.column_stack([t.shape, t.label])[told], axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v.tobytes()], pa.binary()) for v in
-                     (np.column_stack([seen, times]), t.held[chain_edges(t)], t.held[t.skip])], ["shapes", "chain", "skip"])
+                     (np.column_stack([seen, times]), np.bincount(t.held[~open_ones], minlength=len(KINDS) + 1),
+                                                             t.held[chain], t.held[skip])], ["shapes", "nodes", "chain", "skip"])
 
-    rows = map_arrow(sample, run, "shapes binary, chain binary, skip binary").toArrow()
+    rows = map_arrow(sample, run, "shapes binary, nodes binary, chain binary, skip binary").toArrow()
     if not rows.num_rows:
         return None
     width = SHAPE_WIDTH + 2
@@ -288,7 +346,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
         return None
     chain, skip = (np.concatenate([np.frombuffer(v, np.int64).reshape(-1, 2) for v in rows[c].to_pylist()])
                    for c in ("chain", "skip"))
-    return fit_potentials(x[:, :-2], y, chain, skip)
+    nodes = sum(np.frombuffer(v, np.int64) for v in rows["nodes"].to_pylist())
+    return fit_potentials(x[:, :-2], y, nodes, chain, skip)
 
 
 def find(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:

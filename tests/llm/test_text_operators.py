@@ -154,6 +154,27 @@ def test_pii_report(documents, spark):
     assert pii.report(documents([])).count() == 0
 
 
+def test_pii_spellings_of_a_spaced_number(documents, spark):
+    known = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{MID}/documents.parquet").collect()]
+    told = ["call +1 (407) 555-7710 or, again, 407-555-7710 today", "call 407-555-7710 or, again, +1 (407) 555-7710 today",
+            "call +1 407 555 7710 or (555-7710), again 407-555-7710 today", "call +1 (407) 555-7710 not 407-555-7711 today"]
+    want = ["phone:5:22,phone:34:46", "phone:5:17,phone:29:46", "phone:5:20,phone:25:33,phone:42:54", "phone:5:22"]
+    rows = known + [(10**6 + i, t) for i, t in enumerate(told)]
+    got = {r["doc_id"]: ",".join(sorted(r["spans"].split(","), key=lambda x: int(x.split(":")[1])))
+           for r in pii.report(documents(rows)).filter(F.col("doc_id") >= 10**6).collect()}
+    assert [got[10**6 + i] for i in range(len(told))] == want
+
+
+def test_mentions_that_agree():
+    edges, agrees = pii._mentions(["14075557710", "4075557710", "a@b", "5557710", "", "9995557710", "a@b", "1000123", "00123", "1000123"],
+                                  [4, 0, 1, 0, 0, 0, 0, 2, 0, 0])
+    # 9995557710 ends in a mention of the base span's, not in the span's own digits; an IP address has no short form.
+    assert agrees == [True, True, True, True, False, False, True, True, False, True]
+    assert sorted(edges) == [(0, 1), (1, 3), (2, 6), (3, 5), (7, 9), (8, 9)]
+    assert pii._endings({"12345", "912345", "8912345", "712345", "54321"}) == {
+        "12345": "", "912345": "12345", "8912345": "912345", "712345": "12345", "54321": ""}
+
+
 def test_pii_of_a_slice_without_tokens(documents, spark):
     # More texts in a row without a digit or an @ than a task handles at once, beside some with spans.
     rows = [(i, f"write to a{i}@b.org or 10.0.0.{i % 200}, a{i}@b.com") for i in range(40)]
