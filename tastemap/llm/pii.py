@@ -243,16 +243,18 @@ class Model(NamedTuple):
     skip: np.ndarray        # log potentials along skip edges
 
 
-def fit_potentials(x: np.ndarray, y: np.ndarray, nodes: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> Model:
-    """Piecewise: shapes and labels of tokens, how many nodes have each label,
-    and ``chain`` and ``skip``, label pairs of nodes seen on such edges."""
+def fit_potentials(x: np.ndarray, y: np.ndarray, times: np.ndarray, nodes: np.ndarray, chain: np.ndarray,
+                   skip: np.ndarray) -> Model:
+    """Piecewise: shapes and labels of tokens, how often each pair occurs, how
+    many nodes have each label, and ``chain`` and ``skip``, label pairs of nodes seen on such edges."""
     n = len(KINDS) + 1
     w, target = np.zeros((x.shape[1], n)), np.eye(n)[y]
+    weighted = (x * (times / times.sum())[:, None]).T
     for _ in range(300):
         z = x @ w
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        w += 1.0 * (x.T @ (target - p) / len(x) - 1e-4 * w)
+        w += 1.0 * (weighted @ (target - p) - 1e-4 * w)
     share = (nodes + 1) / (nodes.sum() + n)
 
     def ratio(pairs, prior):
@@ -339,15 +341,16 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
         return None
     width = SHAPE_WIDTH + 2
     x = np.concatenate([np.frombuffer(v, float).reshape(-1, width) for v in rows["shapes"].to_pylist()])
-    times = np.minimum(x[:, -1].astype(int), 50)
-    x = np.repeat(x, times, axis=0)
-    y = x[:, -2].astype(int)
+    # Summed over the whole sample, in an order of their own: no matter how its rows are dealt out.
+    pairs, which = np.unique(x[:, :-1], axis=0, return_inverse=True)
+    times = np.bincount(which.ravel(), weights=x[:, -1])
+    x, y = pairs[:, :-1], pairs[:, -1].astype(int)
     if not y.any():
         return None
     chain, skip = (np.concatenate([np.frombuffer(v, np.int64).reshape(-1, 2) for v in rows[c].to_pylist()])
                    for c in ("chain", "skip"))
     nodes = sum(np.frombuffer(v, np.int64) for v in rows["nodes"].to_pylist())
-    return fit_potentials(x[:, :-2], y, nodes, chain, skip)
+    return fit_potentials(x, y, times, nodes, chain, skip)
 
 
 def find(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:

@@ -175,6 +175,21 @@ def test_mentions_that_agree():
         "12345": "", "912345": "12345", "8912345": "912345", "712345": "12345", "54321": ""}
 
 
+def test_pii_fit_counts_every_token_however_rows_are_dealt_out(documents):
+    # 1,200 plain numbers and 60 short phones that no base span holds, beside 60 addresses.
+    rows = [(i, "about 12 of 34 and 56 or 78 " * 5 + f"call 555-77{i:02} or a{i}@b.org") for i in range(60)]
+    one, many = (pii.fit(documents(rows).repartition(n, "doc_id")) for n in (1, 8))
+    assert all(np.array_equal(a, b) for a, b in zip(one, many))
+    x = np.array([pii._shape(t) for t in ("12", "555-7710", "a1@b.org")], float)
+    y, times = np.array([0, 0, 1]), np.array([1200, 60, 60])
+    repeated = np.repeat(np.arange(3), times)
+    none = np.zeros((0, 2), np.int64)
+    nodes = np.array([1260, 60, 0, 0, 0])
+    whole = pii.fit_potentials(x[repeated], y[repeated], np.ones(len(repeated)), nodes, none, none)
+    assert np.allclose(pii.fit_potentials(x, y, times, nodes, none, none).weights, whole.weights)
+    assert np.allclose(one.weights, whole.weights)
+
+
 def test_pii_of_a_slice_without_tokens(documents, spark):
     # More texts in a row without a digit or an @ than a task handles at once, beside some with spans.
     rows = [(i, f"write to a{i}@b.org or 10.0.0.{i % 200}, a{i}@b.com") for i in range(40)]
