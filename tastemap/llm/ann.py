@@ -3,7 +3,9 @@
 Index: unit vectors are turned by a random rotation, so that every leading
 block of dimensions is a random sample of the distance, and dealt into lists
 by their nearest centroid (spherical k-means fitted on a bounded sample;
-every vector is indexed).  A list larger than ``block_rows`` is dealt into
+every vector is indexed).  Vectors of each length have lists of their own; the
+sample is one share of all rows, and a length without a sampled row has its
+least vector as its centroid.  A list larger than ``block_rows`` is dealt into
 several tiles by a hash of the id, so no hot list is one task.
 
 Search: a query probes its ``probe`` share of nearest lists.  Within a tile
@@ -18,19 +20,21 @@ The probe share is high since isotropic random vectors, which have no
 clusters, are the hardest case; recall is measured in the tests.
 
 Edge cases: vectors null, empty, zero, or holding null or non-finite
-components take no part; vectors of a length other than the most common one
-take no part; exact repeats of a row count once; rows with the query's id are
+components take no part; vectors of different lengths never meet; exact repeats of a row count once; rows with the query's id are
 no candidates; ties go to the smaller id; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastemap.llm.vectors import KEY_LIMIT, best, distinct_rows, matrix, query_rows, usable_rows
+from tastemap.llm.vectors import KEY_LIMIT, best, distinct_rows, matrix, usable_rows
 from tastemap.sources.files import materialize
 
 SAMPLE_ROWS = 20_000    # rows that the centroids are fitted on, about
@@ -62,6 +66,7 @@ def fit_lists(sample: np.ndarray, lists: int, seed: int = 7) -> np.ndarray:
     return cent
 
 
+@lru_cache(maxsize=4)
 def rotation(dim: int, seed: int = 11) -> np.ndarray:
     return np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))[0]
 
@@ -73,6 +78,22 @@ def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
 
 
+class Lists(NamedTuple):
+    """The lists of the vectors of one length."""
+
+    cent: np.ndarray
+    begin: int              # number of the first list
+    probes: int             # lists that a query probes
+
+
+def by_length(vectors: pd.Series, lists: dict):
+    """(positions, unit vectors, lists) of the vectors of each length."""
+    lengths = vectors.map(len).to_numpy()
+    for dim in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == dim)
+        yield at, unit(matrix(vectors.iloc[at])), lists[dim]
+
+
 class Tile:
     """Rotated unit vectors of one tile in column blocks."""
 
@@ -112,43 +133,49 @@ def nearest(df: DataFrame, k: int = 5, every: int = 50, probe: float = PROBE, sa
     """query_id, rank, vec_id, score (cosine) over vec_id, embedding."""
     out_type = "query_id long, rank int, vec_id long, score double"
     rows = usable_rows(df).filter(F.exists("embedding", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").head(1)
+    sizes = {r["dim"]: r for r in rows.groupBy(F.size("embedding").alias("dim")).agg(
+        F.count("*").alias("n"), F.min("embedding").alias("least")).orderBy("dim").collect()}     # a row per length
     if not sizes:
         return df.sparkSession.createDataFrame([], out_type)
-    dim, n = sizes[0]["dim"], sizes[0]["count"]
-    rows = rows.filter(F.size("embedding") == dim)
-    share = min(KEY_LIMIT, -(-KEY_LIMIT * sample_rows // n))
+    share = min(KEY_LIMIT, -(-KEY_LIMIT * sample_rows // sum(r["n"] for r in sizes.values())))
     sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(KEY_LIMIT)) < share)
-    fitted = matrix(sample.select("embedding").toPandas()["embedding"])
-    if not len(fitted):
-        fitted = matrix(rows.select("embedding").limit(1).toPandas()["embedding"])
-    cent = fit_lists(unit(fitted), max(1, min(max_lists, n // list_rows)))
-    probes = max(1, int(np.ceil(probe * len(cent))))
-    turn = rotation(dim)
+    sample = sample.select("embedding").toPandas()["embedding"]
+    lengths, lists, begin = sample.map(len).to_numpy(), {}, 0
+    for dim, r in sizes.items():
+        fitted = matrix(sample[lengths == dim])
+        if not len(fitted):
+            fitted = matrix(pd.Series([r["least"]]))
+        cent = fit_lists(unit(fitted), max(1, min(max_lists, r["n"] // list_rows)))
+        lists[dim] = Lists(cent, begin, max(1, int(np.ceil(probe * len(cent)))))
+        begin += len(cent)
 
     def assign(frames):
         for f in frames:
             if len(f):
-                f["list"] = (unit(matrix(f["embedding"])) @ cent.T).argmax(axis=1)
+                f["list"] = 0
+                for at, x, own in by_length(f["embedding"], lists):
+                    f.iloc[at, f.columns.get_loc("list")] = own.begin + (x @ own.cent.T).argmax(axis=1)
                 yield f
 
     indexed = materialize(rows.mapInPandas(assign, "vec_id long, embedding array<double>, list int"), "ann-lists")
-    tiles = np.ones(len(cent), np.int64)
-    for r in indexed.groupBy("list").count().collect():        # at most max_lists rows
+    tiles = np.ones(begin, np.int64)
+    for r in indexed.groupBy("list").count().collect():        # at most max_lists rows a length
         tiles[r["list"]] = -(-r["count"] // block_rows)
 
     def route(frames):
         for f in frames:
-            if len(f):
-                near = np.argsort(-(unit(matrix(f["embedding"])) @ cent.T), axis=1, kind="stable")[:, :probes]
-                spread = [[(li, t) for li in lists for t in range(tiles[li])] for lists in near.tolist()]
-                at = np.repeat(np.arange(len(f)), [len(s) for s in spread])
+            for at, x, own in by_length(f["embedding"], lists):
+                near = own.begin + np.argsort(-(x @ own.cent.T), axis=1, kind="stable")[:, :own.probes]
+                spread = [[(li, t) for li in some for t in range(tiles[li])] for some in near.tolist()]
+                at = np.repeat(at, [len(s) for s in spread])
                 pairs = np.array([p for s in spread for p in s])
                 yield pd.DataFrame({"vec_id": f["vec_id"].to_numpy()[at],
                                     "embedding": f["embedding"].to_numpy()[at],
                                     "list": pairs[:, 0], "tile": pairs[:, 1]})
 
-    wanted = query_rows(indexed.select("vec_id", "embedding"), every).mapInPandas(
+    queries = (indexed.filter(F.col("vec_id") % every == 0).groupBy("vec_id", F.size("embedding").alias("dim"))
+               .agg(F.min("embedding").alias("embedding")).select("vec_id", "embedding"))
+    wanted = queries.mapInPandas(
         route, "vec_id long, embedding array<double>, list int, tile int")
     per_list = F.element_at(F.lit(tiles.tolist()), F.col("list") + 1)
     dealt = indexed.withColumn("tile", F.pmod(F.xxhash64("vec_id"), per_list).cast("int"))
@@ -157,7 +184,7 @@ def nearest(df: DataFrame, k: int = 5, every: int = 50, probe: float = PROBE, sa
         out = []
         if len(vectors) and len(queries):
             x, ids = matrix(vectors["embedding"]), vectors["vec_id"].to_numpy()
-            keep = distinct_rows(ids, x)
+            keep, turn = distinct_rows(ids, x), rotation(x.shape[1])
             tile, q = Tile(x[keep], ids[keep], turn), matrix(queries["embedding"])
             for own, row, turned in zip(queries["vec_id"].to_numpy(), q, unit(q) @ turn):
                 at, score = tile.search(row, turned, own, k)

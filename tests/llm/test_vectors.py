@@ -130,6 +130,19 @@ def test_ann_odd_rows(vectors):
     assert ann.nearest(vectors([(0, [1.0, 1.0])])).count() == 0
 
 
+def test_ann_searches_each_length_on_its_own(vectors):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(4 if i % 3 else 7).astype(np.float32).tolist()) for i in range(600)] + [(1000, [2.0] * 9)]
+    width = {i: len(v) for i, v in rows}
+    want = {q: found for w in (4, 7) for q, found in brute_cosine([r for r in rows if width[r[0]] == w], 5, 50).items()}
+    for more in ({}, {"sample_rows": 5}):                     # few sampled rows: a length may have none
+        result = got(ann.nearest(vectors(rows), list_rows=40, block_rows=60, probe=1.0, **more))
+        assert {q: [i for i, _ in found] for q, found in result.items()} == {q: [i for i, _ in found] for q, found in want.items()}
+        assert {width[q] for q in result} == {4, 7}
+    both = [(0, [1.0, 0.0]), (0, [1.0]), (1, [2.0, 1.0]), (2, [3.0])]          # an id of two lengths asks in both
+    assert [i for i, _ in got(ann.nearest(vectors(both), probe=1.0))[0]] == [2, 1]
+
+
 def test_centroids_and_rotation():
     q = ann.rotation(8)
     assert np.allclose(q @ q.T, np.eye(8))
