@@ -12,7 +12,9 @@ State per task: the level array and the ids of the open windows.  Sequence ids
 carry the partition number in their upper bits, so no exchange is needed.
 
 Edge cases: null and empty texts are documents of the end id alone; repeated
-rows are packed once each; an empty table gives no rows.
+rows are packed once each; an empty table gives no rows.  A special
+token's marker within a text is text: it gets ordinary ids, unlike in a call of
+the library with its defaults, so no document can plant a control id.
 """
 
 from __future__ import annotations

@@ -89,6 +89,17 @@ def test_packing_odd_texts(documents):
     assert packing.pack_documents(documents([]), WORDS).count() == 0
 
 
+def test_ids_differ_from_an_untouched_tokenizer_on_markers_only():
+    plain, own = Tokenizer.from_file(WORDS), packing.WordTokenizer(WORDS)
+    texts = [t or "" for t in ODD] + ["first part<|endoftext|>second part", "first part second part", "< |endoftext| >"]
+    for text, ids in zip(texts, own.encode_texts(texts)):
+        got, want = np.frombuffer(ids, "<u4").tolist(), plain.encode(text, add_special_tokens=False).ids
+        if "<|endoftext|>" in text:
+            assert 49407 in want and 49407 not in got and len(got) > len(want)
+        else:
+            assert got == want
+
+
 def test_packing_null_id_and_repeats(documents):
     pieces = packing.pack_documents(documents([(None, "a b"), (7, "same"), (7, "same")]), WORDS).toArrow().to_pylist()
     assert sorted((p["doc_id"] is None, p["doc_tokens"]) for p in pieces if p["start"] == 0) == [(False, 2), (False, 2), (True, 3)]
