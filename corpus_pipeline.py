@@ -43,13 +43,16 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of every group the document of the least id; documents without
-    words have no group and stay, as do those without an id."""
-    groups = jaccard_join.join_components(docs, NEAR).select(
-        F.col("doc_id").alias("_id"), F.col("component_id").alias("_keep"))
-    gone = groups.filter("_id <> _keep").select("_id").distinct()
-    first = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
-    # Exact repeats of a row share its id, so the group's id alone can't part them.
+    """Keeps of every group one row: that of the least id, rows without an id
+    last, then the least hash of its text; rows without words have no group and
+    stay, but for exact repeats."""
+    # An id may stand for several texts, so groups are told by id and text.
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    groups = jaccard_join.join_components(docs.select(key.alias("doc_id"), "text"), NEAR).select(
+        F.col("doc_id").alias("_key"), F.col("component_id").alias("_keep"))
+    gone = groups.filter("_key <> _keep").select("_key").distinct()
+    first = docs.join(gone, key == gone["_key"], "left_anti")
+    # Exact repeats of a row share its key, so the groups can't part them.
     return first.dropDuplicates(["doc_id", "text"])
 
 

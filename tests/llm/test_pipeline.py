@@ -55,6 +55,19 @@ def test_near_duplicate_stage_keeps_one_of_each_group(stages):
     assert set(after) == want and all(after[i] == before[i] for i in after)
 
 
+def test_near_duplicate_stage_tells_rows_not_ids(spark, documents):
+    def words(stem, n=60):
+        return " ".join(f"{stem}{i}" for i in range(n))
+
+    rows = [(1, words("a")), (2, words("a")), (2, words("b")),                  # only one text of id 2 is a copy
+            (3, words("c")), (3, words("c") + " tail"),                         # two near copies under one id
+            (None, words("d")), (None, words("d") + " tail"), (None, words("e")),
+            (None, words("b") + " more"), (9, words("f")), (9, words("f")), (7, ""), (7, None), (None, "")]
+    got = sorted(((r["doc_id"], (r["text"] or "").split(" ")[0]) for r in
+                  corpus_pipeline.near_duplicates(spark, documents(rows), MID).collect()), key=str)
+    assert got == sorted([(1, "a0"), (2, "b0"), (3, "c0"), (None, "d0"), (None, "e0"), (9, "f0"), (7, ""), (7, ""), (None, "")], key=str)
+
+
 def test_personal_data_stage(stages):
     before, after = map(texts, stages["personal_data"])
     assert before.keys() == after.keys()
