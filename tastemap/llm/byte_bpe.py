@@ -102,7 +102,7 @@ class ByteBpe:
         pairs = [(rank[t[:i]], rank[t[i:]], r) for t, r in rank.items() if len(t) > 1
                  for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank]
         self.pairs = PairTable(*(np.array(c, np.int32) for c in zip(*pairs)))
-        self.runs = Runs(CACHE_CHUNKS)                   # chunk (by hash) -> ids
+        self.runs = Runs(CACHE_CHUNKS)                   # chunk -> ids
         self.pieces = BoundedCache(CACHE_CHUNKS // 4)    # part of a chunk -> ids
 
     # --- merging ---------------------------------------------------------
@@ -227,7 +227,7 @@ class ByteBpe:
                       for s, e in zip(start[at].tolist(), end[at].tolist())]
             return self._encode_chunks(chunks)
 
-        ids, counts = self.runs.lookup(Ranges(joined).hashes(start, end), make)
+        ids, counts = self.runs.lookup(Ranges(joined), start, end, make)
         upto = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(start, doc_end)]
         cut, whole = np.concatenate([[0], upto * 4]).tolist(), ids.tobytes()
         return [whole[a:b] for a, b in zip(cut, cut[1:])]

@@ -145,39 +145,92 @@ class Growing:
         self.n += len(more)
 
 
+class _Generation:
+    """Byte strings by their hash, each with its run of integers."""
+
+    def __init__(self):
+        self.table = HashTable()
+        self.flat, self.at, self.size = Growing(np.dtype("<u4")), Growing(np.int64), Growing(np.int64)
+        self.text, self.text_at, self.text_size = Growing(np.uint8), Growing(np.int64), Growing(np.int64)
+
+    def add(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray,
+            sizes: np.ndarray) -> None:
+        self.table.add(keys)
+        self.at.extend(self.flat.n + np.cumsum(sizes) - sizes)
+        self.size.extend(sizes)
+        self.flat.extend(values)
+        n = end - start
+        self.text_at.extend(self.text.n + np.cumsum(n) - n)
+        self.text_size.extend(n)
+        self.text.extend(data[_spread(start, n)])
+
+    def same(self, slot: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether the bytes kept in ``slot`` are those of the ranges."""
+        n = end - start
+        ok = self.text_size.data[slot] == n
+        at = np.flatnonzero(ok)
+        here = _spread(start[at], n[at])
+        differ = np.flatnonzero(data[here] != self.text.data[_spread(self.text_at.data[slot[at]], n[at])])
+        if len(differ):
+            ok[at[np.searchsorted(np.cumsum(n[at]), differ, side="right")]] = False
+        return ok
+
+    def take(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.size.data[slot]
+        return self.flat.data[_spread(self.at.data[slot], sizes)], sizes
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, .. of every range, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Runs:
-    """hash -> run of unsigned 32-bit integers, forgotten beyond ``limit`` keys."""
+    """Byte string -> run of unsigned 32-bit integers, found by hash and held
+    against the bytes kept, so equal hashes of different strings do no harm.
+
+    Two generations of at most about ``limit / 2`` strings: a full one becomes
+    the old one, and what is met again moves on to the new one, so frequent
+    strings stay when rare ones are forgotten."""
 
     def __init__(self, limit: int):
         self.limit = limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self.table, self.flat = HashTable(), Growing(np.dtype("<u4"))
-        self.at, self.size = Growing(np.int64), Growing(np.int64)
-
-    def lookup(self, hashes: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
-        """(values, sizes): the runs of all ``hashes`` one after the other.
-        ``make(i)`` gets the positions of new hashes, once each, and returns
-        their runs as bytes."""
-        if self.table.size > self.limit:
-            self._clear()
-        slot = self.table.find(hashes)
+        self.old, self.new = _Generation(), _Generation()
+
+    def lookup(self, ranges: Ranges, start: np.ndarray, end: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
+        """(values, sizes): the runs of all byte ranges one after the other.
+        ``make(i)`` gets the positions of ranges not held and returns their
+        runs as bytes."""
+        if 2 * self.new.table.size > self.limit:
+            self.old, self.new = self.new, _Generation()
+        data, hashes = ranges.data, ranges.hashes(start, end)
+        slot = self.new.table.find(hashes)
         missing = np.flatnonzero(slot < 0)
         if len(missing):
             keys, first = np.unique(hashes[missing], return_index=True)
-            runs = make(missing[first])
-            sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
-            self.table.add(keys)
-            self.at.extend(self.flat.n + np.cumsum(sizes) - sizes)
-            self.size.extend(sizes)
-            self.flat.extend(np.frombuffer(b"".join(runs), "<u4"))
-            slot[missing] = self.table.find(hashes[missing])
-        sizes = self.size.data[slot]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.at.data[slot] - ends + sizes, sizes)
-        at += np.arange(len(at))
-        return self.flat.data[at], sizes
+            at = missing[first]
+            held = self.old.table.find(keys)
+            kept = np.flatnonzero(held >= 0)
+            kept = kept[self.old.same(held[kept], data, start[at[kept]], end[at[kept]])]
+            self.new.add(keys[kept], data, start[at[kept]], end[at[kept]], *self.old.take(held[kept]))
+            rest = np.ones(len(keys), bool)
+            rest[kept] = False
+            keys, at = keys[rest], at[rest]
+            self.new.add(keys, data, start[at], end[at], *_joined(make(at)))
+            slot[missing] = self.new.table.find(hashes[missing])
+        values, sizes = self.new.take(slot)
+        other = np.flatnonzero(~self.new.same(slot, data, start, end))
+        if len(other):                              # a hash that stands for another string
+            each = np.split(values, np.cumsum(sizes)[:-1])
+            for i, run in zip(other.tolist(), make(other)):
+                each[i] = np.frombuffer(run, "<u4")
+            values, sizes = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
+        return values, sizes
+
+
+def _joined(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(runs), "<u4"), np.fromiter(map(len, runs), np.int64, len(runs)) // 4
 
 
 def by_bytes(texts: list, size: int = BATCH_BYTES):

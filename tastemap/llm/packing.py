@@ -13,92 +13,23 @@ carry the partition number in their upper bits, so no exchange is needed.
 
 Edge cases: null and empty texts are documents of the end id alone; repeated
 rows are packed once each; an empty table gives no rows.  A special
-token's marker within a text is text: it gets ordinary ids, unlike in a call of
-the library with its defaults, so no document can plant a control id.
+token's marker within a text gets its special id, as in a call of the library
+with its defaults (``markers_are_text`` makes it ordinary text instead).
 """
 
 from __future__ import annotations
 
-import os
-import re
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tastemap.llm.lexicon import Words, Runs, by_bytes
-from tastemap.llm.text import LETTERS, PUNCT, WHITE, BoundedCache, map_arrow, slices, text_of
+from tastemap.llm.text import map_arrow, slices, text_of
+from tastemap.llm.word_tokenizer import WordTokenizer, load_tokenizer  # noqa: F401
 
 WINDOW = 2048
 BATCH_DOCS = 512
 END_ID = 1
-CACHE_WORDS = 200_000
-# Cuts that the tokenizer's normaliser and splitter respect: a plain word
-# before punctuation, white space or the end; else a run without white space.
-PIECE = re.compile(f"[{LETTERS}]+(?=[{PUNCT}{WHITE}]|$)|[^{WHITE}]+")
-PLAIN = re.compile(f"[{LETTERS}]+").fullmatch
-
-
-class WordTokenizer:
-    """Whole-text ids from the library, asked once per distinct word."""
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocab = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.runs = Runs(CACHE_WORDS)                   # word (by hash) -> ids
-        self.pieces = BoundedCache(CACHE_WORDS // 4)    # plain word or other part of it -> ids
-
-    def _encode_pieces(self, pieces: list[str]) -> None:
-        """Asks the library for new pieces: plain words in one joined text,
-        told apart by their word-end ids, the others one by one."""
-        plain = [p for p in pieces if PLAIN(p)]
-        other = [p for p in pieces if not PLAIN(p)]
-        for s in slices(len(plain), 5_000):
-            ids = np.array(self.tokenizer.encode(" ".join(plain[s]), add_special_tokens=False).ids, "<u4")
-            ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
-            if len(ends) != len(plain[s]):
-                other += plain[s]
-                continue
-            data, start = ids.tobytes(), 0
-            for p, end in zip(plain[s], ends.tolist()):
-                self.pieces[p] = data[start:end]
-                start = end
-        for s in slices(len(other), 5_000):
-            for p, e in zip(other[s], self.tokenizer.encode_batch_fast(other[s], add_special_tokens=False)):
-                self.pieces[p] = np.array(e.ids, "<u4").tobytes()
-
-    def encode_texts(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        self.pieces.trim()
-        data = [t.encode("utf-8", "surrogatepass") for t in texts]
-        return [ids for lo, hi in by_bytes(data) for ids in self._encode_batch(data[lo:hi])]
-
-    def _encode_batch(self, data: list[bytes]) -> list[bytes]:
-        words = Words(data)
-
-        def make(at):
-            parts = [PIECE.findall(words.bytes_of(i).decode("utf-8", "surrogatepass")) for i in at.tolist()]
-            self._encode_pieces(list({p for ps in parts for p in ps if p not in self.pieces}))
-            get = self.pieces.__getitem__
-            return [b"".join(map(get, ps)) for ps in parts]
-
-        ids, counts = self.runs.lookup(words.word_hashes(), make)
-        upto = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(words.counts)]
-        cut, whole = np.concatenate([[0], upto * 4]).tolist(), ids.tobytes()
-        return [whole[a:b] for a, b in zip(cut, cut[1:])]
-
-
-@lru_cache(maxsize=2)
-def load_tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
 
 
 class Packer:
@@ -179,13 +110,14 @@ class Packer:
         return out
 
 
-def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID,
+                   markers_are_text: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (binary), doc_tokens,
     sequence_id, offset."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        tok, packer = load_tokenizer(path), Packer(window)
+        tok, packer = load_tokenizer(path, markers_are_text), Packer(window)
         base, made, schema = TaskContext.get().partitionId() << 33, 0, None
 
         def rows(windows):

@@ -12,7 +12,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tastemap.llm import byte_bpe, packing
-from tastemap.llm.lexicon import HashTable, Ranges, Words
+from tastemap.llm.lexicon import HashTable, Ranges, Runs, Words
 
 from llm_fixtures import SMALL, documents, frame  # noqa: F401
 
@@ -60,7 +60,6 @@ def test_decode_column(documents):
 
 def check_packing(pieces, texts, window=2048):
     tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for p in pieces:
         by_doc[p["doc_id"]].append(p)
@@ -89,15 +88,51 @@ def test_packing_odd_texts(documents):
     assert packing.pack_documents(documents([]), WORDS).count() == 0
 
 
-def test_ids_differ_from_an_untouched_tokenizer_on_markers_only():
+MARKED = ["first part<|endoftext|>second part", "first part second part", "< |endoftext| >", "a<|endoftext|>b",
+          "x<|startoftext|>, y", "don't<|endoftext|>stop"]
+
+
+def test_ids_equal_an_untouched_tokenizer():
     plain, own = Tokenizer.from_file(WORDS), packing.WordTokenizer(WORDS)
-    texts = [t or "" for t in ODD] + ["first part<|endoftext|>second part", "first part second part", "< |endoftext| >"]
-    for text, ids in zip(texts, own.encode_texts(texts)):
-        got, want = np.frombuffer(ids, "<u4").tolist(), plain.encode(text, add_special_tokens=False).ids
-        if "<|endoftext|>" in text:
-            assert 49407 in want and 49407 not in got and len(got) > len(want)
-        else:
-            assert got == want
+    random.seed(6)
+    pool = list("ab cd'sll\n\t\xa0é你😀12٣tre.,!?\x1c\x85İßÀ×÷ÿ̀-") + ["'re", "the ", "\r\n", "aaaa", "<|endoftext|>", "it's "]
+    texts = [t or "" for t in ODD] + MARKED + ["é" * 3000, "x" * 70 + " y"]
+    texts += ["".join(random.choices(pool, k=random.randint(0, 60))) for _ in range(3000)]
+    for _ in range(2):                                       # from the library, then from the memo
+        for text, ids in zip(texts, own.encode_texts(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_markers_may_be_text():
+    plain, own = Tokenizer.from_file(WORDS), packing.WordTokenizer(WORDS, markers_are_text=True)
+    plain.encode_special_tokens = True
+    for text, ids in zip(MARKED, own.encode_texts(MARKED)):
+        got = np.frombuffer(ids, "<u4").tolist()
+        assert 49407 not in got and got == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_memo_tells_strings_of_equal_hash_apart(monkeypatch):
+    monkeypatch.setattr(Ranges, "hashes", lambda self, start, end: (end - start + 1).astype(np.uint64))   # by length alone
+    plain, own = Tokenizer.from_file(WORDS), packing.WordTokenizer(WORDS)
+    texts = ["one two six ten", "two, one six.", "ten ten cat", ""]
+    for _ in range(2):
+        for text, ids in zip(texts, own.encode_texts(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_memo_forgets_the_rare_and_keeps_the_frequent():
+    runs, made = Runs(400), []
+    for n in range(40):
+        words = Words([b" ".join([b"often"] + [b"w%d" % (n * 100 + i) for i in range(100)])])
+
+        def make(at):
+            made.extend(words.bytes_of(i) for i in at)
+            return [np.array([len(words.bytes_of(i)), n], "<u4").tobytes() for i in at]
+
+        values, sizes = runs.lookup(words, words.start, words.end, make)
+        assert sizes.tolist() == [2] * 101 and values[::2].tolist() == (words.end - words.start).tolist()
+    assert made.count(b"often") == 1 and len(made) == 4001
+    assert runs.old.table.size + runs.new.table.size <= 700
 
 
 def test_packing_null_id_and_repeats(documents):
