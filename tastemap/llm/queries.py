@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tastemap.llm import ann, byte_bpe, jaccard_join, langid, licenses, packing, pii, topk_search, toxicity, url_lists
+from tastemap.llm import (ann, byte_bpe, jaccard_join, langid, licenses, packing, pii, pivot_clusters, topk_search,
+                          toxicity, url_lists, vector_codes)
 from tastemap.sources.tables import load_table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +59,14 @@ def op10_ngram_jaccard_join(spark, sf):
     return jaccard_join.join_components(load_table(spark, sf, "documents", ["doc_id", "text"]))
 
 
+def op11_cover_tree_codes(spark, sf):
+    return vector_codes.compress(load_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]))
+
+
+def op13_ptolemaic_clusters(spark, sf):
+    return pivot_clusters.cluster(load_table(spark, sf, "embeddings", ["vec_id", "embedding"]))
+
+
 QUERIES = {
     "op1_threshold_topk": op1_threshold_topk,
     "op2_adaptive_dimension_ann": op2_adaptive_dimension_ann,
@@ -69,6 +78,8 @@ QUERIES = {
     "op8_toxic_spans": op8_toxic_spans,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_cover_tree_codes": op11_cover_tree_codes,
+    "op13_ptolemaic_clusters": op13_ptolemaic_clusters,
 }
 
 ORACLE_SQL = {
@@ -85,4 +96,6 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op4_temporal_url_filter": url_lists.SQL,
     "op6_licence_sentences": licenses.sql(),
+    "op11_cover_tree_codes": vector_codes.SQL,
+    "op13_ptolemaic_clusters": pivot_clusters.SQL,
 }

@@ -89,7 +89,7 @@ def test_packing_stage(stages):
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
 
 
 def test_pipeline_stages_on_odd_rows(spark, documents):
