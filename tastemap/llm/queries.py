@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tastemap.llm import (ann, byte_bpe, jaccard_join, langid, licenses, packing, pii, pivot_clusters, topk_search,
-                          toxicity, url_lists, vector_codes)
+from tastemap.llm import (ann, best_fit, byte_bpe, jaccard_join, langid, licenses, packing, pii, pivot_clusters,
+                          topk_search, toxicity, url_lists, vector_codes)
 from tastemap.sources.tables import load_table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +63,11 @@ def op11_cover_tree_codes(spark, sf):
     return vector_codes.compress(load_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]))
 
 
+def op12_swap_best_fit(spark, sf):
+    pieces = best_fit.pack(load_table(spark, sf, "documents", ["doc_id", "text"]), WORD_VOCABULARY)
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def op13_ptolemaic_clusters(spark, sf):
     return pivot_clusters.cluster(load_table(spark, sf, "embeddings", ["vec_id", "embedding"]))
 
@@ -79,6 +84,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_cover_tree_codes": op11_cover_tree_codes,
+    "op12_swap_best_fit": op12_swap_best_fit,
     "op13_ptolemaic_clusters": op13_ptolemaic_clusters,
 }
 
