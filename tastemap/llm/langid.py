@@ -4,8 +4,10 @@ A text is the shares of its hashed byte trigrams over lower-cased letters.
 Linear support vector machines, one for each pair of families, vote for the
 language family; then machines for each pair of its languages vote within it.
 The machines (squared hinge loss, dual coordinate descent) are fitted on a
-sample of at most about ``SAMPLE_DOCS`` labelled rows, spread evenly over the
-languages; every text is scored whole, as sums of weights.
+sample of at most about ``SAMPLE_DOCS`` labelled texts, spread evenly over the
+``MAX_LANGS`` languages of most texts; the sample is drawn by the text, so it
+is the same whatever the ids and however often a row repeats.  Every text is
+scored whole, as sums of weights.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; a
 single learned language is predicted with score 1; with nothing to learn from
@@ -14,18 +16,19 @@ every text is ``und``; repeated rows get equal results.
 
 from __future__ import annotations
 
-import re
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemap.llm.lexicon import by_bytes
-from tastemap.llm.text import byte_texts, crc_mod, map_arrow
+from tastemap.llm.text import byte_texts, crc_mod, drawn, fields_and, map_arrow, n_texts
 
 SAMPLE_DOCS = 2000
+MAX_LANGS = 64          # languages that are learned, those of most texts
 BUCKETS = 4096
 SCALE = 800.0           # shares times this are the machines' inputs
 ROUNDS = 20
@@ -35,10 +38,19 @@ FAMILIES = {
     "germanic": ("af", "da", "de", "en", "is", "nl", "no", "sv"),
     "romance": ("ca", "es", "fr", "gl", "it", "pt", "ro"),
     "slavic": ("be", "bg", "cs", "hr", "mk", "pl", "ru", "sk", "sl", "sr", "uk"),
+    "baltic": ("lt", "lv"),
+    "celtic": ("br", "cy", "ga", "gd"),
+    "uralic": ("et", "fi", "hu"),
+    "turkic": ("az", "kk", "ky", "tr", "uz"),
+    "iranian": ("fa", "ku", "ps", "tg"),
+    "indic": ("bn", "gu", "hi", "mr", "ne", "pa", "si", "ur"),
+    "dravidian": ("kn", "ml", "ta", "te"),
+    "semitic": ("am", "ar", "he", "mt"),
+    "austronesian": ("id", "jv", "mg", "ms", "su", "tl"),
 }
 FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 
-LETTER = re.compile(r"[^\W\d_]").search
+LETTER = regex.compile(r"\p{L}").search
 _FOLD = np.full(256, 32, np.uint32)     # letters in lower case, all else as a space
 _FOLD[97:123] = _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
@@ -136,13 +148,14 @@ class Model:
 def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """A model from the rows (doc_id, text, lang) for which ``learn`` holds."""
     rows = docs.filter(learn & F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(n_texts().alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
     if not counts:
         return None
     each = -(-sample_docs // len(counts))
-    share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, each / n))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(draw < F.element_at(share, F.col("lang"))).select("text", "lang")
+    share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, each / max(1, n)))])
+    sample = (rows.filter(drawn("langid") < F.coalesce(F.element_at(share, F.col("lang")), F.lit(0.0)))
+              .select("text", "lang").dropDuplicates(["text", "lang"]))
 
     def run(batches):
         for batch in batches:
@@ -161,8 +174,6 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> Model
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """The ``keep`` columns with lang_pred and score, for every row."""
-    fields = [docs.schema[c] for c in keep]
-
     def run(batches):
         for batch in batches:
             texts = byte_texts(batch.column("_text"))
@@ -176,9 +187,8 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
             kept = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(lang), pa.array(score)], [*keep, "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     return map_arrow(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")),
-                     run, schema + ", lang_pred string, score double")
+                     run, fields_and(docs, keep, "lang_pred string, score double"))
 
 
 def identify(docs: DataFrame) -> DataFrame:

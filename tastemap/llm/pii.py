@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.llm.text import map_arrow, slices, text_of
+from tastemap.llm.text import drawn, fields_and, map_arrow, n_texts, slices, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 2000
@@ -311,11 +311,12 @@ def added_spans(texts: list[str], base: list[list], model: Model) -> list[list[t
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """Potentials from a sample of the texts that hold a digit or an @."""
-    rows = docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9@]"))
-    n = rows.count()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("pii")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(draw < min(1.0, sample_docs / max(1, n))).select("text")
+    """Potentials from a sample of about ``sample_docs`` different texts that
+    hold a digit or an @."""
+    rows = docs.select("text").filter(F.col("text").rlike("[0-9@]"))
+    n = rows.agg(n_texts()).first()[0]
+    # Drawn by the text: the same sample whatever the ids and however often a row repeats.
+    sample = rows.filter(drawn("pii") < min(1.0, sample_docs / max(1, n))).dropDuplicates(["text"])
 
     def run(batches):
         for batch in batches:
@@ -357,7 +358,6 @@ def find(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """The ``keep`` columns with base and added spans (arrays of start, kind,
     end in code points) of every row's text, and the redacted text (null for
     a null text)."""
-    fields = [docs.schema[c] for c in keep]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))
 
     def rows(spans):
@@ -376,9 +376,8 @@ def find(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                                                  [*keep, "base", "added", "redacted"])
 
     spans = "array<struct<start: long, kind: string, end: long>>"
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")),
-                     run, f"{schema}, base {spans}, added {spans}, redacted string")
+    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")), run,
+                     fields_and(docs, keep, f"base {spans}, added {spans}, redacted string"))
 
 
 def redact(text: str, spans) -> str:

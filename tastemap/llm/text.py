@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Unicode White_Space, as a character class body (fixed values).
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -93,6 +94,16 @@ def crc_mod(doc_id: Column, m: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % m, F.lit(0))
 
 
+def drawn(salt: str) -> Column:
+    """A number from 0 to 1 for each text, whatever row holds it."""
+    return F.pmod(F.xxhash64("text", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+
+
+def n_texts() -> Column:
+    """About how many different texts a group of rows holds (aggregate)."""
+    return F.approx_count_distinct(F.xxhash64("text"), 0.02)
+
+
 def byte_texts(column) -> list[bytes]:
     """The UTF-8 bytes of an Arrow string column; null counts as empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
@@ -112,7 +123,7 @@ def _giving_back(run):
     return task
 
 
-def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run, schema: str | StructType) -> DataFrame:
     """mapInArrow in batches within ``ARROW_LIMITS`` (session settings, lowered
     where they are higher), which bounds the texts a task holds at once."""
     conf = df.sparkSession.conf
@@ -126,6 +137,11 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     return df.mapInArrow(_giving_back(run), schema)
 
 
+def fields_and(docs: DataFrame, keep: list[str], more: str) -> StructType:
+    """The schema of the ``keep`` columns followed by the columns of ``more`` (DDL)."""
+    return StructType([*[docs.schema[c] for c in keep], *StructType.fromDDL(more)])
+
+
 def arrow_rows(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns.values(), schema)],

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tastemap.llm import crf
 from tastemap.llm.lexicon import HashTable, Words, by_bytes
-from tastemap.llm.text import byte_texts, crc_mod, map_arrow
+from tastemap.llm.text import byte_texts, crc_mod, fields_and, map_arrow
 from tastemap.sources.files import materialize
 
 SAMPLE_DOCS = 4000      # documents of either label that the words are weighed on
@@ -216,7 +216,6 @@ class _Lengths:
 
 def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """The ``keep`` columns with score and spans (start and end in bytes)."""
-    fields = [docs.schema[c] for c in keep]
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
@@ -229,9 +228,8 @@ def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                 found = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], spans_type)
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(scores), found], [*keep, "score", "spans"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")),
-                     run, schema + ", score double, spans array<struct<start: long, end: long>>")
+    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")), run,
+                     fields_and(docs, keep, "score double, spans array<struct<start: long, end: long>>"))
 
 
 def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """The corpus pipeline against brute-force versions of its stages."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,16 +93,21 @@ def test_registered():
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
 
 
+CLASHING = ("lang_pred", "_text", "spans", "base", "added", "redacted", "row", "_key", "_keep", "comp", "bad col.name")
+
+
 def test_pipeline_stages_on_odd_rows(spark, documents):
     rows = [(1, None), (2, ""), (3, "123"), (4, "the house and the garden"), (4, "the house and the garden"), (None, "a null id"),
             (5, "mail me at a.b@c.example now " + "word " * 20000)]
-    docs = documents(rows)
+    more = {c: (pa.string(), [f"{c} {i}" for i, _ in rows]) for c in CLASHING}
+    docs = first = documents(rows, **more)
     for name, stage in corpus_pipeline.STAGES[:4]:
         docs = spark.createDataFrame(stage(spark, docs, MID).toArrow())
-        assert docs.columns == documents(rows).columns
+        assert docs.columns == first.columns and docs.count()
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in docs.collect())
     assert got == [(False, 4), (False, 5), (True, 0)]
-    assert "[EMAIL]" in docs.filter("doc_id = 5").first()["text"]
+    five = docs.filter("doc_id = 5").first()
+    assert "[EMAIL]" in five["text"] and all(five[c] == f"{c} 5" for c in CLASHING) and five["score"] == "y"
     empty = documents([])
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, MID).count() == 0

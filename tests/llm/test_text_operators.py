@@ -241,6 +241,31 @@ def test_language_odd_rows(documents):
     assert nothing["lang_pred"] == langid.UNKNOWN and nothing["score"] == 0
 
 
+def test_language_of_signs_that_are_no_letters(documents):
+    rows = [(i, ["the cat and the dog were here", "le chat et le chien sont ici"][i % 2] + f" x{'abcdefgh'[i % 8] * (1 + i // 8)}") for i in range(60)]
+    odd = [(900, "\u00bd \u2460 \u00b2"), (901, "\u2167"), (902, "_ 12 \u0663"), (903, "\u2460 cat")]
+    got = langid.identify(documents(rows + odd, lang=(pa.string(), [["en", "fr"][i % 2] for i in range(60)] + ["en"] * 4)))
+    by = {r["doc_id"]: r["lang_pred"] for r in got.filter("doc_id >= 900").collect()}
+    assert by[900] == by[901] == by[902] == langid.UNKNOWN and by[903] != langid.UNKNOWN
+
+
+@pytest.mark.parametrize("same", [None, 7, 9])
+def test_samples_do_not_depend_on_ids(documents, spark, same):
+    known = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{MID}/documents.parquet").limit(300).collect()]
+    lang = (pa.string(), [r[2] for r in known])
+    own, one = documents([(i, t) for i, t, _ in known], lang=lang), documents([(same, t) for _, t, _ in known], lang=lang)
+    a, b = (langid.fit(d, F.lit(True)) for d in (own, one))
+    assert np.array_equal(a.rows, b.rows) and np.array_equal(a.bias, b.bias)
+    a, b = (pii.fit(d) for d in (own, one))
+    assert all(np.array_equal(x, y) for x, y in zip(a, b))
+
+
+def test_samples_count_a_repeated_text_once(documents):
+    rows = [(i, f"call me on 12.{i}.3.4 or at a{i}@b.org") for i in range(50)]
+    one, many = pii.fit(documents(rows)), pii.fit(documents(rows + rows[:1] * 400))
+    assert all(np.array_equal(x, y) for x, y in zip(one, many))
+
+
 def test_marginals_equal_the_plain_recursion():
     rng = np.random.default_rng(1)
     lengths = np.array([0, 1, 5, 64, 65, 0, 200])
