@@ -4,8 +4,8 @@ Language identification, toxicity, near-duplicate removal, redaction of
 personal data, packing.  Each stage takes (spark, docs, sf_dir) and returns a
 DataFrame; ``run`` writes every stage's result as Parquet below the checkpoint
 folder and reads it back as the next one's ``docs``.  All but the last return
-the columns of ``documents``; what a stage adds has a column name of its own
-that no input column can clash with.
+the columns of ``documents``: an operator is handed a whole row as one column
+beside its text, so no column of ``docs`` can clash with one that it adds.
 
 No stage can be told in SQL as a whole (fitted models, message passing, online
 packing), so there is no oracle; the tests hold the pipeline against
@@ -27,19 +27,24 @@ MAX_TOXICITY = 0.5              # documents of this score or more go
 NEAR = jaccard_join.Rule(words=5, num=80, den=100)
 
 
+def as_rows(docs: DataFrame) -> DataFrame:
+    """row (a struct of all columns) and text."""
+    return docs.select(F.struct("*").alias("row"), "text")
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that are null, without a letter, or of no learned language
     that wins all its votes."""
     model = langid.fit(docs.select("doc_id", "text", "lang"), F.lit(True))
-    scored = langid.predict(docs, model, docs.columns)
+    scored = langid.predict(as_rows(docs), model, ["row"])
     kept = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANG_SCORE)
-    return scored.filter(kept).select(*docs.columns)
+    return scored.filter(kept).select("row.*")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of a toxicity score of ``MAX_TOXICITY`` or more."""
-    model = toxicity.fit(docs, load_table(spark, sf_dir, "labels", ["doc_id", "toxic"]), F.lit(True))
-    return toxicity.score(docs, model, docs.columns).filter(F.col("score") < MAX_TOXICITY).select(*docs.columns)
+    model = toxicity.fit(docs.select("doc_id", "text"), load_table(spark, sf_dir, "labels", ["doc_id", "toxic"]), F.lit(True))
+    return toxicity.score(as_rows(docs), model, ["row"]).filter(F.col("score") < MAX_TOXICITY).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,10 +63,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every span of personal data by its kind, e.g. [EMAIL]."""
-    kept = [c for c in docs.columns if c not in ("text", "n_chars")]
-    found = pii.find(docs, pii.fit(docs), kept)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_chars")]
+    whole = docs.select(F.struct(F.lit(True), *rest).alias("row"), "text")
+    found = pii.find(whole, pii.fit(docs.select("text")), ["row"])
     new = {"text": F.col("redacted"), "n_chars": F.length("redacted").cast("long")}
-    return found.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    return found.select(*[new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
