@@ -55,7 +55,7 @@ def _ideal_dcg(n_truth, k: int):
                        lambda acc, i: acc + F.lit(1.0) / F.log(i + F.lit(1.0)))
 
 
-def _per_user(listed_sizes: DataFrame, hits: DataFrame, k: int, user: str, rank: str) -> DataFrame:
+def per_user_metrics(listed_sizes: DataFrame, hits: DataFrame, k: int, user: str, rank: str) -> DataFrame:
     """Metrics from the evaluated users (user, n_truth) and their hits (user, rank)."""
     in_order = Window.partitionBy(user).orderBy(rank)
     hit_stats = (hits.withColumn("hit_no", F.row_number().over(in_order))
@@ -84,7 +84,7 @@ def ranking_metrics_by_user(recs: DataFrame, truth: DataFrame, k: int, user: str
     truth = truth_sets(truth, user, item)
     listed = recs.select(user).distinct()
     hits = recs.select(user, item, rank).join(truth, [user, item])
-    return _per_user(listed.join(truth_sizes(truth, user), user), hits, k, user, rank)
+    return per_user_metrics(listed.join(truth_sizes(truth, user), user), hits, k, user, rank)
 
 
 def shared_list_metrics_by_user(top: DataFrame, truth: DataFrame, k: int, user: str = "user_id",
@@ -97,7 +97,7 @@ def shared_list_metrics_by_user(top: DataFrame, truth: DataFrame, k: int, user:
     """
     truth = truth_sets(truth, user, item)
     hits = truth.join(F.broadcast(top.select(item, rank)), item).select(user, rank)
-    return _per_user(truth_sizes(truth, user), hits, k, user, rank)
+    return per_user_metrics(truth_sizes(truth, user), hits, k, user, rank)
 
 
 def summarize(per_user: DataFrame, digits: int = METRIC_DIGITS) -> DataFrame:

@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemap.operators import als as als_ops
-from tastemap.operators.ranking import METRIC_DIGITS, ranking_metrics, rmse, truth_sets
+from tastemap.operators import block_als, top_n
+from tastemap.operators.ranking import METRIC_DIGITS, per_user_metrics, ranking_metrics, rmse, truth_sets, truth_sizes
+from tastemap.sources.files import materialize, path_exists, read_parquet_table
 
 GRID_SCHEMA = ("rank INT, max_iter INT, reg DOUBLE, alpha DOUBLE, implicit BOOLEAN, k INT, "
                "rmse DOUBLE, precision_at_k DOUBLE, map DOUBLE, ndcg_at_k DOUBLE, seconds DOUBLE")
+SHARED_GRID_SCHEMA = GRID_SCHEMA + ", n_rows LONG, n_users LONG"
 
 
 @dataclass(frozen=True)
@@ -53,10 +56,96 @@ def run_grid(train: DataFrame, valid: DataFrame, points: list[GridPoint], k: int
     return metrics_frame(train.sparkSession, rows)
 
 
-def metrics_frame(spark, rows: list[dict]) -> DataFrame:
+def metrics_frame(spark, rows: list[dict], schema: str = GRID_SCHEMA) -> DataFrame:
     """Metric rows (one per grid point, so a handful) as a DataFrame."""
-    names = [c.split()[0] for c in GRID_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], GRID_SCHEMA)
+    names = [c.split()[0] for c in schema.split(", ")]
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
+
+
+GRID_WIDTH = 1280       # factors of all points fitted together, at most (a single point may be wider)
+GRID_KEY = ("rank", "max_iter", "reg", "alpha", "implicit", "k")
+
+
+def batches(points: list[GridPoint], width: int = GRID_WIDTH) -> list[list[GridPoint]]:
+    """Points that are fitted together: of one kind, ``width`` factors in all.
+    Points that differ in their rounds alone share their factors."""
+    out: list[list[GridPoint]] = []
+    shapes: list[set] = []
+    for p in sorted(points, key=lambda p: (p.implicit, p.rank, p.reg, p.alpha, p.max_iter)):
+        shape = (p.rank, p.reg, p.alpha)
+        if out and out[-1][0].implicit == p.implicit and sum(r for r, _, _ in shapes[-1] | {shape}) <= width:
+            out[-1].append(p)
+            shapes[-1].add(shape)
+        else:
+            out.append([p])
+            shapes.append({shape})
+    return out
+
+
+def evaluate_batch(train: DataFrame, valid: DataFrame, points: list[GridPoint], k: int, user: str = "user_id",
+                   item: str = "item_id", rating: str = "rating", seed: int = als_ops.ALS_SEED) -> list[dict]:
+    """Metric rows of points fitted together over one layout of ``train``: RMSE
+    over the rows of ``valid`` that get a prediction, ranking metrics over the
+    users of ``valid`` that were trained and have a truth."""
+    start = time.time()
+    shapes = sorted({(p.rank, p.reg, p.alpha) for p in points})
+    fitted = [block_als.Point(r, g, points[0].implicit, a, nonnegative=not points[0].implicit) for r, g, a in shapes]
+    widths, rows = [p.rank for p in fitted], []
+    truth = materialize(truth_sets(valid, user, item), "grid-truth")
+    sizes = truth_sizes(truth, user)
+    for rounds, model in block_als.fit(train, fitted, tuple({p.max_iter for p in points}), user, item, rating, seed).items():
+        squares = {r["point"]: r for r in block_als.squared_errors(model, valid, user, item, rating).collect()}
+        listed = materialize(model.users.join(sizes, model.users["id"] == sizes[user]).select("id", "vec", "n_truth"), "grid-users")
+        tiles = top_n.top_lists(listed.select("id", "vec"), model.items, k, widths)
+        hits = materialize(top_n.list_hits(tiles, truth, widths, k, user, item), "grid-hits")
+        # A user counts once for each point: the key is the pair.
+        key = F.struct("point", F.col(user).alias("id")).alias(user)
+        each = listed.select(F.col("id").alias(user), "n_truth", F.explode(F.sequence(F.lit(0), F.lit(len(fitted) - 1))).alias("point"))
+        per_user = per_user_metrics(each.select(key, "n_truth"), hits.select(key, "rank"), k, user, "rank")
+        ranked = {r["point"]: r for r in per_user.groupBy(F.col(f"{user}.point").alias("point")).agg(
+            F.count(F.lit(1)).alias("n_users"), *[F.round(F.avg(c), METRIC_DIGITS).alias(name) for c, name in (
+                ("precision_at_k", "precision_at_k"), ("average_precision", "map"), ("ndcg_at_k", "ndcg_at_k"))]).collect()}
+        took = time.time() - start
+        for p in points:
+            n = shapes.index((p.rank, p.reg, p.alpha))
+            if p.max_iter != rounds:
+                continue
+            sq, found = squares.get(n), ranked.get(n)
+            rows.append(dict(
+                rank=p.rank, max_iter=p.max_iter, reg=float(p.reg), alpha=float(p.alpha), implicit=p.implicit, k=k,
+                rmse=round((sq["squares"] / sq["n_rows"]) ** 0.5, METRIC_DIGITS) if sq and sq["n_rows"] else None,
+                precision_at_k=found["precision_at_k"] if found else None, map=found["map"] if found else None,
+                ndcg_at_k=found["ndcg_at_k"] if found else None, seconds=round(took, 3),
+                n_rows=sq["n_rows"] if sq else 0, n_users=found["n_users"] if found else 0))
+    return rows
+
+
+def run_shared_grid(train: DataFrame, valid: DataFrame, points: list[GridPoint], k: int = 100, path: str | None = None,
+                    width: int = GRID_WIDTH, user: str = "user_id", item: str = "item_id", rating: str = "rating") -> DataFrame:
+    """One metric row per grid point; points are fitted in batches over one
+    layout of the ratings.  ``seconds`` is the time of a point's whole batch.
+
+    With ``path`` a batch's rows are appended there as soon as they are ready,
+    and points that the table already holds (for this ``k``) are not run again,
+    so a stopped grid goes on where it ended.
+    """
+    spark = train.sparkSession
+    train, valid = train.select(user, item, rating), valid.select(user, item, rating)
+    done = set()
+    if path and path_exists(spark, path):
+        done = {tuple(r) for r in read_parquet_table(spark, path).select(*GRID_KEY).collect()}
+    todo = [p for p in points if (p.rank, p.max_iter, float(p.reg), float(p.alpha), p.implicit, k) not in done]
+    rows: list[dict] = []
+    for batch in batches(todo, width):
+        ready = evaluate_batch(train, valid, batch, k, user, item, rating)
+        rows += ready
+        if path:
+            metrics_frame(spark, ready, SHARED_GRID_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    if not path:
+        return metrics_frame(spark, rows, SHARED_GRID_SCHEMA)
+    wanted = spark.createDataFrame([(p.rank, p.max_iter, float(p.reg), float(p.alpha), p.implicit, k) for p in points],
+                                   "rank INT, max_iter INT, reg DOUBLE, alpha DOUBLE, implicit BOOLEAN, k INT").distinct()
+    return read_parquet_table(spark, path).join(F.broadcast(wanted), list(GRID_KEY), "left_semi")
 
 
 def damped_mean_grid(train: DataFrame, valid: DataFrame, dampings: tuple, cutoffs: tuple,

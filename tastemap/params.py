@@ -42,8 +42,7 @@ ALS_SEED = 42  # fixed so fits repeat
 # Blocks of the factor tables.  Fixed, since the fitted model depends on it: the
 # same data and seed must give the same lists on any number of cores.
 ALS_BLOCKS = 10
-# The registered `implicit_grid` query runs a 2 x 2 corner of SAMPLED_GRID over the
-# whole splits: the 6 x 4 grid did not end within about 210 s on sf0.01.
-# `jobs.sampled_comparison` runs the whole grid.
-REGISTERED_IMPLICIT_GRID = dict(ranks=(5, 20), iters=(4,), regs=(0.01, 0.1))
+# A grid of rank 1, whose rounds SQL can state: regularisations and numbers of rounds.
+RANK1_GRID = dict(ranks=(1,), iters=(1, 2, 4), regs=(0.01, 0.1, 1.0, 2.0))
+BUCKETS = 16  # of the registered bucketed layout
 MEAN_DAMPINGS, MEAN_CUTOFFS = (0, 5, 25), (10, 100)  # the grid over damped item means

@@ -17,23 +17,24 @@ from pyspark.sql import functions as F
 
 from tastemap.functions.vectors import spread_vector
 from tastemap.operators import als as als_ops
-from tastemap.operators import tuning
-from tastemap.operators.matrix import dense_pivot, mean_ratings
+from tastemap.operators import block_als, top_n, tuning
+from tastemap.operators.matrix import dense_pivot, from_sparse_rows, mean_ratings, sparse_rows
 from tastemap.operators.popularity import PopularityRecommender, popularity_scores, top_items
 from tastemap.operators.prep import (active_users, copy_column, drop_null_rows, hash_sample,
                                      nonzero_ratings)
 from tastemap.operators.ranking import item_mean_predictions, ranking_metrics, rmse, summarize, truth_sets
 from tastemap.operators.split import (SPLIT_SEED, half_split, interaction_split, label_and_number,
                                       train_val_test, user_groups)
-from tastemap.params import (EXPLICIT_GRID, FINAL_ALS, IMPLICIT_ALS, MEAN_CUTOFFS, MEAN_DAMPINGS,
-                             REGISTERED_IMPLICIT_GRID, TEST_K, TUNE_K)
-from tastemap.plans.oracle import LAYOUT_FILES, PIVOT_ITEMS, SAMPLE_FRACTION, TOP_N, VECTOR_WIDTH
+from tastemap.params import (BUCKETS, EXPLICIT_GRID, FINAL_ALS, IMPLICIT_ALS, MEAN_CUTOFFS, MEAN_DAMPINGS, RANK1_GRID,
+                             SAMPLED_GRID, TEST_K, TUNE_K)
+from tastemap.plans.oracle import (LAYOUT_FILES, PIVOT_ITEMS, ROW_CHUNK, SAMPLE_FRACTION, TOP_N, VECTOR_LIST,
+                                   VECTOR_WIDTH)
 from tastemap.session import scratch_path
 from tastemap.sources.files import (materialize, read_csv_table, read_parquet_table, register_views,
-                                    repartition_layout, row_count, write_csv_parts, write_parquet_table,
-                                    write_single_csv, write_single_parquet)
+                                    repartition_layout, row_count, table_schemas, write_bucketed, write_csv_parts,
+                                    write_parquet_table, write_single_csv, write_single_parquet)
 from tastemap.sources.interactions import interactions
-from tastemap.sources.tables import load_table
+from tastemap.sources.tables import TABLES, load_table, table_path
 
 SAMPLE_KEY = ["user_id", "item_id", "ok", "ln"]
 SPLIT_COLUMNS = ["user_id", "item_id", "rating", "ts", "ok", "ln", "split"]
@@ -161,6 +162,27 @@ def q_split_counts(spark, sf):
                                                       F.countDistinct("user_id").alias("n_users"))
 
 
+def q_table_schemas(spark, sf):
+    """Columns of every table, from the footers of all its files."""
+    return table_schemas(spark, {t: table_path(sf, t) for t in TABLES}).select("table", "position", "column", "type")
+
+
+def bucketed_splits(spark, sf):
+    """Training and validation rows as tables bucketed by user."""
+    s = split_table(spark, sf)
+    return [write_bucketed(s.filter(F.col("split") == name), f"tastemap_{name}_by_user", scratch_path(spark, f"bucketed-{name}"),
+                           "user_id", BUCKETS, ["user_id", "item_id"]) for name in ("train", "val")]
+
+
+def q_bucketed_counts(spark, sf):
+    """Training and validation rows of every validation user, from tables whose
+    layout makes the exchanges unnecessary."""
+    train, val = bucketed_splits(spark, sf)
+    sizes = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_train"), F.sum("rating").alias("sum_train"))
+    held = val.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_val"))
+    return held.hint("merge").join(sizes, "user_id", "left")
+
+
 # --- filters, samples, splits -----------------------------------------------
 
 def q_active_users(spark, sf):
@@ -264,6 +286,12 @@ def q_user_item_pivot(spark, sf):
     return wide.select("user_id", *named, *absent)
 
 
+def q_user_item_maps(spark, sf):
+    """The matrix stored by rows in bounded chunks, and opened again."""
+    rows = materialize(sparse_rows(rated(spark, sf), most=ROW_CHUNK), "sparse-rows")
+    return from_sparse_rows(rows)
+
+
 def q_vector_columns(spark, sf):
     emb = load_table(spark, sf, "embeddings", ["vec_id", "label", "embedding"])
     return spread_vector(emb, "embedding", VECTOR_WIDTH, ["vec_id", "label"])
@@ -329,15 +357,33 @@ def _pair_splits(spark, sf):
     return q_interaction_split(spark, sf)
 
 
+def _stored_pairs(spark, sf):
+    """The averaged pairs with their split, written once per application."""
+    def build():
+        path = scratch_path(spark, "pairs")
+        write_parquet_table(_pair_splits(spark, sf), path, partition_by=["split"])
+        return path
+    return read_parquet_table(spark, _memoized(("pairs", sf), build, spark))
+
+
 def _implicit_grid(spark, sf):
+    """All points of the comparison grid over the whole pair splits."""
     def build():
-        pairs = materialize(_pair_splits(spark, sf), "pairs")
-        points = tuning.grid(implicit=True, **REGISTERED_IMPLICIT_GRID)
-        return tuning.run_grid(pairs.filter("split = 'train'"), pairs.filter("split = 'val'"), points,
-                               TUNE_K)
+        pairs = _stored_pairs(spark, sf)
+        points = tuning.grid(implicit=True, **SAMPLED_GRID)
+        return tuning.run_shared_grid(pairs.filter("split = 'train'"), pairs.filter("split = 'val'"), points, TUNE_K,
+                                      scratch_path(spark, "implicit-grid"))
     return _memoized(("implicit_grid", sf), build, spark)
 
 
+def _rank1_grid(spark, sf):
+    def build():
+        s = split_table(spark, sf)
+        return tuning.run_shared_grid(s.filter("split = 'train'"), s.filter("split = 'val'"), tuning.grid(**RANK1_GRID), TOP_N,
+                                      scratch_path(spark, "rank1-grid"))
+    return _memoized(("rank1_grid", sf), build, spark)
+
+
 def q_als_grid(spark, sf):
     return _explicit_grid(spark, sf)
 
@@ -354,13 +400,17 @@ def q_best_implicit_params(spark, sf):
     return tuning.best_params(_implicit_grid(spark, sf), "precision_at_k", lowest=False)
 
 
+def _refit(best, train, test, k):
+    """The metric row of a stored grid's best point, fitted again and held
+    against rows that no choice has seen."""
+    point = tuning.GridPoint(best["rank"], best["max_iter"], best["reg"], best["alpha"], best["implicit"])
+    return tuning.run_shared_grid(train, test, [point], k)
+
+
 def q_best_refit(spark, sf):
     """Refit the best implicit point on train, precision@10 on the test pairs."""
-    best = q_best_implicit_params(spark, sf).first()
-    pairs = _pair_splits(spark, sf)
-    point = tuning.GridPoint(best["rank"], best["max_iter"], best["reg"], best["alpha"], True)
-    row = tuning.evaluate_point(pairs.filter("split = 'train'"), pairs.filter("split = 'test'"), point, TEST_K)
-    return tuning.metrics_frame(spark, [row])
+    pairs = _stored_pairs(spark, sf)
+    return _refit(q_best_implicit_params(spark, sf).first(), pairs.filter("split = 'train'"), pairs.filter("split = 'test'"), TEST_K)
 
 
 def q_metric_cross_table(spark, sf):
@@ -426,10 +476,71 @@ def q_als_evaluated_users(spark, sf):
     return q_als_metrics(spark, sf).select("split", "n_users")
 
 
-def q_als_grid_points(spark, sf):
-    """The points that both grids ran."""
-    both = _explicit_grid(spark, sf).unionByName(_implicit_grid(spark, sf))
-    return both.select("rank", "max_iter", "reg", "alpha", "implicit", "k")
+def q_implicit_grid_coverage(spark, sf):
+    """For every point of the whole grid, the rows predicted and the users ranked."""
+    return _implicit_grid(spark, sf).select("rank", "max_iter", "reg", "alpha", "implicit", "k", "n_rows", "n_users")
+
+
+def q_sliced_list_shape(spark, sf):
+    """As ``als_list_shape``, of lists found slice by slice."""
+    model = _explicit_model(spark, sf)
+    lists = top_n.exact_top_n(model.userFactors, model.itemFactors, TOP_N, model.rank)
+    before = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))
+    return lists.withColumn("falls", F.coalesce(F.col("score") <= before, F.lit(True))).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("item_id").alias("n_items"), F.min("rank").alias("first_rank"),
+        F.max("rank").alias("last_rank"), F.min("falls").alias("scores_fall"))
+
+
+# --- learned values that SQL can state -----------------------------------------------
+
+def q_vector_lists(spark, sf):
+    """The vectors of largest inner product of every vector, found slice by slice."""
+    vectors = load_table(spark, sf, "embeddings", ["vec_id", "embedding"]).select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+    lists = top_n.exact_top_n(vectors, vectors, VECTOR_LIST, VECTOR_WIDTH, "vec_id", "other_id", slice_items=64)
+    return lists.select("vec_id", "rank", "other_id", F.round("score", 8).alias("score"))
+
+
+def q_rank1_factors(spark, sf):
+    """Factors of rank 1 after the grid's most rounds, one column for each regularisation."""
+    train = split_table(spark, sf).filter("split = 'train'")
+    regs, rounds = RANK1_GRID["regs"], max(RANK1_GRID["iters"])
+    fitted = block_als.fit(train, [block_als.Point(1, g, nonnegative=True) for g in regs], (rounds,))[rounds]
+    out = None
+    for kind, table in (("user", fitted.users), ("item", fitted.items)):
+        wide = None
+        for n in range(len(regs)):
+            one = fitted.factors(kind, n).select("id", F.round(F.element_at("features", 1).cast("double"), 4).alias(f"f_{n}"))
+            wide = one if wide is None else wide.join(one, "id")
+        wide = wide.select(F.lit(kind).alias("kind"), "*")
+        out = wide if out is None else out.unionByName(wide)
+    return out
+
+
+def q_rank1_grid(spark, sf):
+    return _rank1_grid(spark, sf).select("max_iter", "reg", "k", *RANK1_METRICS)
+
+
+RANK1_METRICS = ["rmse", "precision_at_k", "map", "ndcg_at_k", "n_rows", "n_users"]
+
+
+def q_rank1_best_rmse(spark, sf):
+    return tuning.best_params(q_rank1_grid(spark, sf), "rmse", True)
+
+
+def q_rank1_best_precision(spark, sf):
+    return tuning.best_params(q_rank1_grid(spark, sf), "precision_at_k", False)
+
+
+def q_rank1_cross_table(spark, sf):
+    return tuning.cross_table(q_rank1_grid(spark, sf), "reg", "max_iter", "rmse")
+
+
+def q_rank1_refit(spark, sf):
+    """The point of the lowest validation error, fitted again and held against the test rows."""
+    s = split_table(spark, sf)
+    best = tuning.best_params(_rank1_grid(spark, sf), "rmse", True).first()
+    return _refit(best, s.filter("split = 'train'"), s.filter("split = 'test'"), TEST_K).select("max_iter", "reg", "k", *RANK1_METRICS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -447,6 +558,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repartition_layout": q_repartition_layout,
     "layout_files": q_layout_files,
     "csv_round_trip": q_csv_round_trip,
+    "table_schemas": q_table_schemas,
+    "bucketed_counts": q_bucketed_counts,
     "row_counts": q_row_counts,
     "split_counts": q_split_counts,
     "interaction_split": q_interaction_split,
@@ -460,6 +573,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "popularity_metrics": q_popularity_metrics,
     "item_mean_rmse": q_item_mean_rmse,
     "user_item_means": q_user_item_means,
+    "user_item_maps": q_user_item_maps,
     "user_item_pivot": q_user_item_pivot,
     "vector_columns": q_vector_columns,
     "als_predictions": q_als_predictions,
@@ -472,7 +586,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_factor_ids": q_als_factor_ids,
     "als_unseen_shape": q_als_unseen_shape,
     "als_evaluated_users": q_als_evaluated_users,
-    "als_grid_points": q_als_grid_points,
+    "sliced_list_shape": q_sliced_list_shape,
+    "vector_lists": q_vector_lists,
+    "rank1_factors": q_rank1_factors,
+    "rank1_grid": q_rank1_grid,
+    "rank1_best_rmse": q_rank1_best_rmse,
+    "rank1_best_precision": q_rank1_best_precision,
+    "rank1_cross_table": q_rank1_cross_table,
+    "rank1_refit": q_rank1_refit,
+    "implicit_grid_coverage": q_implicit_grid_coverage,
     "mean_grid": q_mean_grid,
     "best_mean_rmse": q_best_mean_rmse,
     "best_mean_precision": q_best_mean_precision,

@@ -11,14 +11,17 @@ from __future__ import annotations
 from tastemap.functions.buckets import SAMPLE_BUCKETS, bucket_thresholds, fraction_threshold, hash_bucket_sql
 from tastemap.operators.ranking import METRIC_DIGITS
 from tastemap.operators.split import PAIR_FRACTIONS, SPLIT_SEED, USER_FRACTIONS
-from tastemap.params import (EXPLICIT_GRID, IMPLICIT_ALS, MEAN_CUTOFFS, MEAN_DAMPINGS, REGISTERED_IMPLICIT_GRID,
-                             SAMPLE_FRACTION, TOP_N, TUNE_K)
+from tastemap.params import (IMPLICIT_ALS, MEAN_CUTOFFS, MEAN_DAMPINGS, RANK1_GRID, SAMPLE_FRACTION, SAMPLED_GRID, TEST_K,
+                             TOP_N, TUNE_K)
 from tastemap.sources.interactions import INTERACTIONS_SQL
+from tastemap.sources.tables import TABLES
 
 
 PIVOT_ITEMS = 20  # the registered dense pivot lists the most popular items; any list can be given
 LAYOUT_FILES = 16  # files of the written layout
 VECTOR_WIDTH = 64
+VECTOR_LIST = 10  # length of the registered lists of vectors
+ROW_CHUNK = 16  # items of a stored row in the registered query, so that users have several
 D = METRIC_DIGITS
 
 
@@ -114,14 +117,82 @@ grid AS (SELECT damping, k, rmse, round(coalesce(n_hits, 0) / (k * n_users), {D}
          FROM errors CROSS JOIN cutoffs CROSS JOIN users LEFT JOIN hits USING (damping, k))"""
 
 
-def _grid_points() -> str:
-    points = [(r, i, g, 1.0, "false", TOP_N) for r in EXPLICIT_GRID["ranks"] for i in EXPLICIT_GRID["iters"]
-              for g in EXPLICIT_GRID["regs"]]
-    corner = REGISTERED_IMPLICIT_GRID
-    points += [(r, i, g, 1.0, "true", TUNE_K) for r in corner["ranks"] for i in corner["iters"] for g in corner["regs"]]
+PAIR_SPLIT = f"""{SPLIT},
+means AS (SELECT user_id, item_id, avg(rating) AS rating FROM split GROUP BY user_id, item_id),
+pairs AS (SELECT user_id, item_id, rating,
+                 {_label(hash_bucket_sql(['user_id', 'item_id'], SPLIT_SEED), PAIR_FRACTIONS)} AS split FROM means)"""
+
+
+def _coverage() -> str:
+    """Rows predicted and users ranked do not depend on a point: user and item must have been trained."""
+    points = ", ".join(f"({r}, {i}, {g})" for r in SAMPLED_GRID["ranks"] for i in SAMPLED_GRID["iters"] for g in SAMPLED_GRID["regs"])
+    return f"""WITH {PAIR_SPLIT},
+users AS (SELECT DISTINCT user_id FROM pairs WHERE split = 'train'),
+items AS (SELECT DISTINCT item_id FROM pairs WHERE split = 'train'),
+seen AS (SELECT (SELECT count(*) FROM pairs JOIN users USING (user_id) JOIN items USING (item_id) WHERE split = 'val') AS n_rows,
+                (SELECT count(DISTINCT user_id) FROM pairs JOIN users USING (user_id) WHERE split = 'val') AS n_users)
+SELECT CAST(p.r AS INTEGER) AS rank, CAST(p.i AS INTEGER) AS max_iter, CAST(p.g AS DOUBLE) AS reg, CAST(1 AS DOUBLE) AS alpha,
+       true AS implicit, CAST({TUNE_K} AS INTEGER) AS k, n_rows, n_users
+FROM (VALUES {points}) p(r, i, g) CROSS JOIN seen"""
+
+
+def _rank1() -> str:
+    """Alternating least squares of rank 1 in SQL: from factors of 1, each round
+    sets an item's factor to sum(r u) / (sum(u u) + reg n), then a user's likewise.
+    Factors are 32-bit between the steps, as in Spark."""
+    regs = ", ".join(f"({g})" for g in RANK1_GRID["regs"])
+    out = f"""{SPLIT},
+train AS (SELECT user_id, item_id, rating FROM split WHERE split = 'train'),
+regs AS (SELECT CAST(g AS DOUBLE) AS reg FROM (VALUES {regs}) x(g)),
+u0 AS MATERIALIZED (SELECT DISTINCT user_id, reg, CAST(1 AS FLOAT) AS f FROM train CROSS JOIN regs)"""
+    for n in range(1, max(RANK1_GRID["iters"]) + 1):
+        for own, other, name, given in (("item_id", "user_id", f"i{n}", f"u{n - 1}"), ("user_id", "item_id", f"u{n}", f"i{n}")):
+            out += f""",
+{name} AS MATERIALIZED (
+  SELECT t.{own}, o.reg, CAST(greatest(sum(t.rating * o.f) / (sum(CAST(o.f AS DOUBLE) * o.f) + o.reg * count(*)), 0) AS FLOAT) AS f
+  FROM train t JOIN {given} o USING ({other}) GROUP BY t.{own}, o.reg)"""
+    for kind in ("u", "i"):
+        out += f""",
+{kind} AS ({" UNION ALL ".join(f"SELECT *, {n} AS rounds FROM {kind}{n}" for n in RANK1_GRID["iters"])})"""
+    return out
+
+
+def _rank1_metrics(target: str, k: int) -> str:
+    """Metrics of every point on the rows of ``target``: all users have a
+    positive factor, so their lists are the items by falling factor."""
+    return f""",
+errors AS (SELECT rounds, reg, count(*) AS n_rows, round(sqrt(avg(pow(s.rating - CAST(u.f AS DOUBLE) * i.f, 2))), {D}) AS rmse
+           FROM split s JOIN u USING (user_id) JOIN i USING (item_id, reg, rounds) WHERE s.split = '{target}' GROUP BY rounds, reg),
+listed AS (SELECT * FROM (SELECT item_id, reg, rounds, row_number() OVER (PARTITION BY reg, rounds ORDER BY f DESC, item_id) AS place FROM i)
+           WHERE place <= {k}),
+truth AS (SELECT DISTINCT user_id, item_id FROM split WHERE split = '{target}' AND user_id IN (SELECT user_id FROM train)),
+sizes AS (SELECT user_id, count(*) AS n_truth FROM truth GROUP BY user_id),
+ideal AS (SELECT s.user_id, sum(1.0 / ln(g.i + 1.0)) AS idcg
+          FROM sizes s JOIN range(1, {k + 1}) g(i) ON g.i <= s.n_truth GROUP BY s.user_id),
+hits AS (SELECT user_id, reg, rounds, place, row_number() OVER (PARTITION BY user_id, reg, rounds ORDER BY place) AS hit_no
+         FROM truth JOIN listed USING (item_id)),
+stats AS (SELECT user_id, reg, rounds, count(*) AS n_hits, sum(hit_no / place) AS ap_sum, sum(1.0 / ln(place + 1.0)) AS dcg
+          FROM hits GROUP BY user_id, reg, rounds),
+ranked AS (SELECT p.reg, p.rounds, count(*) AS n_users,
+                  round(avg(coalesce(n_hits, 0) / CAST({k} AS DOUBLE)), {D}) AS precision_at_k,
+                  round(avg(coalesce(ap_sum, 0.0) / n_truth), {D}) AS map, round(avg(coalesce(dcg, 0.0) / idcg), {D}) AS ndcg_at_k
+           FROM sizes JOIN ideal USING (user_id) CROSS JOIN (SELECT DISTINCT reg, rounds FROM i) p
+           LEFT JOIN stats USING (user_id, reg, rounds) GROUP BY p.reg, p.rounds),
+grid AS (SELECT CAST(rounds AS INTEGER) AS max_iter, reg, CAST({k} AS INTEGER) AS k, rmse, precision_at_k, map, ndcg_at_k, n_rows, n_users
+         FROM errors JOIN ranked USING (rounds, reg))"""
+
+
+RANK1 = _rank1()
+RANK1_VAL = RANK1 + _rank1_metrics("val", TOP_N)
+TYPE_OF = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz",
+           "FLOAT[]": "array<float>"}
+
+
+def _schemas() -> str:
+    kinds = " ".join(f"WHEN '{sql}' THEN '{spark}'" for sql, spark in TYPE_OF.items())
     return " UNION ALL ".join(
-        f"SELECT CAST({r} AS INTEGER) AS rank, CAST({i} AS INTEGER) AS max_iter, CAST({g} AS DOUBLE) AS reg, "
-        f"CAST({a} AS DOUBLE) AS alpha, {b} AS implicit, CAST({k} AS INTEGER) AS k" for r, i, g, a, b, k in points)
+        f"""SELECT '{t}' AS "table", CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS "column",
+       CASE column_type {kinds} ELSE column_type END AS type FROM (DESCRIBE {t})""" for t in TABLES)
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -167,6 +238,13 @@ SELECT CAST(least({LAYOUT_FILES}, count(*)) AS BIGINT) AS n_files, count(*) AS n
 SELECT CAST(user_id AS INTEGER) AS userId, CAST(item_id AS INTEGER) AS movieId, rating,
        CAST(epoch(ts) AS INTEGER) AS timestamp FROM rated""",
 
+    "table_schemas": _schemas(),
+
+    "bucketed_counts": f"""WITH {SPLIT},
+t AS (SELECT user_id, count(*) AS n_train, sum(rating) AS sum_train FROM split WHERE split = 'train' GROUP BY user_id)
+SELECT user_id, n_val, n_train, sum_train FROM (SELECT user_id, count(*) AS n_val FROM split WHERE split = 'val' GROUP BY user_id)
+LEFT JOIN t USING (user_id)""",
+
     "row_counts": f"""WITH {SPLIT}
 SELECT 'interactions' AS name, count(*) AS n_rows FROM inter
 UNION ALL SELECT 'rated', count(*) FROM rated
@@ -222,6 +300,9 @@ FROM scored GROUP BY split""",
     "user_item_means": f"""WITH {BASE}
 SELECT user_id, item_id, avg(rating) AS rating FROM rated GROUP BY user_id, item_id""",
 
+    "user_item_maps": f"""WITH {BASE}
+SELECT user_id, item_id, avg(rating) AS rating FROM rated GROUP BY user_id, item_id""",
+
     "user_item_pivot": f"""WITH {BASE},
 listed AS (SELECT item_id, row_number() OVER (ORDER BY count(user_id) DESC, item_id) AS place
            FROM rated GROUP BY item_id)
@@ -254,7 +335,40 @@ SELECT user_id, n AS n_rows, n AS last_rank, CAST(0 AS BIGINT) AS n_seen FROM le
 SELECT split, count(DISTINCT user_id) AS n_users FROM split
 WHERE split <> 'train' AND user_id IN (SELECT user_id FROM split WHERE split = 'train') GROUP BY split""",
 
-    "als_grid_points": _grid_points(),
+    "sliced_list_shape": f"""WITH {SPLIT},
+size AS (SELECT least({TOP_N}, count(DISTINCT item_id)) AS n FROM split WHERE split = 'train')
+SELECT user_id, n AS n_rows, n AS n_items, CAST(1 AS BIGINT) AS first_rank, n AS last_rank, true AS scores_fall
+FROM (SELECT DISTINCT user_id FROM split WHERE split = 'train') CROSS JOIN size""",
+
+    "vector_lists": f"""
+WITH pairs AS (
+  SELECT a.vec_id, b.vec_id AS other_id, list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS score
+  FROM embeddings a CROSS JOIN embeddings b)
+SELECT vec_id, rank, other_id, round(score, 8) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, other_id) AS rank FROM pairs) WHERE rank <= {VECTOR_LIST}""",
+
+    "rank1_factors": f"""WITH {RANK1},
+every AS (SELECT 'user' AS kind, user_id AS id, reg, f FROM u{max(RANK1_GRID["iters"])}
+          UNION ALL SELECT 'item', item_id, reg, f FROM i{max(RANK1_GRID["iters"])})
+SELECT kind, id, {", ".join(f"round(max(CAST(f AS DOUBLE)) FILTER (WHERE reg = {g}), 4) AS f_{n}" for n, g in enumerate(RANK1_GRID["regs"]))}
+FROM every GROUP BY kind, id""",
+
+    "rank1_grid": f"WITH {RANK1_VAL}\nSELECT * FROM grid",
+
+    "rank1_best_rmse": f"WITH {RANK1_VAL}\nSELECT * FROM grid ORDER BY rmse, max_iter, reg LIMIT 1",
+
+    "rank1_best_precision": f"WITH {RANK1_VAL}\nSELECT * FROM grid ORDER BY precision_at_k DESC, max_iter, reg LIMIT 1",
+
+    "rank1_cross_table": f"""WITH {RANK1_VAL}
+SELECT reg, {", ".join(f'max(rmse) FILTER (WHERE max_iter = {i}) AS "{i}"' for i in RANK1_GRID["iters"])} FROM grid GROUP BY reg""",
+
+    "rank1_refit": f"""WITH best AS (WITH {RANK1_VAL}
+SELECT max_iter, reg FROM grid ORDER BY rmse, max_iter, reg LIMIT 1),
+every AS (WITH {RANK1 + _rank1_metrics("test", TEST_K)}
+SELECT * FROM grid)
+SELECT every.* FROM every JOIN best USING (max_iter, reg)""",
+
+    "implicit_grid_coverage": _coverage(),
 
     "mean_grid": f"WITH {MEAN_GRID}\nSELECT damping, k, rmse, precision_at_k FROM grid",
 

@@ -53,6 +53,12 @@ def write_parquet_table(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of the file system that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def write_single_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
                      mode: str = "overwrite") -> None:
     """One CSV part file, for plans bounded by construction (a limit, a grid report)."""
@@ -86,6 +92,35 @@ def schema_report(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "position INT, column STRING, type STRING")
 
 
+def table_schemas(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(table, position, column, type): a parquet table's columns from the
+    footers of all its files.  Spark merges the footers in tasks; files of one
+    table whose types of a column can't be reconciled are an error that names
+    the column."""
+    out = None
+    for name, path in paths.items():
+        report = schema_report(spark.read.option("mergeSchema", "true").parquet(path))
+        report = report.select(F.lit(name).alias("table"), "position", "column", "type")
+        out = report if out is None else out.unionByName(report)
+    return out
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, sort: list[str] | None = None) -> DataFrame:
+    """``df`` as the catalog table ``name`` below ``path``, in ``buckets``
+    buckets of ``key`` with sorted files, read back.
+
+    Joins and aggregations on the key with another table of as many buckets
+    need no exchange.  Rows are exchanged by the key first, so a bucket is one
+    file; a key of a large share of all rows makes its bucket large, so this
+    layout is for keys without such values (or for tables grouped by the key).
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(*(sort or [key])).saveAsTable(name))
+    return spark.table(name)
+
+
 def row_count(frames: dict[str, DataFrame]) -> DataFrame:
     """One (name, n_rows) line per frame, as a single union of global counts."""
     parts = [f.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows")

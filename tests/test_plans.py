@@ -26,6 +26,14 @@ def test_no_cross_products(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
+def test_bucketed_join_needs_no_exchange(spark):
+    from tastemap.plans.catalog import q_bucketed_counts
+    df = q_bucketed_counts(spark, SF_SMALL)
+    df.collect()
+    plan = _plan(df)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") >= 2
+
+
 def test_interaction_scans_are_pruned(spark):
     plan = interactions(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
