@@ -2,10 +2,11 @@
 
 Index: unit vectors are turned by a random rotation, so that every leading
 block of dimensions is a random sample of the distance, and dealt into lists
-by their nearest centroid (spherical k-means fitted on a bounded sample;
-every vector is indexed).  Vectors of each length have lists of their own; the
-sample is one share of all rows, and a length without a sampled row has its
-least vector as its centroid.  A list larger than ``block_rows`` is dealt into
+by their nearest centroid (spherical k-means fitted on a bounded sample of
+different vectors, drawn by the vector, so repeats can't fill it; every vector
+is indexed).  Vectors of each length have lists of their own; the sample is one
+share of all vectors, and a length without a sampled one has its least vector as
+its centroid.  A list larger than ``block_rows`` is dealt into
 several tiles by a hash of the id, so no hot list is one task.
 
 Search: a query probes its ``probe`` share of nearest lists.  Within a tile
@@ -14,7 +15,9 @@ and after each block a hypothesis test drops the candidates whose scaled
 partial distance exceeds the k-th best distance so far by more than the
 factor (1 + epsilon / sqrt(d)) squared, d dimensions having been read.
 Survivors get their exact cosine, in double precision on the original vectors.
-Tiles' bests are merged per query.
+Tiles' bests are merged per query.  A query whose probed lists hold fewer than k
+candidates (where most of them are repeats of its own row, say) is searched
+again in all lists.
 
 The probe share is high since isotropic random vectors, which have no
 clusters, are the hardest case; recall is measured in the tests.
@@ -137,9 +140,10 @@ def nearest(df: DataFrame, k: int = 5, every: int = 50, probe: float = PROBE, sa
         F.count("*").alias("n"), F.min("embedding").alias("least")).orderBy("dim").collect()}     # a row per length
     if not sizes:
         return df.sparkSession.createDataFrame([], out_type)
-    share = min(KEY_LIMIT, -(-KEY_LIMIT * sample_rows // sum(r["n"] for r in sizes.values())))
-    sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(KEY_LIMIT)) < share)
-    sample = sample.select("embedding").toPandas()["embedding"]
+    kinds = rows.agg(F.approx_count_distinct(F.xxhash64("embedding"), 0.02)).first()[0]
+    share = min(KEY_LIMIT, -(-KEY_LIMIT * sample_rows // max(1, kinds)))
+    sample = rows.select("embedding").filter(F.pmod(F.xxhash64("embedding", F.lit("sample")), F.lit(KEY_LIMIT)) < share)
+    sample = sample.distinct().sort("embedding").toPandas()["embedding"]
     lengths, lists, begin = sample.map(len).to_numpy(), {}, 0
     for dim, r in sizes.items():
         fitted = matrix(sample[lengths == dim])
@@ -151,6 +155,7 @@ def nearest(df: DataFrame, k: int = 5, every: int = 50, probe: float = PROBE, sa
 
     def assign(frames):
         for f in frames:
+            f = f.iloc[_first_rows(f)].reset_index(drop=True)     # exact repeats count once; those in one batch go here
             if len(f):
                 f["list"] = 0
                 for at, x, own in by_length(f["embedding"], lists):
@@ -162,21 +167,22 @@ def nearest(df: DataFrame, k: int = 5, every: int = 50, probe: float = PROBE, sa
     for r in indexed.groupBy("list").count().collect():        # at most max_lists rows a length
         tiles[r["list"]] = -(-r["count"] // block_rows)
 
-    def route(frames):
-        for f in frames:
-            for at, x, own in by_length(f["embedding"], lists):
-                near = own.begin + np.argsort(-(x @ own.cent.T), axis=1, kind="stable")[:, :own.probes]
-                spread = [[(li, t) for li in some for t in range(tiles[li])] for some in near.tolist()]
-                at = np.repeat(at, [len(s) for s in spread])
-                pairs = np.array([p for s in spread for p in s])
-                yield pd.DataFrame({"vec_id": f["vec_id"].to_numpy()[at],
-                                    "embedding": f["embedding"].to_numpy()[at],
-                                    "list": pairs[:, 0], "tile": pairs[:, 1]})
+    def route(every_list):
+        def run(frames):
+            for f in frames:
+                for at, x, own in by_length(f["embedding"], lists):
+                    probes = len(own.cent) if every_list else own.probes
+                    near = own.begin + np.argsort(-(x @ own.cent.T), axis=1, kind="stable")[:, :probes]
+                    spread = [[(li, t) for li in some for t in range(tiles[li])] for some in near.tolist()]
+                    at = np.repeat(at, [len(s) for s in spread])
+                    pairs = np.array([p for s in spread for p in s])
+                    yield pd.DataFrame({"vec_id": f["vec_id"].to_numpy()[at],
+                                        "embedding": f["embedding"].to_numpy()[at],
+                                        "list": pairs[:, 0], "tile": pairs[:, 1]})
+        return run
 
     queries = (indexed.filter(F.col("vec_id") % every == 0).groupBy("vec_id", F.size("embedding").alias("dim"))
                .agg(F.min("embedding").alias("embedding")).select("vec_id", "embedding"))
-    wanted = queries.mapInPandas(
-        route, "vec_id long, embedding array<double>, list int, tile int")
     per_list = F.element_at(F.lit(tiles.tolist()), F.col("list") + 1)
     dealt = indexed.withColumn("tile", F.pmod(F.xxhash64("vec_id"), per_list).cast("int"))
 
@@ -193,8 +199,27 @@ def nearest(df: DataFrame, k: int = 5, every: int = 50, probe: float = PROBE, sa
         return pd.concat(out) if out else empty.astype({"query_id": "int64", "vec_id": "int64"})
 
     by = ["list", "tile"]
-    found = dealt.groupBy(*by).cogroup(wanted.groupBy(*by)).applyInPandas(
-        search, "query_id long, vec_id long, score double")
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+
+    def look(asked, every_list):
+        wanted = asked.mapInPandas(route(every_list), "vec_id long, embedding array<double>, list int, tile int")
+        found = dealt.groupBy(*by).cogroup(wanted.groupBy(*by)).applyInPandas(search, "query_id long, vec_id long, score double")
+        best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return (found.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
+
+    found = materialize(look(queries, False), "ann-found")
+    sizes_found = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
+    short = queries.join(sizes_found, F.col("vec_id") == F.col("query_id"), "left_anti")
+    if all(own.probes >= len(own.cent) for own in lists.values()) or short.isEmpty():
+        return found
+    short = materialize(short, "ann-short")
+    again = look(short, True)
+    kept = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*found.columns)
+    return kept.unionByName(again)
+
+
+def _first_rows(f: pd.DataFrame) -> np.ndarray:
+    """Positions of the first of each set of exact repeats (id and vector)."""
+    seen: set = set()
+    return np.array([i for i, key in enumerate(zip(f["vec_id"].tolist(), (v.tobytes() for v in f["embedding"])))
+                     if not (key in seen or seen.add(key))], np.int64)

@@ -93,21 +93,25 @@ def edge_means(score: np.ndarray, lay: Layout, trans: np.ndarray) -> tuple[np.nd
 
 
 def fit(x: np.ndarray, y: np.ndarray, lengths: np.ndarray, rounds: int = 60, l2: float = 1e-3,
-        rate: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
-    """(weights of the features, transition potentials) by gradient ascent on
-    the conditional log-likelihood, with Adam steps."""
-    lay, n = Layout(lengths), len(y)
+        rate: float = 0.3, marks: np.ndarray | None = None, width: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weights of the features, weights of the marks, transition potentials)
+    by gradient ascent on the conditional log-likelihood, with Adam steps.
+    ``marks``: for each token the numbers, below ``width``, of its 0/1 features."""
+    lay, n, dense = Layout(lengths), len(y), x.shape[1]
+    marks = np.empty((n, 0), np.int64) if marks is None else marks
     inner = np.ones(n, bool)
     inner[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
     to = np.flatnonzero(inner)
     seen = np.bincount(2 * y[to - 1] + y[to], minlength=4).reshape(2, 2)
-    theta = np.zeros(x.shape[1] + 4)
+    theta = np.zeros(dense + width + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     positives = max(1, int(y.sum()))
     for k in range(1, rounds + 1):
-        w, trans = theta[:-4], theta[-4:].reshape(2, 2)
-        p, pairs = edge_means(x @ w, lay, trans)
-        grad = np.concatenate([x.T @ (y - p), (seen - pairs).ravel()]) / positives - l2 * theta
+        w, h, trans = theta[:dense], theta[dense:-4], theta[-4:].reshape(2, 2)
+        p, pairs = edge_means(x @ w + h[marks].sum(axis=1), lay, trans)
+        off = y - p
+        told = sum((np.bincount(column, weights=off, minlength=width) for column in marks.T), np.zeros(width))
+        grad = np.concatenate([x.T @ off, told, (seen - pairs).ravel()]) / positives - l2 * theta
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta += rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
-    return theta[:-4], theta[-4:].reshape(2, 2)
+    return theta[:dense], theta[dense:-4], theta[-4:].reshape(2, 2)

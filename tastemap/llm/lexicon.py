@@ -17,7 +17,7 @@ import xxhash
 from tastemap.llm.text import mix64
 
 LONG_RANGE = 512
-BATCH_BYTES = 1 << 19       # of texts handled at once; bounds the arrays of a task
+BATCH_BYTES = 1 << 18       # of texts handled at once; bounds the arrays of a task
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 _CODES = np.random.default_rng(0x5EED).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -28,7 +28,7 @@ _powers: dict = {}
 def _power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = 1 << max(16, (n - 1).bit_length())
+        size = -(-n // 65536) * 65536
         steps = np.full(size, base, np.uint64)
         steps[0] = 1
         _powers[base] = have = np.multiply.accumulate(steps)
@@ -91,7 +91,7 @@ class HashTable:
 
     def _make(self, bits: int) -> None:
         self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
-        self.keys, self.vals = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int64)
+        self.keys, self.vals = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(_BASE)) >> self.shift).astype(np.int64)
@@ -126,7 +126,7 @@ class HashTable:
         if 2 * total > len(self.keys):
             held = self.keys != 0
             old, vals = self.keys[held], self.vals[held]
-            self._make(max(12, (2 * total).bit_length() + 1))
+            self._make(max(12, (2 * total).bit_length()))
             self._put(old, vals)
         self._put(keys, np.arange(self.size, total))
         self.size = total

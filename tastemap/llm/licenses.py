@@ -57,7 +57,8 @@ RULES = (
     ("CC-BY-4.0", ("CCBY4.REF",)),
     ("proprietary", ("RESERVED",)),
 )
-CUES = ("licen", "permission", "copyright", "warranty", "gnu", "redistribut", "software", "creative")
+CUES = ("licen", "permission", "copyright", "warranty", "gnu", "redistribut", "software", "creative", "spdx", "mozilla", "mpl", "cc0",
+        "domain", "zlib", "gpl")
 CC_BY = r"cc[^a-z0-9]+by"           # a cue as well, whatever stands between the words
 SPLIT = r"[.!?]+[\x20\x09-\x0D]+|[\x0A\x0D]+"
 OTHER = r"[^a-z0-9]+"
@@ -89,6 +90,47 @@ def _gpl_references(n: int) -> list[str]:
     return [f"{u}{the}gnu general public {word} {v}" for u in _UNDER for the in ("", "the ") for word in _LICENCE for v in versions]
 
 
+def _references(*names: str) -> list[str]:
+    return [f"{u}{the}{name}" for u in _UNDER for the in ("", "the ") for name in names]
+
+
+def _lesser(name: str, n: str) -> list[str]:
+    """What the header of the GNU LGPL or AGPL of version ``n`` says of the terms."""
+    gnu = f"the gnu {name} general public license"
+    return [f"{_FREE}{gnu}{_BY}{either}version {n}{of}" for either in ("", "either ") for of in ("", " of the license")]
+
+
+# SPDX short identifiers and the licence each stands for (fixed values).
+SPDX = ("MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0",
+        "AGPL-3.0", "MPL-2.0", "ISC", "Zlib", "Unlicense", "BSL-1.0", "EPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+        "0BSD", "PostgreSQL", "WTFPL")
+_GNU = ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+
+
+def _plain(text: str) -> str:
+    return "".join(c if c.isalnum() else " " for c in text.lower())
+
+
+def _spdx() -> dict[str, list[str]]:
+    """Identifier lines: one licence, GNU ones also with -only, -or-later or +;
+    or a choice of two."""
+    lead, out = "spdx license identifier ", {}
+    for name in SPDX:
+        ends = ("", " only", " or later") if name in _GNU else ("",)
+        out[f"SPDX.{name}"] = [lead + _plain(name) + end for end in ends]
+    for a in SPDX:
+        for b in SPDX:
+            if a != b and {a, b} & {"MIT", "Apache-2.0"}:
+                out[f"SPDX.{a} OR {b}"] = [f"{lead}{_plain(a)} or {_plain(b)}"]
+    return out
+
+
+_DUAL = [f"{u}{the}{a}{w1} or {t2}{b}" for u in [*_UNDER, "dual licensed under "] for the in ("", "the ", "either the ", "either ")
+         for a, b in (("mit", "apache 2 0"),) for w1 in ("", " license") for t2 in ("", "the ")]
+_DUAL += [d.replace("apache 2 0", "apache license version 2 0") for d in _DUAL]
+_DUAL += [f"{u}{the}apache {v} or {t2}mit" for u in [*_UNDER, "dual licensed under "] for the in ("", "the ", "either the ", "either ")
+          for v in ("2 0", "license 2 0", "license version 2 0") for t2 in ("", "the ")]
+
 # Canonical sentences and references, with variants, by identifier.
 PHRASES = {
     "MIT.GRANT": [_GRANT, _GRANT.replace("documentation files the software", "documentation the software")],
@@ -124,9 +166,63 @@ PHRASES = {
     "CCBY4.REF": [f"{u}{c}" for u in _UNDER for c in (
         "cc by 4 0", "the cc by 4 0", "a creative commons attribution 4 0", "the creative commons attribution 4 0")],
     "RESERVED": ["all rights reserved under copyright"],
+    "DUAL.MIT-APACHE2": _DUAL,
+    "LGPL3.FREE": _lesser("lesser", "3"),
+    "LGPL21.FREE": _lesser("lesser", "2 1"),
+    "AGPL3.FREE": _lesser("affero", "3"),
+    "LGPL3.REF": _references("gnu lesser general public license version 3", "gnu lesser general public license v3", "lgpl 3 0", "lgpl v3")
+    + ["gnu lesser general public license version 3 29 june 2007"],
+    "LGPL21.REF": _references("gnu lesser general public license version 2 1", "lgpl 2 1", "lgpl v2 1")
+    + ["gnu lesser general public license version 2 1 february 1999"],
+    "AGPL3.REF": _references("gnu affero general public license version 3", "gnu affero general public license v3", "agpl 3 0", "agpl v3")
+    + ["gnu affero general public license version 3 19 november 2007"],
+    # "v. 2.0" ends a sentence after the v, for the scan.
+    "MPL2.FORM": ["this source code form is subject to the terms of the mozilla public license " + v for v in ("v", "version 2 0", "2 0")],
+    "MPL2.COPY": ["if a copy of the mpl was not distributed with this file you can obtain one at"],
+    "MPL2.REF": _references("mozilla public license 2 0", "mozilla public license version 2 0", "mpl 2 0")
+    + ["mozilla public license version 2 0"],
+    "ISC.GRANT": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+                  "provided that the above copyright notice and this permission notice appear in all copies",
+                  "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted "
+                  "provided that the above copyright notice and this permission notice appear in all copies"],
+    "ISC.ASIS": ["the software is provided as is and the author disclaims all warranties with regard to this software including all "
+                 "implied warranties of merchantability and fitness",
+                 "the software is provided as is and isc disclaims all warranties with regard to this software including all "
+                 "implied warranties of merchantability and fitness"],
+    "ISC.REF": _references("isc license", "isc licence"),
+    "0BSD.GRANT": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"],
+    "UNLICENSE.FREE": ["this is free and unencumbered software released into the public domain"],
+    "UNLICENSE.ANYONE": ["anyone is free to copy modify publish use compile sell or distribute this software either in source code form or "
+                         "as a compiled binary for any purpose commercial or non commercial and by any means"],
+    "UNLICENSE.REF": _references("unlicense"),
+    "BSL1.GRANT": ["permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+                   "accompanying documentation covered by this license the software to use reproduce display distribute execute and "
+                   "transmit the software"],
+    "BSL1.REF": _references("boost software license version 1 0", "boost software license 1 0")
+    + ["boost software license version 1 0 august 17th 2003"],
+    "ZLIB.ASIS": ["this software is provided as is without any express or implied warranty"],
+    "ZLIB.GRANT": ["permission is granted to anyone to use this software for any purpose including commercial applications and to alter "
+                   "it and redistribute it freely subject to the following restrictions"],
+    "ZLIB.REF": _references("zlib license"),
+    "EPL2.REF": [f"{made} available under the terms of the eclipse public license {v}" for made in ("made", "are made", "is made")
+                 for v in ("2 0", "v2 0", "version 2 0")] + _references("eclipse public license 2 0", "eclipse public license version 2 0"),
+    "CC0.REF": _references("cc0 1 0", "cc0", "cc0 1 0 universal", "creative commons zero v1 0 universal") + [
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+        "cc0 1 0 universal cc0 1 0 public domain dedication"],
+    "CCBYSA4.REF": [f"{u}{c}" for u in _UNDER for c in (
+        "cc by sa 4 0", "the cc by sa 4 0", "a creative commons attribution sharealike 4 0", "the creative commons attribution sharealike 4 0",
+        "a creative commons attribution share alike 4 0", "the creative commons attribution share alike 4 0")],
+    **_spdx(),
 }
 # Rules of canonical sentences, before those of ``RULES``.
 NOTICES = (
+    ("ISC", ("ISC.GRANT", "ISC.ASIS")),
+    ("MPL-2.0", ("MPL2.FORM", "MPL2.COPY")),
+    ("Unlicense", ("UNLICENSE.FREE", "UNLICENSE.ANYONE")),
+    ("Zlib", ("ZLIB.ASIS", "ZLIB.GRANT")),
+    ("LGPL-3.0", ("LGPL3.FREE", "GPL.NOWARRANTY")),
+    ("LGPL-2.1", ("LGPL21.FREE", "GPL.NOWARRANTY")),
+    ("AGPL-3.0", ("AGPL3.FREE", "GPL.NOWARRANTY")),
     ("GPL-3.0", ("GPL3.FREE", "GPL.NOWARRANTY")),
     ("GPL-2.0", ("GPL2.FREE", "GPL.NOWARRANTY")),
     ("BSD-4-Clause", ("BSD.SOURCE", "BSD.BINARY", "BSD.ADVERT", "BSD.NAME")),
@@ -136,6 +232,28 @@ MORE = (
     ("GPL-3.0", ("GPL3.FREE",)),
     ("GPL-2.0", ("GPL2.FREE",)),
     ("GPL-2.0", ("GPL2.REF",)),
+    ("MIT OR Apache-2.0", ("DUAL.MIT-APACHE2",)),
+    ("LGPL-3.0", ("LGPL3.FREE",)),
+    ("LGPL-2.1", ("LGPL21.FREE",)),
+    ("AGPL-3.0", ("AGPL3.FREE",)),
+    ("LGPL-3.0", ("LGPL3.REF",)),
+    ("LGPL-2.1", ("LGPL21.REF",)),
+    ("AGPL-3.0", ("AGPL3.REF",)),
+    ("MPL-2.0", ("MPL2.FORM",)),
+    ("MPL-2.0", ("MPL2.REF",)),
+    ("ISC", ("ISC.GRANT",)),
+    ("ISC", ("ISC.REF",)),
+    ("0BSD", ("0BSD.GRANT",)),
+    ("Unlicense", ("UNLICENSE.FREE",)),
+    ("Unlicense", ("UNLICENSE.REF",)),
+    ("BSL-1.0", ("BSL1.GRANT",)),
+    ("BSL-1.0", ("BSL1.REF",)),
+    ("Zlib", ("ZLIB.GRANT",)),
+    ("Zlib", ("ZLIB.REF",)),
+    ("EPL-2.0", ("EPL2.REF",)),
+    ("CC0-1.0", ("CC0.REF",)),
+    ("CC-BY-SA-4.0", ("CCBYSA4.REF",)),
+    *((i.removeprefix("SPDX."), (i,)) for i in _spdx()),
 )
 KNOWN = {**SENTENCES, **{phrase: i for i, phrases in PHRASES.items() for phrase in phrases}}
 
@@ -194,10 +312,15 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(sentence_ids(F.col("text")), F.array().cast("array<string>")).alias("ids"))
     left = F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
     rows = rows.withColumn("left", left).withColumn("found", F.array().cast("array<string>"))
-    for name, sequence in (*NOTICES, *RULES, *MORE):
+    single = [(name, sequence) for name, sequence in (*RULES, *MORE) if len(sequence) == 1]
+    for name, sequence in (*NOTICES, *(r for r in (*RULES, *MORE) if len(r[1]) > 1)):
         here = F.col("left").contains(marked(sequence))
         rows = rows.select("doc_id", "ids", F.replace("left", F.lit(marked(sequence)), F.lit("<>")).alias("left"),
                            F.when(here, F.array_append("found", F.lit(name))).otherwise(F.col("found")).alias("found"))
+    # Rules of one identifier consume nothing that another rule needs: one look for all, in their order.
+    rest = F.split("left", "[<>]+")
+    named = [F.when(F.array_contains(rest, sequence[0]), F.lit(name)) for name, sequence in single]
+    rows = rows.select("doc_id", "ids", F.concat("found", F.filter(F.array(*named), lambda x: x.isNotNull())).alias("found"))
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", ",").alias("sentence_ids"),
                        F.array_join(F.array_distinct("found"), ",").alias("licenses"))
 

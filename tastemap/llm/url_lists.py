@@ -6,7 +6,8 @@ where a key is a host or a domain, which also covers its subdomains.  The
 entries of a key become validity intervals [since, until): an ``add`` holds
 until the key's next entry; the latest of several entries at one time counts
 (``remove`` before ``add``).  The as-of join looks a capture's host and its
-parent domains up among the intervals that hold at its fetch time.
+parent domains up among the intervals that hold at its fetch time, to the
+microsecond; a date counts as its midnight.
 
 For the join an interval is dealt over the months it touches and a capture
 belongs to one month, so a key that changes often meets each capture with one
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 
 from tastemap.llm.text import fresh
 
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+# As browsers read it: an optional scheme, two slashes or more of either kind,
+# anything up to the last @ before the path, then the host.
+HOST = r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.-]*:)?[/\\]{2,}(?:[^/\\?#]*@)?(\[[^\]/\\?#]*\]|[^/\\?#:]+)"
 
 
 def host_of(url: Column) -> Column:
@@ -45,9 +48,9 @@ def keys_of(host: Column) -> Column:
 
 def intervals(entries: DataFrame) -> DataFrame:
     """key, since, until (null: still active) from key, action, at."""
-    rows = (entries.select(F.lower("key").alias("key"), F.lower("action").alias("action"), F.col("at").cast("date").alias("at"))
+    rows = (entries.select(F.lower("key").alias("key"), F.lower("action").alias("action"), F.col("at").cast("timestamp").alias("at"))
             .filter(F.col("key").isNotNull() & F.col("at").isNotNull() & F.col("action").isin("add", "remove"))
-            .groupBy("key", "at").agg(F.min("action").alias("action")))        # add wins on one day
+            .groupBy("key", "at").agg(F.min("action").alias("action")))        # add wins at one time
     following = F.lead("at").over(Window.partitionBy("key").orderBy("at"))
     return rows.select("key", F.col("at").alias("since"), following.alias("until"), "action").filter(
         "action = 'add'").drop("action")
@@ -55,23 +58,23 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def filter_captures(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_at") -> DataFrame:
     """All columns of the captures, with blocked and blocked_by."""
-    row, host, day = (fresh(captures, c) for c in ("row", "host", "day"))
-    rows = captures.withColumn(host, host_of(F.col(url))).withColumn(day, F.col(fetched).cast("date"))
-    # Captures of one host and day get one verdict, so each is looked up once.
-    asked = rows.filter(F.col(host).isNotNull() & F.col(day).isNotNull()).select(
-        F.col(host).alias("host"), F.col(day).alias("day")).distinct()
-    last = F.lit(captures.agg(F.max(F.col(fetched).cast("date"))).first()[0]).cast("date")    # the latest capture
+    row, host, time = (fresh(captures, c) for c in ("row", "host", "time"))
+    rows = captures.withColumn(host, host_of(F.col(url))).withColumn(time, F.col(fetched).cast("timestamp"))
+    # Captures of one host and time get one verdict, so each is looked up once.
+    asked = rows.filter(F.col(host).isNotNull() & F.col(time).isNotNull()).select(
+        F.col(host).alias("host"), F.col(time).alias("time")).distinct()
+    last = F.lit(captures.agg(F.max(F.col(fetched).cast("timestamp"))).first()[0]).cast("timestamp")    # the latest capture
     held = intervals(entries).withColumn("last", last)
     month = F.explode(F.sequence(F.trunc("since", "month"),
-                                 F.trunc(F.least(F.coalesce(F.date_sub("until", 1), F.col("last")), F.col("last")), "month"),
+                                 F.trunc(F.least(F.coalesce("until", "last"), "last"), "month"),
                                  F.expr("interval 1 month")))
     held = held.filter("since <= last").select("key", "since", "until", month.alias("month"))
-    looked = asked.select("host", "day", F.trunc("day", "month").alias("month"), F.explode(keys_of(F.col("host"))).alias("key"))
+    looked = asked.select("host", "time", F.trunc("time", "month").alias("month"), F.explode(keys_of(F.col("host"))).alias("key"))
     hits = (looked.join(held, ["key", "month"])
-            .filter((F.col("day") >= F.col("since")) & (F.col("until").isNull() | (F.col("day") < F.col("until"))))
-            .groupBy("host", "day").agg(F.max(F.struct(F.length("key").alias("size"), "key")).alias(row)))
-    hits = hits.select(F.col("host").alias(host), F.col("day").alias(day), F.col(f"{row}.key").alias(row))
-    return rows.join(hits, [host, day], "left").select(
+            .filter((F.col("time") >= F.col("since")) & (F.col("until").isNull() | (F.col("time") < F.col("until"))))
+            .groupBy("host", "time").agg(F.max(F.struct(F.length("key").alias("size"), "key")).alias(row)))
+    hits = hits.select(F.col("host").alias(host), F.col("time").alias(time), F.col(f"{row}.key").alias(row))
+    return rows.join(hits, [host, time], "left").select(
         *[F.col(f"`{c}`") for c in captures.columns if c not in ("blocked", "blocked_by")],
         F.col(row).isNotNull().alias("blocked"), F.col(row).alias("blocked_by"))
 
@@ -126,7 +129,7 @@ SQL = r"""
 WITH p AS (
   SELECT page_id, url,
     DATE '2024-01-01' + (('0x' || substr(md5(concat_ws('|', page_id::VARCHAR, url)), 1, 8))::BIGINT % 366)::INTEGER AS day,
-    nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') AS host
+    nullif(rtrim(lower(regexp_extract(url, '^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.-]*:)?[/\\]{2,}(?:[^/\\?#]*@)?(\[[^\]/\\?#]*\]|[^/\\?#:]+)', 1)), '.'), '') AS host
   FROM pages),
 h AS (SELECT DISTINCT host, string_split(host, '.') AS parts FROM p WHERE host IS NOT NULL),
 k AS (

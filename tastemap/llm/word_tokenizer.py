@@ -19,7 +19,7 @@ import numpy as np
 from tastemap.llm.lexicon import Runs, Words, by_bytes
 from tastemap.llm.text import LETTERS, PUNCT, WHITE
 
-CACHE_PARTS = 800_000       # of the memo, about 100 bytes each
+CACHE_PARTS = 460_000       # of the memo, about 80 bytes each
 LONGEST = 64                # bytes of the letters that go straight to the model
 # Cuts that the tokenizer's normaliser and splitter respect: a plain word
 # before punctuation, white space or the end; else a run without white space.

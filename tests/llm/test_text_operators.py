@@ -314,12 +314,62 @@ def test_toxicity_odd_rows(documents, frame):
     assert all(by[i] == (i % 3 == 0) for i in range(300))
     model = toxicity.fit(documents(rows), labels, F.lit(True))
     spans = toxicity.score(documents([(1, "é bab, VILE bon")]), model, ["doc_id"]).first()["spans"]
-    assert [(s["start"], s["end"]) for s in spans] == [(8, 12)]           # bytes
+    assert [(s["start"], s["end"]) for s in spans] == [(7, 11)]           # code points
     assert toxicity.rate(documents([]), labels).count() == 0
     none = labels.filter("toxic = 0")
     assert toxicity.rate(documents(rows), none).filter("score <> 0").count() == 0
 
 
+def toxic_rows(forms, n=400, seed=3):
+    rng = random.Random(seed)
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in ("ab", "ec", "ig", "on") for c in ("", "ra", "lo")]
+    rows = []
+    for i in range(n):
+        w = rng.choices(words, k=30)
+        if i % 3 == 0:
+            for at in rng.sample(range(30), 3):
+                w[at] = rng.choice(forms)
+        rows.append((i, " ".join(w)))
+    return rows, words
+
+
+def test_toxic_tokens_without_an_entry_of_their_own(documents, frame):
+    rows, words = toxic_rows([f"vile{end}" for end in ("", "st", "ness", "t", "r", "ry", "dom", "ish", "less", "ful", "ing", "d")])
+    labels = frame(doc_id=(pa.int64(), list(range(400))), toxic=(pa.int32(), [int(i % 3 == 0) for i in range(400)]))
+    model = toxicity.fit(documents(rows), labels, F.lit(True))
+    new = toxicity.tokens([b"vilely"]).word_hashes()
+    assert toxicity.HashTable().find(new)[0] < 0 and new[0] not in model.keys                # never met in learning
+    got = toxicity.score(documents([(1, f"{words[0]} vilely {words[1]}"), (2, f"{words[0]} zurano {words[1]}")]), model, ["doc_id"])
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in got.collect()}
+    at = len(words[0]) + 1
+    assert spans == {1: [(at, at + 6)], 2: []}                             # by its spelling; another new word is none
+
+
+def test_toxicity_learns_about_one_text_for_an_id(documents, frame):
+    rows, _ = toxic_rows(["vile", "vilest"])
+    labels = frame(doc_id=(pa.int64(), list(range(400))), toxic=(pa.int32(), [int(i % 3 == 0) for i in range(400)]))
+    hot = [(1, f"other text number {i}") for i in range(3000)] + [(3, rows[3][1])] * 500
+    chosen = labels.withColumn("draw", F.lit(0.0))
+    assert toxicity._row_sample(documents(rows + hot), chosen).count() <= 400 + 5
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.rate(documents(rows), labels).collect()}
+    assert sum(got[i] == (i % 3 == 0) for i in range(400)) >= 396
+    with_hot = toxicity.rate(documents(rows + hot), labels)
+    assert with_hot.count() == len(rows) + len(hot)
+    assert with_hot.filter("doc_id = 1 and predicted = 1").count() == 0
+
+
+def test_marginals_do_not_depend_on_the_batch(documents, frame):
+    rows, _ = toxic_rows(["vile", "vilest"], 200)
+    labels = frame(doc_id=(pa.int64(), list(range(200))), toxic=(pa.int32(), [int(i % 3 == 0) for i in range(200)]))
+    scorer = toxicity.Scorer(toxicity.fit(documents(rows), labels, F.lit(True)))
+    texts = [t.encode() for _, t in rows[:40]] + [b"", "é vile né".encode()]
+    whole, spans = scorer.score(texts)
+    for i, t in enumerate(texts):
+        own, one = scorer.score([t])
+        assert abs(own[0] - whole[i]) < 1e-9 and one[0] == spans[i]
+    assert spans[-1] == [(2, 6)] and spans[-2] == []
+
+
 # --- licences and URL lists ---------------------------------------------------
 
 @pytest.mark.parametrize("name", ["op1_threshold_topk", "op4_temporal_url_filter", "op6_licence_sentences"])
@@ -435,7 +485,7 @@ def test_licence_references_within_sentences(documents):
             "Text released under CC-BY\n4.0, pictures not.": "CC-BY-4.0", "Released under CC BY-NC 4.0 only.": "CC-BY-NC-4.0",
             "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "CC-BY-NC-4.0",
             "It is licensed under CC BY-NC-SA 4.0.": "", "Prereleased under the MIT licenses of old.": "",
-            "Licensed under CC.\nBy 4.0 o'clock.": "", "Licensed under the GNU Lesser General Public License, version 3.": "",
+            "Licensed under CC.\nBy 4.0 o'clock.": "", "Licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
             # Begins like the MIT notice, but is another one.
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and its data, to look at it.": ""}
     got = {r["doc_id"]: r["licenses"] for r in licenses.scan(documents(list(enumerate(told)))).collect()}
@@ -443,6 +493,42 @@ def test_licence_references_within_sentences(documents):
     assert all(any(c in s for c in licenses.CUES) or re.search(licenses.CC_BY, s) for s in licenses.KNOWN)
 
 
+MORE_LICENCES = [
+    ("# SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+    ("/* SPDX-License-Identifier: MIT OR Apache-2.0 */", "MIT OR Apache-2.0"), ("SPDX-License-Identifier: LGPL-3.0-only", "LGPL-3.0"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+     "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n\n"
+     "This library is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+     "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.", "LGPL-2.1"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+     "as published by the Free Software Foundation, either version 3 of the License, or later.", "AGPL-3.0"),
+    ("// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed "
+     "with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+     "that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE "
+     "AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.", "ISC"),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, "
+     "sell, or\ndistribute this software, either in source code form or as a compiled\nbinary, for any purpose, commercial or "
+     "non-commercial, and by any\nmeans.", "Unlicense"),
+    ("This work is licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+    ("Distributed under the Boost Software License, Version 1.0. (See accompanying file.)", "BSL-1.0"),
+    ("Dual-licensed under the MIT or Apache-2.0 license.", "MIT OR Apache-2.0"), ("licensed under the MIT or Apache-2.0 license", "MIT OR Apache-2.0"),
+    ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable.\n\n"
+     "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+     "redistribute it freely, subject to the following restrictions:", "Zlib"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "EPL-2.0"),
+    ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "CC0-1.0"),
+    ("Released under the MIT license. Parts are licensed under the Mozilla Public License 2.0.", "MIT,MPL-2.0"),
+    ("the isc of the mit and a boost of zlib, spdx or not", ""), ("SPDX-License-Identifier: Nothing-1.0", ""),
+]
+
+
+def test_more_licences(documents):
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(documents([(i, t) for i, (t, _) in enumerate(MORE_LICENCES)])).collect()}
+    wrong = [(text, want, got[i]) for i, (text, want) in enumerate(MORE_LICENCES) if got[i] != want]
+    assert not wrong
+
+
 def test_url_lists(frame):
     d = dt.date
     entries = frame(key=(pa.string(), ["Bad.example", "bad.example", "bad.example", "a.bad.example", None, "late.example", "twice.example", "twice.example"]),
@@ -464,3 +550,34 @@ def test_url_lists(frame):
     assert got == sorted((r[0], r[3] is not None, r[3] or "") for r in rows)
     assert url_lists.filter_captures(captures.limit(0), entries).count() == 0
     assert url_lists.filter_captures(captures, entries.limit(0)).filter("blocked").count() == 0
+
+
+def test_url_lists_keep_the_time_of_day(frame):
+    def at(*x):
+        return dt.datetime(*x)
+
+    entries = frame(key=(pa.string(), ["evil.example"] * 4 + ["month.example"]), action=(pa.string(), ["add", "remove", "add", "remove", "add"]),
+                    at=(pa.timestamp("us"), [at(2024, 3, 1, 10), at(2024, 3, 1, 18), at(2024, 4, 1), at(2024, 4, 1, 0, 0, 1), at(2024, 1, 31, 23, 59)]))
+    rows = [(1, "evil", at(2024, 3, 1, 8), False), (2, "evil", at(2024, 3, 1, 12), True), (3, "evil", at(2024, 3, 1, 20), False),
+            (4, "evil", at(2024, 3, 1, 10), True), (5, "evil", at(2024, 3, 1, 18), False), (6, "evil", at(2024, 3, 31, 23, 59, 59), False),
+            (7, "evil", at(2024, 4, 1), True), (8, "evil", at(2024, 4, 1, 0, 0, 1), False), (9, "month", at(2024, 1, 31, 23, 58), False),
+            (10, "month", at(2024, 2, 1), True), (11, "month", at(2025, 2, 1), True)]
+    captures = frame(page_id=(pa.int64(), [r[0] for r in rows]), url=(pa.string(), [f"http://{r[1]}.example/" for r in rows]),
+                     fetched_at=(pa.timestamp("us"), [r[2] for r in rows]))
+    got = {r["page_id"]: r["blocked"] for r in url_lists.filter_captures(captures, entries).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+
+
+HOSTS = {
+    "http://a@b@evil.example/": "evil.example", "http:\\\\evil.example\\x": "evil.example",
+    "http://evil.example\\@good.example/": "evil.example", "//evil.example/x": "evil.example", "https://u:p@Evil.Example:80": "evil.example",
+    " http://evil.example": "evil.example", "http:///evil.example": "evil.example", "http://good.example/@evil.example": "good.example",
+    "http://good.example?@evil.example": "good.example", "http://good.example#@evil.example": "good.example",
+    "http://[::1]:80/": "[::1]", "http://evil.example.": "evil.example", "evil.example": None, "mailto:a@evil.example": None, "": None, "http://": None,
+}
+
+
+def test_hosts_as_browsers_read_them(frame):
+    table = frame(url=(pa.string(), list(HOSTS)))
+    got = {r["url"]: r["host"] for r in table.select("url", url_lists.host_of(F.col("url")).alias("host")).collect()}
+    assert got == HOSTS

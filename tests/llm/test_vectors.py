@@ -148,3 +148,24 @@ def test_centroids_and_rotation():
     assert np.allclose(q @ q.T, np.eye(8))
     c = ann.fit_lists(ann.unit(np.random.default_rng(0).standard_normal((200, 8))), 10)
     assert c.shape == (10, 8) and np.allclose((c * c).sum(axis=1), 1)
+
+
+@pytest.mark.parametrize("others", [10, 40, 100])
+def test_ann_finds_all_it_can_beside_many_repeats(vectors, others):
+    rng = np.random.default_rng(others)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(1, others + 1) if i != 50]
+    hot = rng.standard_normal(8).tolist()
+    found = got(ann.nearest(vectors(rows + [(50, hot)] * 1500)))            # the probe share of production
+    plain = {q: v for q, v in brute_cosine(rows + [(50, hot)], 5, 50).items()}
+    assert found.keys() == plain.keys() and all(len(found[q]) == min(5, others - 1 + (others < 50)) for q in found)
+    if others <= 40:
+        assert [i for i, _ in found[50]] == [i for i, _ in plain[50]]
+
+
+def test_ann_hot_vector_under_many_ids(vectors):
+    rng = np.random.default_rng(3)
+    hot = rng.standard_normal(8).tolist()
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(300)] + [(i, hot) for i in range(1000, 2000)]
+    found = got(ann.nearest(vectors(rows)))
+    assert all(len(v) == 5 for v in found.values()) and len(found) == 6 + 20
+    assert [i for i, _ in found[1000]] == [1001, 1002, 1003, 1004, 1005]
