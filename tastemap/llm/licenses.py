@@ -58,7 +58,7 @@ RULES = (
     ("proprietary", ("RESERVED",)),
 )
 CUES = ("licen", "permission", "copyright", "warranty", "gnu", "redistribut", "software", "creative", "spdx", "mozilla", "mpl", "cc0",
-        "domain", "zlib", "gpl")
+        "domain", "zlib", "gpl", "apache")
 CC_BY = r"cc[^a-z0-9]+by"           # a cue as well, whatever stands between the words
 SPLIT = r"[.!?]+[\x20\x09-\x0D]+|[\x0A\x0D]+"
 OTHER = r"[^a-z0-9]+"

@@ -10,8 +10,8 @@ either label:
    Clearness serves for these labels alone; the field never sees it.
 3. The field sees a token's weight and its neighbours' weights; of a word without
    a weight it sees the spelling (first and last letters and length, as hashed
-   marks).  In training a quarter of the word types hide their own weight, so
-   that spelling and context learn to stand in for it.  Weights and transitions
+   marks).  In training one of 16 tokens hides its own weight, so that
+   spelling and context learn to stand in for it.  Weights and transitions
    are fitted to the labelled tokens by gradient ascent on the conditional
    likelihood.
 4. Documents' expected numbers of toxic tokens, from the forward-backward
@@ -229,8 +229,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample_docs: int = SA
                 hashes = words.word_hashes() if len(words.start) else np.empty(0, np.uint64)
                 sure = np.isin(hashes, clear_keys)
                 marks = spelling(words, np.arange(len(hashes))).astype("<u2")
-                # A quarter of the word types, told by their hash, hide their own weight.
-                hidden = mix64(hashes) & np.uint64(3) == 0
+                # One of 16 tokens, told by their word and the one before, hide their own weight.
+                before = np.concatenate([np.zeros(1, np.uint64), hashes])[:-1]
+                hidden = mix64(hashes ^ (before * np.uint64(0x9E3779B97F4A7C15))) & np.uint64(15) == 0
                 cut = np.cumsum(words.counts)[:-1]
                 parts = [[v.tobytes() for v in np.split(column, cut)] for column in
                          (scorer.lookup(hashes).astype("<f4"), sure, hidden, marks)]
