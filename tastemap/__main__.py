@@ -5,7 +5,7 @@
     python -m tastemap tune       --splits SPLITS [--ranks 20] [--iters 5 10] [--regs 0.1] [--k 100]
     python -m tastemap evaluate   --splits SPLITS [--rank 20 --iters 10 --reg 0.1] [--export DIR]
     python -m tastemap factors    --splits SPLITS --out DIR [--rank 20 --iters 5 --reg 0.01 --alpha 0.1]
-    python -m tastemap sampled    --splits SPLITS --work DIR [--fraction 0.125] [--partitions 2000]
+    python -m tastemap sampled    --splits SPLITS --work DIR [--fraction 0.125] [--partitions 2000] [--resume]
 
 Metric tables are printed as JSON lines (they have a handful of rows).  On a
 cluster, pass ``--master`` as the cluster's and set ``spark.checkpoint.dir``
@@ -73,6 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--work", required=True)
     p.add_argument("--fraction", type=float, default=params.SAMPLE_FRACTION)
     p.add_argument("--partitions", type=int, default=params.LAYOUT_PARTITIONS)
+    p.add_argument("--resume", action="store_true", help="keep the grid points that a stopped run has written")
 
     args = parser.parse_args(argv)
     spark = build_session(master=args.master, shuffle_partitions=args.shuffle_partitions)
@@ -98,7 +99,8 @@ def main(argv: list[str] | None = None) -> None:
                                 args.reg, args.alpha)
             print(json.dumps({"factors": args.out}))
         elif args.stage == "sampled":
-            out = jobs.sampled_comparison(spark, args.splits, args.work, args.fraction, args.partitions)
+            out = jobs.sampled_comparison(spark, args.splits, args.work, args.fraction, args.partitions,
+                                          resume=args.resume)
             for name in ("grid", "best", "refit", "cross_table"):
                 _print(out[name])
     finally:

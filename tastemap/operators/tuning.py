@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tastemap.operators import als as als_ops
 from tastemap.operators import block_als, top_n
 from tastemap.operators.ranking import METRIC_DIGITS, per_user_metrics, ranking_metrics, rmse, truth_sets, truth_sizes
+from tastemap.session import scratch_scope
 from tastemap.sources.files import materialize, path_exists, read_parquet_table
 
 GRID_SCHEMA = ("rank INT, max_iter INT, reg DOUBLE, alpha DOUBLE, implicit BOOLEAN, k INT, "
@@ -137,7 +138,8 @@ def run_shared_grid(train: DataFrame, valid: DataFrame, points: list[GridPoint],
     todo = [p for p in points if (p.rank, p.max_iter, float(p.reg), float(p.alpha), p.implicit, k) not in done]
     rows: list[dict] = []
     for batch in batches(todo, width):
-        ready = evaluate_batch(train, valid, batch, k, user, item, rating)
+        with scratch_scope(spark):                       # layouts, factors and lists go with the batch
+            ready = evaluate_batch(train, valid, batch, k, user, item, rating)
         rows += ready
         if path:
             metrics_frame(spark, ready, SHARED_GRID_SCHEMA).coalesce(1).write.mode("append").parquet(path)

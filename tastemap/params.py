@@ -39,9 +39,10 @@ TEST_K = 10
 
 # Our own choices, not taken from the original workflow.
 ALS_SEED = 42  # fixed so fits repeat
-# Blocks of the factor tables.  Fixed, since the fitted model depends on it: the
-# same data and seed must give the same lists on any number of cores.
-ALS_BLOCKS = 10
+# Blocks of the built-in estimator's factor tables: one for so many ratings, and
+# at least so many.  Set by the data alone, since the fitted model depends on
+# them: the same ratings and seed give the same lists on any number of cores.
+ALS_BLOCK_RATINGS, ALS_LEAST_BLOCKS = 2_000_000, 4
 # A grid of rank 1, whose rounds SQL can state: regularisations and numbers of rounds.
 RANK1_GRID = dict(ranks=(1,), iters=(1, 2, 4), regs=(0.01, 0.1, 1.0, 2.0))
 BUCKETS = 16  # of the registered bucketed layout

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tastemap.functions.vectors import spread_vector
 from tastemap.operators import als as als_ops
-from tastemap.operators import block_als, top_n, tuning
+from tastemap.operators import block_als, ids, top_n, tuning
 from tastemap.operators.matrix import dense_pivot, from_sparse_rows, mean_ratings, sparse_rows
 from tastemap.operators.popularity import PopularityRecommender, popularity_scores, top_items
 from tastemap.operators.prep import (active_users, copy_column, drop_null_rows, hash_sample,
@@ -286,6 +286,14 @@ def q_user_item_pivot(spark, sf):
     return wide.select("user_id", *named, *absent)
 
 
+def q_dense_ids(spark, sf):
+    """Ratings with users and items numbered from 0, for estimators that hold ids as INT."""
+    rows = materialize(rated(spark, sf).select("user_id", "item_id", "rating"), "rated")
+    for column in ("user_id", "item_id"):
+        rows = ids.encode(rows, ids.id_table(rows, column), column)
+    return rows
+
+
 def q_user_item_maps(spark, sf):
     """The matrix stored by rows in bounded chunks, and opened again."""
     rows = materialize(sparse_rows(rated(spark, sf), most=ROW_CHUNK), "sparse-rows")
@@ -573,6 +581,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "popularity_metrics": q_popularity_metrics,
     "item_mean_rmse": q_item_mean_rmse,
     "user_item_means": q_user_item_means,
+    "dense_ids": q_dense_ids,
     "user_item_maps": q_user_item_maps,
     "user_item_pivot": q_user_item_pivot,
     "vector_columns": q_vector_columns,

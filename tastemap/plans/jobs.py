@@ -19,10 +19,10 @@ from tastemap.operators.ranking import ranking_metrics, rmse, summarize
 from tastemap.operators.split import SPLIT_SEED, interaction_split, train_val_test
 from tastemap.params import (FINAL_ALS, IMPLICIT_ALS, LAYOUT_PARTITIONS, SAMPLE_FRACTION, SAMPLED_GRID, TEST_K,
                              TOP_N, TUNE_K)
-from tastemap.session import release_held, scratch_scope
+from tastemap.session import delete_path, release_held, scratch_scope
 from tastemap.sources.files import (materialize, read_csv_table, read_parquet_table, repartition_layout,
                                     write_csv_parts,
-                                    write_parquet_table, write_single_csv, write_single_parquet)
+                                    write_parquet_table, write_single_csv)
 from tastemap.sources.interactions import interactions
 
 
@@ -118,11 +118,13 @@ def latent_factors(splits: dict[str, DataFrame], out_dir: str, rank: int = IMPLI
 def sampled_comparison(spark: SparkSession, splits_path: str, work_dir: str,
                        fraction: float = SAMPLE_FRACTION, partitions: int = LAYOUT_PARTITIONS,
                        points: list[tuning.GridPoint] | None = None,
-                       k_tune: int = TUNE_K, k_test: int = TEST_K) -> dict[str, DataFrame]:
+                       k_tune: int = TUNE_K, k_test: int = TEST_K, resume: bool = False) -> dict[str, DataFrame]:
     """Stage E: sample each split, lay it out, concatenate, average per pair,
-    split the pairs 20/40/40, tune implicit ALS by precision@k_tune (grid
-    written as one parquet file), refit the best point and score
-    precision@k_test on the test pairs."""
+    split the pairs 20/40/40, tune implicit ALS by precision@k_tune, refit the
+    best point and score precision@k_test on the test pairs.  The grid's points
+    are fitted over one layout and its rows appended to ``work_dir``/grid as they
+    get ready; with ``resume``, for a run of the same splits that was stopped,
+    the points already there are kept."""
     splits = read_splits(spark, splits_path)
     keys = ["user_id", "item_id", "ok", "ln"]
     sampled = {}
@@ -138,11 +140,12 @@ def sampled_comparison(spark: SparkSession, splits_path: str, work_dir: str,
     pairs = spark.read.parquet(path)
     pair_splits = {name: pairs.filter(F.col("split") == name).drop("split") for name in ("train", "val", "test")}
     points = points or tuning.grid(implicit=True, **SAMPLED_GRID)
-    grid, best = tune_als(pair_splits, points, k_tune, "precision_at_k", lowest=False)
-    write_single_parquet(grid, f"{work_dir}/grid")  # one row per grid point: a bounded report
+    if not resume:
+        delete_path(spark, f"{work_dir}/grid")
+    grid = tuning.run_shared_grid(pair_splits["train"], pair_splits["val"], points, k_tune, f"{work_dir}/grid")
+    best = tuning.best_params(grid, "precision_at_k", lowest=False)
     b = best.first()
     point = tuning.GridPoint(b["rank"], b["max_iter"], b["reg"], b["alpha"], True)
-    refit = tuning.evaluate_point(pair_splits["train"], pair_splits["test"], point, k_test)
-    refit_df = tuning.metrics_frame(spark, [refit])
+    refit_df = tuning.run_shared_grid(pair_splits["train"], pair_splits["test"], [point], k_test)
     return {"grid": grid, "best": best, "refit": refit_df,
             "cross_table": tuning.cross_table(grid, "reg", "rank", "precision_at_k")}

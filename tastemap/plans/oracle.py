@@ -300,6 +300,9 @@ FROM scored GROUP BY split""",
     "user_item_means": f"""WITH {BASE}
 SELECT user_id, item_id, avg(rating) AS rating FROM rated GROUP BY user_id, item_id""",
 
+    "dense_ids": f"""WITH {BASE}
+SELECT dense_rank() OVER (ORDER BY user_id) - 1 AS user_id, dense_rank() OVER (ORDER BY item_id) - 1 AS item_id, rating FROM rated""",
+
     "user_item_maps": f"""WITH {BASE}
 SELECT user_id, item_id, avg(rating) AS rating FROM rated GROUP BY user_id, item_id""",
 
