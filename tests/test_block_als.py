@@ -265,3 +265,57 @@ def test_batches_hold_points_of_one_kind():
     for b in cut:
         assert len({p.implicit for p in b}) == 1 and sum({(p.rank, p.reg): p.rank for p in b}.values()) <= 15
     assert len(tuning.batches(tuning.grid((50,), (1,), (0.1,)), 15)) == 1   # wider than a batch: alone
+
+
+# --- lists at size ------------------------------------------------------------------
+
+@pytest.mark.parametrize("slice_items", [4, 64])
+def test_tables_written_do_not_grow_with_the_slices(spark, monkeypatch, slice_items):
+    rng = np.random.default_rng(8)
+    users, items = {i: rng.normal(size=3) for i in range(10)}, {i: rng.normal(size=3) for i in range(64)}
+    written, whole = [], top_n.materialize
+    monkeypatch.setattr(top_n, "materialize", lambda df, name: written.append(name) or whole(df, name))
+    tiles = top_n.top_lists(*(top_n.packed_vectors(vectors(spark, s)) for s in (users, items)), 5, [3], slice_items=slice_items)
+    assert as_lists(top_n.explode_lists(tiles, [3], 5).drop("point")) == plain_lists(users, items, 5)
+    assert len(written) <= 3                                                # a table of lists for each round before
+
+
+def test_all_users_are_not_crossed_with_all_items(spark):
+    model = als_ops.fit_als(spark.createDataFrame(ratings_of(40, 30, 10), KIND), rank=2, max_iter=1)
+    plan = als_ops.recommend(model, 5)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Join Cross" not in plan
+
+
+def test_hits_found_in_the_search_equal_those_of_stored_lists(spark):
+    rng = np.random.default_rng(9)
+    users, items = {i: rng.normal(size=5) for i in range(40)}, {2 ** 40 + i: rng.normal(size=5) for i in range(90)}
+    truth = spark.createDataFrame([(u, i) for u in range(45) for i in items if (u + i) % 3 == 0], "user_id LONG, item_id LONG")
+    a, b = (top_n.packed_vectors(vectors(spark, s)) for s in (users, items))
+    tiles = top_n.top_lists(a, b, 7, [2, 3], tile_users=15)
+    want = sorted(tuple(r) for r in top_n.list_hits(tiles, truth, [2, 3], 7).collect())
+    assert want and sorted(tuple(r) for r in top_n.top_hits(a, b, truth, 7, [2, 3]).collect()) == want
+
+
+@pytest.mark.parametrize("kind", ["plain", "copies", "outlier", "huge", "tiny"])
+def test_pool_is_exact_and_bounded(monkeypatch, kind):
+    monkeypatch.setattr(top_n, "FEWEST_OFFERS", 1 << 10)
+    monkeypatch.setattr(top_n, "EPOCH_BYTES", 1 << 14)
+    rng = np.random.default_rng(10)
+    x, y = rng.normal(size=(30, 8)), rng.normal(size=(6000, 8))
+    if kind == "copies":
+        y = np.repeat(y[:3], 2000, axis=0)                                  # every score comes two thousand times
+    if kind == "outlier":
+        y[17] *= 1e7                                                        # its rounding error is above all other scores
+    x, y = (x * 1e18, y * 1e19) if kind == "huge" else (x * 1e-30, y * 1e-10) if kind == "tiny" else (x, y)
+    x, y, ids = x.astype("<f4"), y.astype("<f4"), rng.permutation(len(y)).astype(np.int64)
+    order = np.lexsort((ids, -top_n.norms_of(y)))
+    pool, most = top_n.Pool(np.arange(30).tobytes(), x.tobytes(), 8, 10), 0
+    for lo in range(0, len(y), 500):
+        pool.meet(ids[order[lo:lo + 500]], y[order[lo:lo + 500]])
+        most = max(most, len(pool.pool[0]))
+    items, scores = pool.lists()
+    exact = x.astype(float) @ y.astype(float).T
+    for u in range(30):
+        want = np.lexsort((ids, -exact[u]))[:10]
+        assert items[u].tolist() == ids[want].tolist() and np.allclose(scores[u], exact[u][want], rtol=1e-9)
+    assert most <= 2 * (1 << 10)
