@@ -319,3 +319,11 @@ def test_pool_is_exact_and_bounded(monkeypatch, kind):
         want = np.lexsort((ids, -exact[u]))[:10]
         assert items[u].tolist() == ids[want].tolist() and np.allclose(scores[u], exact[u][want], rtol=1e-9)
     assert most <= 2 * (1 << 10)
+
+
+def test_recommended_lists_equal_the_estimators_call(spark):
+    model = als_ops.fit_als(spark.createDataFrame(ratings_of(40, 30, 10), KIND), rank=3, max_iter=2)
+    own = model.recommendForAllUsers(8).select("user_id", F.posexplode("recommendations").alias("at", "of")).select(
+        F.col("user_id").cast("long"), (F.col("at") + 1).cast("long").alias("rank"), F.col("of.rating").alias("score")).toPandas()
+    both = als_ops.recommend(model, 8).toPandas().merge(own, on=["user_id", "rank"])
+    assert len(both) == len(own) == 40 * 8 and np.allclose(both.score_x, both.score_y, atol=1e-5)
