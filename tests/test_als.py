@@ -129,3 +129,9 @@ def test_factors_solve_the_normal_equations(planted, alpha):
     back = [(i, u, r) for u, i, r in pairs]
     # The side solved last holds its equations exactly.
     assert min(_residual(pairs, users, items, 0.1, alpha), _residual(back, items, users, 0.1, alpha)) < 1e-3
+
+
+@pytest.mark.parametrize("millions,blocks", [(1, 4), (27, 4), (160, 4), (1000, 20)])
+def test_blocks_do_not_multiply_the_messages(millions, blocks):
+    """Each half iteration sends an id to nearly every block: 14 and 80 of them before."""
+    assert als_ops.blocks_for(millions * 1_000_000) == blocks
