@@ -327,3 +327,46 @@ def test_recommended_lists_equal_the_estimators_call(spark):
         F.col("user_id").cast("long"), (F.col("at") + 1).cast("long").alias("rank"), F.col("of.rating").alias("score")).toPandas()
     both = als_ops.recommend(model, 8).toPandas().merge(own, on=["user_id", "rank"])
     assert len(both) == len(own) == 40 * 8 and np.allclose(both.score_x, both.score_y, atol=1e-5)
+
+
+@pytest.mark.parametrize("point", [P(12, 0.01, True), P(12, 0.3, True, 0.5), P(12, 0.0, True), P(12, 0.1, True, 0.0)])
+def test_few_ratings_are_solved_in_their_own_space(spark, monkeypatch, point):
+    rng = np.random.default_rng(11)
+    rows = [(u, int(i), float(r)) for u in range(60) for i, r in zip(rng.integers(0, 40, 1 + u % 14), rng.integers(-1, 6, 20))]
+    rows += [(100, 3, -2.0), (100, 4, 0.0)]                                 # no positive rating: factors of zero
+    widths, whole = [], np.linalg.solve
+    monkeypatch.setattr(np.linalg, "solve", lambda a, b: widths.append(a.shape[-1]) or whole(a, b))
+    y = rng.normal(size=(40, 12))
+    met, rating = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    starts = np.unique([r[0] for r in rows], return_index=True)[1]
+    k, n = np.diff(np.append(starts, len(rows))), np.add.reduceat(rating > 0, starts, dtype=np.int64)
+    gram = y.T @ y
+    taken = block_als.few(n, k, *block_als.spectrum(gram, point)[:1], point)
+    assert taken.tolist() == (k < 12).tolist()                              # this gram matrix is far from singular
+    a, b, _ = block_als.equations(y[met], rating, starts, point)
+    want = block_als.solve(a, b, n, gram, point)
+    widths.clear()
+    got = block_als.solve_few(y[met], rating, starts, k, n, *block_als.spectrum(gram, point), point)
+    assert np.allclose(got, want, rtol=1e-8, atol=1e-10) and not got[-1].any()
+    assert sorted(widths) == sorted(set(k[n > 0].tolist()))                 # before: all as wide as the factors
+    flat = np.zeros((12, 12))
+    assert not block_als.few(np.array([3]), np.array([3]), np.linalg.eigvalsh(flat + np.diag([1.0] + [0] * 11)), P(12, 0.0, True)).any()
+
+
+
+def test_first_pass_scores_few_items_of_a_large_slice(spark):
+    rng = np.random.default_rng(12)
+    users, items = {i: rng.normal(size=5) for i in range(20)}, {i: rng.normal(size=5) for i in range(500)}
+    a, b = (top_n.packed_vectors(vectors(spark, s)) for s in (users, items))
+    slices = top_n.cut_slices(b, [2, 3], 400)
+    first = {r["point"]: r for r in top_n.top_slices(slices, 6).collect()}
+    for point, s in enumerate((slice(0, 2), slice(2, 5))):
+        x = np.stack([items[i][s] for i in range(500)]).astype("<f4")
+        got = np.frombuffer(first[point]["top_ids"], np.int64)                  # 400 or more before
+        assert got.tolist() == np.lexsort((np.arange(500), -top_n.norms_of(x)))[:top_n.FIRST_ITEMS * 6].tolist()
+        assert np.array_equal(np.frombuffer(first[point]["top_vecs"], "<f4").reshape(len(got), -1), x[got])
+    tiles = top_n.top_lists(a, b, 6, [2, 3], slices=slices, tile_users=7)
+    lists = top_n.explode_lists(tiles, [2, 3], 6)
+    for point, s in enumerate((slice(0, 2), slice(2, 5))):
+        want = plain_lists({u: v[s] for u, v in users.items()}, {i: v[s] for i, v in items.items()}, 6)
+        assert as_lists(lists.filter(F.col("point") == point).drop("point")) == want
