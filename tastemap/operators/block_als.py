@@ -2,11 +2,11 @@
 
 The ratings are laid out once for each side: blocks of about ``per_block``
 ratings, each stored as one row of arrays (ids, where each id's ratings start,
-the other side's ids, values), beside a table of which block needs which id of
+the other side's ids, values), beside a table of which blocks need each id of
 the other side.  A half step ships the other side's factor rows to the blocks
-that need them and solves every id's normal equations there, for all points at
-once: a factor row holds the factors of all points, one after the other, so a
-grid of points costs the shuffles of one fit.
+that need them, many in one row, and solves every id's normal equations there,
+for all points at once: a factor row holds the factors of all points, one after
+the other, so a grid of points costs the shuffles of one fit.
 
 Hot ids: an id of more than ``per_id`` ratings is dealt over many blocks.  Each
 of them emits partial normal equations; these are added up in groups of
@@ -43,6 +43,7 @@ from tastemap.sources.files import materialize
 
 BLOCK_BYTES = 48 << 20      # of shipped factors that a block receives, at most about
 FEWEST, MOST = 1024, 131_072    # ratings of a block
+SHIP_BYTES = 16 << 20       # of factors dealt to blocks at once
 FAN = 16                    # partial equations added up in one group
 OUTER = 16                  # ranks up to this are built from outer products at once
 CHUNK_CELLS = 4 << 20       # numbers held by a batch of equations
@@ -71,7 +72,7 @@ class Layout(NamedTuple):
     """Ratings by the blocks of one side."""
 
     blocks: DataFrame       # block, ids, starts, others, ratings, hot (binary arrays)
-    needs: DataFrame        # block, other: the other side's ids that a block meets
+    needs: DataFrame        # other, blocks: the blocks that meet an id of the other side
     ids: DataFrame          # id, n: every id of this side
     hot_parts: int          # blocks that a hot id may lie in; 0 without hot ids
 
@@ -111,14 +112,49 @@ def lay_out(ratings: DataFrame, own: str, other: str, rating: str, per_block: in
 
 
 def needed(blocks: DataFrame, column: str) -> DataFrame:
-    """block, other: the distinct ids in a column of the blocks."""
+    """other, blocks: for the ids in a column of the blocks, the blocks that hold them, each once."""
     def run(frames):
         for f in frames:
             for block, data in zip(f["block"], f[column]):
                 some = np.unique(np.frombuffer(data, np.int64))
                 yield pd.DataFrame({"block": np.full(len(some), block, np.int32), "other": some})
 
-    return materialize(blocks.select("block", column).mapInPandas(run, "block int, other long"), "als-needs")
+    pairs = blocks.select("block", column).mapInPandas(run, "block int, other long")
+    return materialize(pairs.groupBy("other").agg(F.sort_array(F.collect_list("block")).alias("blocks")), "als-needs")
+
+
+def shipments(needs: DataFrame, factors: DataFrame, width: int) -> DataFrame:
+    """block, others, vecs: the factor rows (id, vec) that each block needs, many in a row."""
+    most = max(1, SHIP_BYTES // (4 * width))                   # pairs of a block and an id at once
+
+    def run(frames):
+        for f in frames:
+            ids, x = f["other"].to_numpy(np.int64), factor_matrix(f["vec"], width)
+            ends = np.cumsum([len(b) for b in f["blocks"]])
+            for lo in range(0, int(ends[-1]) if len(ends) else 0, most):
+                first, last = np.searchsorted(ends, [lo, min(lo + most, ends[-1]) - 1], "right")
+                own, start = np.concatenate(f["blocks"].iloc[first:last + 1].to_list()), ends[first] - len(f["blocks"].iloc[first])
+                row = np.repeat(np.arange(first, last + 1), np.diff(ends[first:last + 1], prepend=start))
+                own, row = own[lo - start:lo - start + most], row[lo - start:lo - start + most]
+                order = np.lexsort((ids[row], own))
+                own, row = own[order], row[order]
+                cuts = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own)).tolist()
+                yield pd.DataFrame({"block": own[cuts[:-1]].astype(np.int32), "others": [planes(ids[row[i:j]]) for i, j in zip(cuts, cuts[1:])],
+                                    "vecs": [planes(x[row[i:j]]) for i, j in zip(cuts, cuts[1:])]})
+
+    met = needs.join(factors.withColumnRenamed("id", "other"), "other").select("other", "blocks", "vec")
+    return met.mapInPandas(run, "block int, others binary, vecs binary")
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Numbers by their first bytes, then their second ones, and so on, which shuffles compress better."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def unplaned(data: list[bytes], kind: type) -> np.ndarray:
+    """The numbers of ``planes``, one after the other."""
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(np.frombuffer(b, np.uint8).reshape(size, -1).T.tobytes() for b in data), kind)
 
 
 def first_factors(ids: DataFrame, points: list[Point], seed: int = ALS_SEED) -> DataFrame:
@@ -287,10 +323,10 @@ def half_step(layout: Layout, factors: DataFrame, points: list[Point]) -> DataFr
         row = block.iloc[0]
         ids, starts = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["starts"], np.int64)
         rating, hot = np.frombuffer(row["ratings"]), np.frombuffer(row["hot"], bool)
-        known = shipped["other"].to_numpy(np.int64)
+        known = unplaned(shipped["others"], np.int64)
         order = np.argsort(known)
         met = order[np.searchsorted(known[order], np.frombuffer(row["others"], np.int64))]
-        x, solved, parts = factor_matrix(shipped["vec"], width), [], []
+        x, solved, parts = unplaned(shipped["vecs"], np.float32).reshape(-1, width), [], []
         ends = np.append(starts[1:], len(rating))
         k, positive = ends - starts, np.add.reduceat(rating > 0, starts, dtype=np.int64)
         for p, s, g, known_as in zip(points, at, gram, spectra):
@@ -317,7 +353,7 @@ def half_step(layout: Layout, factors: DataFrame, points: list[Point]) -> DataFr
         return pd.DataFrame({"id": ids, "block": key[0], "vec": [None if i in by_id else v for i, v in enumerate(vec)],
                              "part": [np.concatenate(by_id[i]).tobytes() if i in by_id else None for i in range(len(ids))]})
 
-    shipped = layout.needs.join(factors.withColumnRenamed("id", "other"), "other")
+    shipped = shipments(layout.needs, factors, width)
     stepped = layout.blocks.groupBy("block").cogroup(shipped.groupBy("block")).applyInPandas(
         run, "id long, block int, vec binary, part binary")
     stepped = materialize(stepped, "als-factors")
@@ -389,8 +425,8 @@ def squared_errors(model: Fit, rows: DataFrame, user: str = "user_id", item: str
     rows whose user and item were trained."""
     points, at, width = model.points, slices_of(model.points), sum(p.rank for p in model.points)
     layout = lay_out(rows, user, item, rating, block_size(points))
-    own = needed(layout.blocks, "ids").withColumnRenamed("other", "id").join(model.users, "id").select("block", F.lit(0).alias("side"), "id", "vec")
-    met = layout.needs.withColumnRenamed("other", "id").join(model.items, "id").select("block", F.lit(1).alias("side"), "id", "vec")
+    own = shipments(needed(layout.blocks, "ids"), model.users, width).withColumn("side", F.lit(0))
+    met = shipments(layout.needs, model.items, width).withColumn("side", F.lit(1))
 
     def run(key, block, shipped):
         if not len(block) or not len(shipped):
@@ -399,10 +435,12 @@ def squared_errors(model: Fit, rows: DataFrame, user: str = "user_id", item: str
         starts, rating_ = np.frombuffer(row["starts"], np.int64), np.frombuffer(row["ratings"])
         ids = np.repeat(np.frombuffer(row["ids"], np.int64), np.diff(np.append(starts, len(rating_))))
         for side, wanted in ((0, ids), (1, np.frombuffer(row["others"], np.int64))):
-            some = shipped[shipped["side"] == side].sort_values("id")
-            known = np.append(some["id"].to_numpy(np.int64), np.iinfo(np.int64).max)
+            some = shipped[shipped["side"] == side]
+            known = unplaned(some["others"], np.int64)
+            order = np.argsort(known)
+            known = np.append(known[order], np.iinfo(np.int64).max)
             spot = np.searchsorted(known, wanted)
-            sides.append((factor_matrix(some["vec"], width), spot, (known[spot] == wanted) & (spot < len(some))))
+            sides.append((unplaned(some["vecs"], np.float32).reshape(-1, width)[order], spot, (known[spot] == wanted) & (spot < len(order))))
         (x, u, a), (y, v, b) = sides
         both = np.flatnonzero(a & b)
         out = []

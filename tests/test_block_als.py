@@ -370,3 +370,28 @@ def test_first_pass_scores_few_items_of_a_large_slice(spark):
     for point, s in enumerate((slice(0, 2), slice(2, 5))):
         want = plain_lists({u: v[s] for u, v in users.items()}, {i: v[s] for i, v in items.items()}, 6)
         assert as_lists(lists.filter(F.col("point") == point).drop("point")) == want
+
+
+def test_factors_are_shipped_in_few_rows(spark):
+    rows = [(i, j, 1.0 + (i * j) % 5) for i in range(60) for j in range(i % 7, 90, 3)]
+    layout = block_als.lay_out(spark.createDataFrame(rows, KIND), "user_id", "item_id", "rating", 200)
+    factors = block_als.first_factors(spark.range(95).select("id"), [P(3, 0.1)])
+    vec = {r["id"]: r["vec"] for r in factors.collect()}
+    got, shipped = {}, block_als.shipments(layout.needs, factors, 3).collect()
+    for r in shipped:
+        x = block_als.unplaned([r["vecs"]], np.float32).reshape(-1, 3)
+        for other, v in zip(block_als.unplaned([r["others"]], np.int64).tolist(), x):
+            assert (r["block"], other) not in got
+            got[r["block"], other] = v.tobytes()
+    want = {(r["block"], o) for r in layout.blocks.collect() for o in np.frombuffer(r["others"], np.int64).tolist()}
+    assert set(got) == want and all(v == vec[o] for (_, o), v in got.items())
+    assert len(shipped) < len(want) / 3                                     # a row for every pair before
+
+
+def test_shipments_in_small_parts(spark, monkeypatch):
+    monkeypatch.setattr(block_als, "SHIP_BYTES", 4 * 2 * 5)                 # five pairs at once
+    needs = spark.createDataFrame([(i, list(range(i % 4, 9))) for i in range(30)], "other LONG, blocks ARRAY<INT>")
+    factors = block_als.first_factors(spark.range(30).select("id"), [P(2, 0.1)])
+    shipped = block_als.shipments(needs.coalesce(1), factors, 2).collect()
+    got = sorted((r["block"], o) for r in shipped for o in block_als.unplaned([r["others"]], np.int64).tolist())
+    assert got == sorted((b, i) for i in range(30) for b in range(i % 4, 9))
