@@ -395,3 +395,11 @@ def test_shipments_in_small_parts(spark, monkeypatch):
     shipped = block_als.shipments(needs.coalesce(1), factors, 2).collect()
     got = sorted((r["block"], o) for r in shipped for o in block_als.unplaned([r["others"]], np.int64).tolist())
     assert got == sorted((b, i) for i in range(30) for b in range(i % 4, 9))
+
+
+def test_tiles_do_not_outnumber_the_cores(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    users = top_n.packed_vectors(vectors(spark, {i: rng.normal(size=2) for i in range(6000)}))
+    cores = spark.sparkContext.defaultParallelism
+    assert top_n.cut_tiles(users, [2], 100)[1] == cores                     # four a core before: slices sent four times as often
+    assert top_n.cut_tiles(users, [2], 100, tile_users=100)[1] == 60
