@@ -397,6 +397,32 @@ def test_shipments_in_small_parts(spark, monkeypatch):
     assert got == sorted((b, i) for i in range(30) for b in range(i % 4, 9))
 
 
+@pytest.mark.parametrize("pool_entries", [3 << 20, 21])
+def test_seen_pairs_are_left_out_of_one_search(spark, monkeypatch, pool_entries):
+    rng = np.random.default_rng(12)
+    users, items = {i: rng.normal(size=4) for i in range(40)}, {2 ** 33 + i: rng.normal(size=4) for i in range(60)}
+    pairs = [(u, i) for u in range(45) for i in items if rng.random() < (0.9 if u == 7 else 0.3)]
+    seen = spark.createDataFrame(pairs + pairs[:50] + [(None, 2 ** 33), (3, None)], "user LONG, item LONG")
+    a, b = (top_n.packed_vectors(vectors(spark, s)) for s in (users, items))
+    monkeypatch.setattr(top_n, "BARRED_PAIRS", 16)
+    per = top_n.POOL_ENTRIES
+    top_n.POOL_ENTRIES = pool_entries
+    pools = top_n.pools_of(np.arange(40).tobytes(), np.array(list(users.values()), "<f4").tobytes(), 4, 7)
+    top_n.POOL_ENTRIES = per
+    y, ids = np.array(list(items.values()), "<f4"), np.array(list(items), np.int64)
+    order, got = np.argsort(-top_n.norms_of(y)), []
+    for pool in pools:
+        for lo in range(0, len(pairs), 100):
+            pool.bar(*np.array(pairs[lo:lo + 100]).T)
+        pool.meet(ids[order], y[order])
+        got += [(u, [i for i in row if i >= 0]) for u, row in zip(pool.ids.tolist(), pool.lists()[0].tolist())]
+    score = {u: {i: float(np.float32(x).astype(float) @ np.float32(v).astype(float)) for i, v in items.items()} for u, x in users.items()}
+    want = {u: sorted((i for i in items if (u, i) not in set(pairs)), key=lambda i: -score[u][i])[:7] for u in users}
+    assert dict(got) == want and len(got) == 40
+    lists = top_n.explode_lists(top_n.top_lists(a, b, 7, [4], tile_users=15, seen=seen), [4], 7).collect()
+    assert sorted((r["user_id"], r["rank"], r["item_id"]) for r in lists) == sorted((u, n + 1, i) for u, l in want.items() for n, i in enumerate(l))
+
+
 def test_tiles_do_not_outnumber_the_cores(spark, monkeypatch):
     rng = np.random.default_rng(13)
     users = top_n.packed_vectors(vectors(spark, {i: rng.normal(size=2) for i in range(6000)}))
