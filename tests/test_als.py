@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +137,39 @@ def test_factors_solve_the_normal_equations(planted, alpha):
 def test_blocks_do_not_multiply_the_messages(millions, blocks):
     """Each half iteration sends an id to nearly every block: 14 and 80 of them before."""
     assert als_ops.blocks_for(millions * 1_000_000) == blocks
+
+
+def test_fit_lets_go_of_its_shuffles_and_memory(spark, monkeypatch):
+    rows = [(u, i, float((u * 7 + i * 3) % 9) / 2) for u in range(60) for i in range(0, 40, 1 + u % 5)]
+    train = spark.createDataFrame(rows, "user_id LONG, item_id LONG, rating DOUBLE")
+    held = set(spark.sparkContext._jsc.getPersistentRDDs())
+    fitted = []
+    monkeypatch.setattr(als_ops, "stored", lambda model, *rest, whole=als_ops.stored: fitted.append(
+        {r["id"]: r["features"] for r in model.userFactors.collect()}) or whole(model, *rest))
+    model = als_ops.fit_als(train, rank=3, max_iter=2)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= held        # before: both factor tables
+    assert {r["id"]: r["features"] for r in model.userFactors.collect()} == fitted[0]
+    assert model.rank == 3 and model.getColdStartStrategy() == "drop"
+    assert all(f.startswith(("file:", "/")) for f in model.userFactors.inputFiles()) and model.userFactors.inputFiles()
+    assert als_ops.predict(model, train).count() == len(rows)
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from tastemap.session import SPENT_SHUFFLES
+    from tastemap.sources.files import materialize
+    before, status = spark.conf.get(SPENT_SHUFFLES, None), spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    data = lambda: {b.name() for b in _each(status.getAllBlocks()) if b.name().startswith("shuffle_")}
+    old = data()
+    got = materialize(spark.range(1000).repartition(5, "id"), "spent")
+    for _ in range(50):
+        if not data() - old:
+            break
+        time.sleep(0.1)
+    assert not data() - old
+    assert got.count() == 1000 and spark.conf.get(SPENT_SHUFFLES, None) == before
+
+
+def _each(found):
+    it = found.iterator()
+    while it.hasNext():
+        yield it.next()

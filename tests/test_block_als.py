@@ -429,3 +429,24 @@ def test_tiles_do_not_outnumber_the_cores(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     assert top_n.cut_tiles(users, [2], 100)[1] == cores                     # four a core before: slices sent four times as often
     assert top_n.cut_tiles(users, [2], 100, tile_users=100)[1] == 60
+
+
+@pytest.mark.parametrize("seen", [None, {(u, u % 7) for u in range(60)}])
+def test_tiles_searched_in_waves(spark, monkeypatch, seen):
+    rng = np.random.default_rng(12)
+    users, items = {i: rng.normal(size=3) for i in range(60)}, {i: rng.normal(size=3) for i in range(150)}
+    monkeypatch.setattr(top_n, "WAVE_BYTES", 1)                            # as many tiles in a job as cores
+    waves, whole = [], top_n.write_spent
+    monkeypatch.setattr(top_n, "write_spent", lambda df, path, mode: waves.append(path) or whole(df, path, mode))
+    a, b = (top_n.packed_vectors(vectors(spark, s)) for s in (users, items))
+    pairs = None if seen is None else spark.createDataFrame(sorted(seen), "user LONG, item LONG")
+    tiles = top_n.top_lists(a, b, 5, [3], slice_items=20, tile_users=2, seen=pairs)
+    left = {u: {i: y for i, y in items.items() if (u, i) not in (seen or ())} for u in users}
+    want = {u: plain_lists({u: users[u]}, left[u], 5)[u] for u in users}
+    assert as_lists(top_n.explode_lists(tiles, [3], 5).drop("point")) == want
+    assert len(waves) == -(-30 // spark.sparkContext.defaultParallelism) and len(set(waves)) == 1
+    truth = spark.createDataFrame([(u, i) for u in users for i in range(0, 150, 4)], "user_id LONG, item_id LONG")
+    monkeypatch.setattr(top_n, "cut_tiles", lambda *x, cut=top_n.cut_tiles: cut(*x[:3], 2))
+    hits = top_n.top_hits(a, b, truth, 5, [3]).collect()
+    plain = plain_lists(users, items, 5)
+    assert sorted((r["user_id"], r["rank"]) for r in hits) == sorted((u, n + 1) for u, some in plain.items() for n, (i, _) in enumerate(some) if i % 4 == 0)
